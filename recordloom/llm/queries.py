@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from recordloom.llm import canonical
 from recordloom.llm.components import connected_groups
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
@@ -42,7 +43,36 @@ def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surviving_records(members, "group_id", attributes, F.coalesce("data_quality_score", F.lit(-1)), F.col("last_scraped_at"))
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors}
+def canonical_blocks(spark: SparkSession, sf_dir: str) -> dict[str, list[canonical.Block]]:
+    """The dictionary of each field, with how often each entry is spelled exactly in the data."""
+    listed = table(spark, sf_dir, "canonical_values").select("canon_id", "field", "canon_name", "code")
+    fighters = table(spark, sf_dir, "fighters")
+    exact = (
+        fighters.select(F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("canon_name")) for c in ("nationality", "weight_class_current")])).alias("v"))
+        .select("v.*")
+        .unionByName(table(spark, sf_dir, "mma_events").select(F.lit("promotion").alias("field"), F.col("promotion").alias("canon_name")))
+        .groupBy("field", "canon_name")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    entries: dict[str, list[tuple[int, str, str | None]]] = {}
+    frequency: dict[str, dict[int, int]] = {}
+    for r in listed.join(exact, ["field", "canon_name"], "left").sort("canon_id").toLocalIterator():
+        entries.setdefault(r["field"], []).append((r["canon_id"], r["canon_name"], r["code"]))
+        frequency.setdefault(r["field"], {})[r["canon_id"]] = r["n"] or 0
+    countries, outside = canonical.country_tables(spark, entries.get("nationality", []))
+    weights = canonical.weight_variants(name for _, name, _ in entries.get("weight_class_current", []))
+    plans = {"nationality": (countries, outside), "weight_class_current": (weights, []), "promotion": (canonical.promotion_variants, [])}
+    return {f: list(canonical.build_blocks(entries.get(f, []), variants, out, frequency.get(f))) for f, (variants, out) in plans.items()}
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, record_id, canon_id): the entry each free-typed value means, or 0."""
+    blocks = canonical_blocks(spark, sf_dir)
+    people = canonical.map_values(table(spark, sf_dir, "fighters"), "id", {c: blocks[c] for c in ("nationality", "weight_class_current")})
+    return people.unionByName(canonical.map_values(table(spark, sf_dir, "mma_events"), "id", {"promotion": blocks["promotion"]}))
+
+
+QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found}
 
 ORACLES: dict[str, str] = {
     "p3_found": """
