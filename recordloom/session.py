@@ -1,10 +1,15 @@
-"""Session helpers shared by every operator: reading tables, cutting lineage, partition counts."""
+"""Session helpers shared by every operator: reading tables, cutting lineage, shipping the code."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+
+_shipped: set[str] = set()
 
 
 def build_session(app: str = "recordloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,22 +27,58 @@ def build_session(app: str = "recordloom", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="recordloom-")) / "recordloom.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory."""
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpoint(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Cut lineage into the shared folder of `spark.checkpoint.dir`.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder of `spark.checkpoint.dir`; only where the session names none, a temporary one."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
 
-    The folder is the one the session names; only where none is set (unit tests) a temporary one is made.
-    Files in it outlive a lost executor, unlike a local checkpoint.
+def materialize(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Cut lineage by a table written into the shared checkpoint folder; with metrics observed while writing.
+
+    One job, and the table outlives a lost executor.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    observed = Observation() if metrics else None
+    out = df.observe(observed, *[c.alias(k) for k, c in metrics.items()]) if observed else df
+    out.write.parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._materialized_at = path
+    return written, observed.get if observed else {}
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """`materialize` without metrics."""
+    return materialize(df)[0]
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def discard(df: DataFrame) -> None:
+    """Delete a table of `materialize` that nothing will read again."""
+    path = getattr(df, "_materialized_at", None)
+    if path:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
