@@ -27,6 +27,8 @@ from collections.abc import Iterable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from recordloom.session import checkpoint
+
 #: A head is kept when at least one value in so many has it; bounds the broadcast code table.
 MAX_HEADS = 4096
 #: Parses remembered by the signature of a field, per Python worker.
@@ -264,7 +266,7 @@ def fit_codes(df: DataFrame, columns: Iterable[str]) -> dict[str, dict[str, int]
                 yield flush()
         yield flush()
 
-    counted = (
+    counted = checkpoint(
         df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
         .mapInPandas(count, "field string, code string, n bigint")
         .groupBy("field", "code")
