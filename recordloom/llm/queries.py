@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from recordloom.llm import canonical
 from recordloom.llm.components import connected_groups
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
+from recordloom.llm.truncation import truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
 from recordloom.session import table
 
@@ -72,7 +73,20 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.unionByName(canonical.map_values(table(spark, sf_dir, "mma_events"), "id", {"promotion": blocks["promotion"]}))
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found}
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id): documents whose text was cut off before its end."""
+    return truncated_texts(table(spark, sf_dir, "documents"), "doc_id").filter("truncated").select("doc_id")
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often each source cuts: (source, n_texts, n_truncated, n_at_limit, rate)."""
+    judged = truncated_texts(table(spark, sf_dir, "documents"), "doc_id")
+    cut = F.col("truncated").cast("int")
+    counts = judged.groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.sum(cut).alias("n_truncated"), F.sum((F.col("truncated") & F.col("at_limit")).cast("int")).alias("n_at_limit"))
+    return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
+
+
+QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p10_found": p10_found, "p10_rates": p10_rates}
 
 ORACLES: dict[str, str] = {
     "p3_found": """
