@@ -231,7 +231,7 @@ def map_values(df: DataFrame, id_col: str, values: dict[str, list[Block]], out_i
                         memo[c, v] = -1 if exact else min((b.value.look_up(v) for b in bs), default=_MISS)[1]
                 found = part[c].map({v: memo[c, v] for v in part[c].unique()}).astype("int64")
                 out.append(pd.DataFrame({"field": c, out_id: part["key"], out_entry: found})[found >= 0])
-            yield pd.concat(out) if out else pd.DataFrame({"field": [], out_id: [], out_entry: []})
+            yield pd.concat(out).astype({"field": object}) if out else pd.DataFrame({"field": [], out_id: [], out_entry: []})
 
     schema = T.StructType([T.StructField("field", T.StringType()), T.StructField(out_id, id_type), T.StructField(out_entry, T.LongType())])
     slim = df.select(F.col(f"`{id_col}`").alias("key"), *[F.col(f"`{c}`").cast("string").alias(c) for c in values])

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.llm import canonical
 from recordloom.llm.components import connected_groups
+from recordloom.llm.leakage import leaked_items
+from recordloom.llm.mixture import mix_sources, mixture_shares, token_counts
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
 from recordloom.llm.truncation import truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
-from recordloom.session import table
+from recordloom.session import checkpoint, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +75,32 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.unionByName(canonical.map_values(table(spark, sf_dir, "mma_events"), "id", {"promotion": blocks["promotion"]}))
 
 
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id, run_words, matched_words, test_words): each leak with the words it holds."""
+    return leaked_items(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, item_id): documents that hold at least two fifths of an evaluation text as one run."""
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id").distinct()
+
+
+def p8_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_id, n_docs, longest): the evaluation texts that leaked."""
+    return p8_leaks(spark, sf_dir).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"), F.max("run_words").alias("longest"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, source, n_tokens, copies): how often the mix takes each document of a source with a target."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", token_counts(F.col("text")).alias("n_tokens"))
+    return mix_sources(checkpoint(docs), "doc_id", "source", "n_tokens", table(spark, sf_dir, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of all tokens each source has in the mix, beside its target."""
+    return mixture_shares(p9_mix(spark, sf_dir), "source", "n_tokens", table(spark, sf_dir, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id): documents whose text was cut off before its end."""
     return truncated_texts(table(spark, sf_dir, "documents"), "doc_id").filter("truncated").select("doc_id")
@@ -86,7 +114,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
 
 ORACLES: dict[str, str] = {
     "p3_found": """
