@@ -254,7 +254,7 @@ def fit_codes(df: DataFrame, columns: Iterable[str]) -> dict[str, dict[str, int]
             rows = [(c, k, n) for c in columns for k, n in seen[c].items()]
             for c in columns:
                 seen[c].clear()
-            return pd.DataFrame(rows, columns=["field", "code", "n"])
+            return pd.DataFrame(rows, columns=["field", "code", "n"], dtype=object)
 
         for batch in batches:
             for c in columns:
@@ -309,7 +309,7 @@ def split_packed(df: DataFrame, id_col: str, columns: Iterable[str], codes: dict
                         fields += [c] * len(found)
                         pos += range(1, len(found) + 1)
                         items += found
-            yield pd.DataFrame({id_col: pd.Series(ids, dtype=batch["key"].dtype), "field": fields, "pos": pos, "item": items})
+            yield pd.DataFrame({id_col: pd.Series(ids, dtype=batch["key"].dtype), "field": pd.Series(fields, dtype=object), "pos": pos, "item": pd.Series(items, dtype=object)})
 
     out = T.StructType([T.StructField(id_col, id_type), T.StructField("field", T.StringType()), T.StructField("pos", T.IntegerType()), T.StructField("item", T.StringType())])
     slim = df.select(F.col(f"`{id_col}`").alias("key"), *[F.col(f"`{c}`").cast("string").alias(c) for c in columns])
