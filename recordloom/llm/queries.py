@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.llm import canonical
+from recordloom.llm.batch_dedup import listings, repeated_listings
 from recordloom.llm.components import connected_groups
 from recordloom.llm.leakage import leaked_items
 from recordloom.llm.mixture import mix_sources, mixture_shares, token_counts
@@ -75,6 +76,17 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.unionByName(canonical.map_values(table(spark, sf_dir, "mma_events"), "id", {"promotion": blocks["promotion"]}))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(raw_id, match_kind, match_id): listings that repeat an event, or a listing before them."""
+    block = spark.sparkContext.broadcast(canonical_blocks(spark, sf_dir)["promotion"])
+
+    def promoter():
+        return lambda text: min((b.look_up(text) for b in block.value), default=(0, 0))[1]
+
+    history = listings(table(spark, sf_dir, "mma_events").filter("date is not null"), "event", "id", "name", "promotion", "date", "tapology_url", promoter)
+    return repeated_listings(history, listings(table(spark, sf_dir, "event_batches"), "raw", "raw_id", "name", "promotion", "date", "tapology_url", promoter))
+
+
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, run_words, matched_words, test_words): each leak with the words it holds."""
     return leaked_items(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
@@ -114,7 +126,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
 
 ORACLES: dict[str, str] = {
     "p3_found": """
