@@ -11,6 +11,7 @@ from recordloom.llm.batch_dedup import listings, repeated_listings
 from recordloom.llm.components import connected_groups
 from recordloom.llm.leakage import leaked_items
 from recordloom.llm.mixture import mix_sources, mixture_shares, token_counts
+from recordloom.llm.name_variants import common_givens, name_candidates, read_names
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
 from recordloom.llm.truncation import truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
@@ -19,6 +20,44 @@ from recordloom.session import checkpoint, table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def corners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every corner of every bout: (bout_id, corner, fighter_id, name, weight_class, event_date)."""
+    bouts = table(spark, sf_dir, "event_fights")
+    sides = [F.struct(F.lit(n).alias("corner"), F.col(f"fighter{n}_id").alias("fighter_id"), F.col(f"fighter{n}_name").alias("name")) for n in (1, 2)]
+    return bouts.select(F.col("id").alias("bout_id"), "weight_class", "event_date", F.explode(F.array(*sides)).alias("c")).select("bout_id", "c.*", "weight_class", "event_date")
+
+
+def resolved_corners(spark: SparkSession, sf_dir: str, asked: DataFrame) -> DataFrame:
+    """`asked` corners (bout_id, corner, name, weight_class, event_date) with the one fighter their name means."""
+    fighters = table(spark, sf_dir, "fighters").select("id", "name", "nickname", "gender", "weight_class_current", "career_debut_date", "last_fight_date")
+    pivots = common_givens(fighters, "name")
+    known = checkpoint(read_names(fighters, "id", "name", pivots, nickname="nickname"))
+    names = checkpoint(asked.filter("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("n")))
+    typed = checkpoint(read_names(names, "name", "name", pivots))
+    candidates = name_candidates(typed, known, pivots)
+    junior = lambda d, k, c: d.groupBy(F.col("key").alias(k)).agg(F.max("junior").alias(c))
+    women = F.lower("weight_class").rlike("wom|fem")
+    weights = table(spark, sf_dir, "canonical_values").filter("field = 'weight_class_current'").select("canon_id", F.lower("canon_name").alias("wc"))
+    classed = canonical.map_values(fighters, "id", {"weight_class_current": canonical_blocks(spark, sf_dir)["weight_class_current"]}, "id", skip_exact=False)
+    facts = fighters.select("id", F.col("id").cast("string").alias("key"), "gender", "career_debut_date", "last_fight_date")
+    facts = facts.join(classed.join(F.broadcast(weights), "canon_id").select("id", "wc"), "id", "left")
+    met = (
+        candidates.join(junior(typed, "query", "qj"), "query").join(junior(known, "key", "kj"), "key").join(facts, "key")
+        .join(asked.select("bout_id", "corner", F.col("name").alias("query"), "weight_class", "event_date"), "query")
+        .filter(F.coalesce((F.col("gender") == "F") == women, F.lit(True)))
+    )
+    active = F.coalesce(F.col("event_date").between(F.date_sub("career_debut_date", 370), F.date_add("last_fight_date", 370)), F.lit(False))
+    fitness = (F.col("qj") == F.col("kj")).cast("int") * 2 + F.coalesce(F.col("wc") == F.lower("weight_class"), F.lit(False)).cast("int") * 2 + active.cast("int")
+    scored = met.select("bout_id", "corner", "id", fitness.alias("fitness"))
+    best = scored.groupBy("bout_id", "corner").agg(F.max(F.struct("fitness", "id")).alias("last"), F.max("fitness").alias("top"), F.min_by("id", F.struct(-F.col("fitness"), "id")).alias("first"))
+    return best.filter("first = last.id").select("bout_id", "corner", F.col("first").alias("fighter_id"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(bout_id, corner, fighter_id): corners without an id whose name means a fighter."""
+    return resolved_corners(spark, sf_dir, corners(spark, sf_dir).filter("fighter_id is null").drop("fighter_id"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, group_id): groups of fighters rows linked by positive matches."""
     return connected_groups(table(spark, sf_dir, "fighter_matches"), "left_id", "right_id", F.col("is_match"))
@@ -126,7 +165,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
 
 ORACLES: dict[str, str] = {
     "p3_found": """
