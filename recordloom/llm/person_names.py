@@ -125,3 +125,42 @@ def halves(givens: Iterable[str]) -> dict[str, tuple[str, ...]]:
             first = squash(g.split("-")[0])
             out[first] = (*out.get(first, ()), squash(g))
     return out
+
+
+def _edits(a: str, b: str, limit: int) -> int:
+    """Levenshtein distance, `limit + 1` beyond the limit."""
+    if abs(len(a) - len(b)) > limit:
+        return limit + 1
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+        if min(row) > limit:
+            return limit + 1
+    return min(row[-1], limit + 1)
+
+
+def may_be_same(a: Name | None, b: Name | None, givens: frozenset[str], parts: dict[str, tuple[str, ...]] | None = None) -> bool:
+    """Whether two names may be one person's: surnames within two edits, given names equal, short, initial or misspelled.
+
+    Two different common given names are two persons."""
+    if a is None or b is None:
+        return False
+    if a.whole == b.whole:
+        return True
+    for g, s in a.readings:
+        for h, t in b.readings:
+            near = _edits(s, t, 2 if min(len(s), len(t)) > 4 else 0)
+            if near > 2:
+                continue
+            forms_g, forms_h = {g, *formal_names(g, parts)}, {h, *formal_names(h, parts)}
+            if forms_g & forms_h:
+                return True
+            if g[:1] == h[:1] and (len(g) == 1 or len(h) == 1) and near <= 1:
+                return True
+            if not (g in givens and h in givens) and _edits(g, h, 2) + near <= 3 and _edits(g, h, 2) <= 2:
+                return True
+    last = lambda n: n.words[-1] if n.words else ""
+    nick_a, nick_b = a.nickname, b.nickname
+    return bool(nick_a and nick_a == nick_b and last(a) == last(b) and nick_a != last(a))

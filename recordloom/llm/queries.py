@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from recordloom.functions.text import squash
 
 from recordloom.llm import canonical
 from recordloom.llm.batch_dedup import listings, repeated_listings
@@ -12,6 +15,9 @@ from recordloom.llm.components import connected_groups
 from recordloom.llm.leakage import leaked_items
 from recordloom.llm.mixture import mix_sources, mixture_shares, token_counts
 from recordloom.llm.name_variants import common_givens, name_candidates, read_names
+from recordloom.llm.cross_source import bm25_candidates, calibrated, mutual_best
+from recordloom.llm.person_names import halves, may_be_same, read_name
+from recordloom.llm.profile_terms import person_terms
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
 from recordloom.llm.truncation import truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
@@ -126,6 +132,73 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_listings(history, listings(table(spark, sf_dir, "event_batches"), "raw", "raw_id", "name", "promotion", "date", "tapology_url", promoter))
 
 
+#: Score two records must reach; a full name or a near name with a birth date or two other attributes does.
+MATCH_SCORE = 9.0
+
+
+def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(profile_id, fighter_id, source, score, gap, confidence): profiles and fighters that are each other's best."""
+    fighters = table(spark, sf_dir, "fighters")
+    profiles = table(spark, sf_dir, "source_profiles")
+    blocks = canonical_blocks(spark, sf_dir)
+    sent = {f: spark.sparkContext.broadcast(blocks[f]) for f in ("nationality", "weight_class_current")}
+
+    def finder(f: str):
+        b = sent[f]
+        return lambda: lambda text: min((x.look_up(text) for x in b.value), default=(0, 0))[1]
+
+    pivots = common_givens(fighters, "name")
+    record = F.concat_ws("-", *[F.col(f"record_total_{x}").cast("string") for x in ("wins", "losses", "draws")])
+    empty = F.lit(None).cast("string")
+    f = fighters.select(
+        F.col("id").alias("key"), "name", "nickname", F.col("date_of_birth").alias("born"), F.col("nationality").alias("country"), F.col("height_inches").alias("height"),
+        F.col("weight_class_current").alias("weight"), record.alias("record"), F.col("last_fight_date").alias("last"),
+    )
+    p = profiles.select(
+        F.col("profile_id").alias("key"), F.col("full_name").alias("name"), empty.alias("nickname"), F.col("born_text").alias("born"), F.col("country_text").alias("country"),
+        F.col("height_text").alias("height"), F.col("weight_text").alias("weight"), F.col("record_text").alias("record"), F.col("last_bout_date").alias("last"),
+    )
+    known = checkpoint(person_terms(f, pivots, finder("nationality"), finder("weight_class_current")))
+    asked = checkpoint(person_terms(p, pivots, finder("nationality"), finder("weight_class_current")))
+    kind = F.substring_index("term", "=", 1)
+    weight = F.lit(0.6)
+    for names, w in ((("whole", "full"), 0.45), (("near",), 0.35), (("init", "surname"), 0.2), (("nick",), 0.4), (("born",), 0.6), (("bornym", "bornmd", "bornyd", "bornset"), 0.2), (("record", "bout"), 0.35), (("country", "class", "height"), 0.5)):
+        weight = F.when(kind.isin(*names), w).otherwise(weight)
+    scored = bm25_candidates(known, asked, MATCH_SCORE, weight)
+    givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
+
+    @F.pandas_udf(T.BooleanType())
+    def names_agree(typed: pd.Series, stored: pd.Series, nick: pd.Series) -> pd.Series:
+        out = []
+        for x, y, n in zip(typed, stored, nick):
+            other = read_name(y, givens)
+            if other is not None and n:
+                other.nickname = squash(n)
+            out.append(may_be_same(read_name(x, givens), other, givens, parts))
+        return pd.Series(out, dtype=bool)
+
+    sides = scored.join(profiles.select(F.col("profile_id").alias("query"), "source", "full_name"), "query").join(fighters.select(F.col("id").alias("key"), "name", "nickname"), "key")
+    named = sides.filter(names_agree("full_name", "name", "nickname")).drop("full_name", "name", "nickname")
+    has = lambda d, k, c: d.filter(F.col("term").startswith("born=")).select(F.col("key").alias(k), F.col("term").alias(c))
+    named = checkpoint(named)
+    dates = named.select("query", "key").join(has(asked, "query", "qb"), "query").join(has(known, "key", "kb"), "key")
+    told = dates.groupBy("query", "key").agg(F.max((F.col("qb") == F.col("kb")).cast("int")).alias("agrees"))
+    both = named.join(told, ["query", "key"], "left")
+    in_ = lambda *kinds: F.arrays_overlap("shared", F.array(*map(F.lit, kinds)))
+    loose = F.size(F.array_intersect("shared", F.array(*map(F.lit, ("country", "class", "height")))))
+    backed = in_("bout", "record") | (loose >= 2)
+    sure = F.when(F.col("agrees") == 1, F.lit(True)).when(F.col("agrees").isNull(), backed)
+    sure = sure.when(in_("bornym", "bornmd", "bornyd", "bornset"), backed).otherwise(in_("bout") & in_("record"))
+    best = checkpoint(mutual_best(both.filter(sure)))
+    found = calibrated(best, ["score", "gap"], F.col("agrees"))
+    return found.select(F.col("query").alias("profile_id"), F.col("key").alias("fighter_id"), "source", "score", "gap", "confidence")
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(profile_id, fighter_id): the fighters row of each profile that has one."""
+    return p7_matches(spark, sf_dir).select("profile_id", "fighter_id")
+
+
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, item_id, run_words, matched_words, test_words): each leak with the words it holds."""
     return leaked_items(table(spark, sf_dir, "documents"), "doc_id", "text", table(spark, sf_dir, "eval_items"), "item_id", "text")
@@ -165,7 +238,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
 
 ORACLES: dict[str, str] = {
     "p3_found": """
