@@ -50,3 +50,73 @@ def squash(text: str) -> str:
 def squash_col(text: Column) -> Column:
     """`squash` as a Column (ASCII letters and digits)."""
     return F.regexp_replace(F.lower(fold_accents(text)), "[^a-z0-9]+", "")
+
+
+def _squeezed(text: Column) -> Column:
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
+
+
+def name_key(name: Column) -> Column:
+    """Match key of a name: nicknames in brackets or quotes dropped, initials joined, hyphens and stops blank,
+    `saint` as `st`, accents folded, lower case."""
+    s = F.regexp_replace(name, r"\([^)]*\)", " ")
+    s = F.regexp_replace(s, "[\"“”«»][^\"“”«»]*[\"“”«»]", " ")
+    s = F.regexp_replace(s, "['’‘`´]", "")
+    s = F.regexp_replace(s, r"\b([A-Za-z])\.\s*(?=[A-Za-z]\.)", "$1")
+    s = F.regexp_replace(s, r"[.\-]", " ")
+    s = F.lower(fold_accents(s))
+    return _squeezed(F.regexp_replace(s, r"\bsaint\b", "st"))
+
+
+def event_name_key(name: Column) -> Column:
+    """Key of names on event cards: brackets dropped, apostrophes deleted, stops and hyphens blank, folded."""
+    s = F.regexp_replace(F.regexp_replace(name, r"\([^)]*\)", " "), "['’‘`´]", "")
+    return _squeezed(F.lower(fold_accents(F.regexp_replace(s, r"[.\-]", " "))))
+
+
+def dedup_name_key(name: Column) -> Column:
+    """Key of the duplicate finder: folded, everything but letters, digits and blanks deleted."""
+    return _squeezed(F.regexp_replace(F.lower(fold_accents(name)), "[^a-z0-9 ]", ""))
+
+
+def sorted_tokens_key(name: Column) -> Column:
+    """`dedup_name_key` with its words in order, so reversed names meet."""
+    return F.array_join(F.array_sort(F.split(dedup_name_key(name), " ")), " ")
+
+
+def plain_name_key(name: Column) -> Column:
+    """Lower case letters, digits and blanks; accented letters are deleted, not folded."""
+    return F.lower(F.regexp_replace(F.regexp_replace(name, "[^a-zA-Z0-9 ]", ""), r"\s+", " "))
+
+
+def name_tokens(name: Column, least: int = 2) -> Column:
+    """Distinct words of at least `least` letters of the match key."""
+    return F.array_distinct(F.filter(F.split(name_key(name), " "), lambda w: F.length(w) >= least))
+
+
+def opponent_key(name: Column) -> Column:
+    """Opponent without rank (` #4 ...`), lower case, single blanks."""
+    return _squeezed(F.lower(F.regexp_replace(name, r"\s*#\d+.*$", "")))
+
+
+def nickname_of(name: Column) -> Column:
+    """Nickname in quotes or brackets, null where there is none."""
+    found = F.coalesce(F.regexp_extract(name, "[\"“]([^\"”]+)[\"”]", 1), F.lit(""))
+    bracket = F.regexp_extract(name, r"\(([^)]+)\)", 1)
+    return F.nullif(F.trim(F.when(found != "", found).otherwise(bracket)), F.lit(""))
+
+
+def name_without_nickname(name: Column) -> Column:
+    """Name without the part `nickname_of` reads."""
+    return _squeezed(F.regexp_replace(F.regexp_replace(name, "[\"“][^\"”]*[\"”]", " "), r"\([^)]*\)", " "))
+
+
+def url_slug(url: Column) -> Column:
+    """Last path segment of a URL, without query and fragment."""
+    path = F.regexp_replace(F.regexp_replace(url, r"[?#].*$", ""), "/+$", "")
+    return F.regexp_extract(path, "([^/]*)$", 1)
+
+
+def absolute_url(path: Column, base: str) -> Column:
+    """Absolute form of a path, without slashes at its end."""
+    return F.regexp_replace(F.when(path.startswith("/"), F.concat(F.lit(base.rstrip("/")), path)).otherwise(path), "/+$", "")
