@@ -53,7 +53,7 @@ def squash_col(text: Column) -> Column:
 
 
 def _squeezed(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, "[\\s\u00a0]+", " "))
 
 
 def name_key(name: Column) -> Column:

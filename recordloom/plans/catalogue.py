@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.plans import core_problems
+from recordloom.plans import core_problems, matching_queries, merge_queries, scalar_queries
 
-_MODULES = (core_problems,)
+_MODULES = (core_problems, scalar_queries, matching_queries, merge_queries)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
