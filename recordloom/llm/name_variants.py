@@ -1,12 +1,13 @@
 """Variant spellings of names of persons, linked by metric-space partitioning.
 
 A name is a point `(given, surname)`; the distance of two names is the Levenshtein distance of the given names
-plus that of the surnames, a true metric. The pivots are the commonest given names. Every name lives in the cell of
-its nearest pivot. As the distance to a pivot changes by at most the distance of two names, a name within `RADIUS`
-of a query can only live in cells whose pivot is at most `2 * RADIUS` farther from the query than its nearest one:
-the query is replicated to those, the known names never. Inside a cell the radius join is exact: surnames within
-`RADIUS` edits share one of `RADIUS + 1` segments at a shifted place (pigeonhole), which makes an equi-join, and each
-meeting pair is measured.
+plus that of the surnames, a true metric. The pivots are the commonest given names, the cell of a pivot the names
+nearest to it. By the triangle inequality two names within `RADIUS` lie in cells whose pivots differ by at most
+`2 * RADIUS` in their distance to either name, so boundary names are replicated: a known name whose given name is a
+pivot stays in that cell and is visited by queries within `RADIUS` of the pivot; the few known names with another
+given name are replicated to every pivot at most `2 * RADIUS` farther than their nearest, and a query meets them in
+its own cell. Inside a cell the radius join is exact: surnames within `RADIUS` edits share one of `RADIUS + 1`
+segments at a shifted place (pigeonhole), which makes an equi-join, and each meeting pair is measured.
 
 Names that agree after normalisation (order, accents, ranks, initials, short forms, nicknames) are distance 0
 and found by plain equi-joins; only the rest takes part in the metric join.
@@ -74,13 +75,23 @@ def read_nick(text: str) -> str:
     return squash(text)
 
 
-def _cells(given: Column, pivots: list[str]) -> tuple[Column, Column]:
-    """The nearest pivot of a given name, and all pivots whose cell may hold a name within `RADIUS`."""
-    plain = list(dict.fromkeys(p.replace("-", "").replace("'", "") for p in pivots))
-    measured = F.transform(F.array(*[F.lit(p) for p in plain]), lambda p: F.struct(F.levenshtein(given, p).alias("d"), p.alias("p")))
-    near = F.array_min(measured)
-    reach = F.transform(F.filter(measured, lambda m: m["d"] <= F.array_min(measured)["d"] + 2 * RADIUS), lambda m: m["p"])
-    return near["p"], reach
+def _measured(given: Column, pivots: list[str]) -> Column:
+    return F.transform(F.array(*[F.lit(p) for p in pivots]), lambda p: F.struct(F.levenshtein(given, p).alias("d"), p.alias("p")))
+
+
+def known_cells(given: Column, pivots: list[str]) -> Column:
+    """Cells of a known name: its pivot, or for another given name every pivot within reach of the nearest."""
+    m = _measured(given, pivots)
+    reach = F.transform(F.filter(m, lambda x: x["d"] <= F.array_min(m)["d"] + 2 * RADIUS), lambda x: x["p"])
+    return F.when(given.isin(pivots), F.array(given)).otherwise(reach)
+
+
+def query_cells(given: Column, pivots: list[str]) -> Column:
+    """Cells a query visits: its nearest pivot's, and those of the pivots it may be a misspelling of. Another
+    common given name is no misspelling."""
+    m = _measured(given, pivots)
+    near = F.transform(F.filter(m, lambda x: x["d"] <= RADIUS), lambda x: x["p"])
+    return F.when(given.isin(pivots), F.array(given)).otherwise(F.array_union(F.array(F.array_min(m)["p"]), near))
 
 
 def _segments(n: int) -> list[tuple[int, int]]:
@@ -120,21 +131,19 @@ def metric_pairs(queries: DataFrame, known: DataFrame, pivots: list[str]) -> Dat
     one another but relatives."""
     fit = (F.char_length("given") > 1) & (F.char_length("surname") > 3)
     queries, known = queries.filter(fit), known.filter(fit)
-    if not pivots:
-        pivots = ["?"]
-    near, _ = _cells(F.col("given"), pivots)
-    _, reach = _cells(F.col("given"), pivots)
-    places = known.select("given").distinct().withColumn("cell", near)
-    spread = queries.select("given").distinct().withColumn("cell", F.explode(reach))
-    k = known.join(places, "given").select("key", "given", "surname", "cell", F.explode(_keyed(False)("surname")).alias("segment"))
-    q = queries.select("key", "given", "surname", _keyed(True)("surname").alias("segments")).join(spread, "given")
-    q = q.select(F.col("key").alias("query"), F.col("given").alias("qg"), F.col("surname").alias("qs"), "cell", F.explode("segments").alias("segment"))
-    by_surname = F.levenshtein("qs", "surname", RADIUS)
-    by_given = F.levenshtein("qg", "given", RADIUS)
-    met = q.join(k, ["cell", "segment"]).withColumn("s", by_surname).filter("s >= 0").withColumn("g", by_given).filter(f"g >= 0 and s + g <= {RADIUS}")
-    common = list(dict.fromkeys(p.replace("-", "").replace("'", "") for p in pivots))
+    common = list(dict.fromkeys(p.replace("-", "").replace("'", "") for p in pivots)) or ["?"]
+    places = known.select("given").distinct().withColumn("cell", F.explode(known_cells(F.col("given"), common)))
+    visits = queries.select("given").distinct().withColumn("cell", F.explode(query_cells(F.col("given"), common)))
+    marked = F.xxhash64("cell", "segment").alias("mark")
+    k = known.select("key", "given", "surname", F.explode(_keyed(False)("surname")).alias("segment")).join(places, "given").select("key", "given", "surname", marked)
+    names = checkpoint(queries.groupBy("given", "surname").agg(F.count(F.lit(1)).alias("n")))
+    q = names.select(F.col("given").alias("qg"), F.col("surname").alias("qs"), _keyed(True)("surname").alias("segments")).join(visits.withColumnRenamed("given", "qg"), "qg")
+    q = q.select("qg", "qs", "cell", F.explode("segments").alias("segment")).select("qg", "qs", marked)
+    met = q.join(k, "mark").withColumn("s", F.levenshtein("qs", "surname", RADIUS)).filter("s >= 0").withColumn("g", F.levenshtein("qg", "given", RADIUS)).filter(f"g >= 0 and s + g <= {RADIUS}")
     met = met.filter(~(F.col("qg").isin(common) & F.col("given").isin(common) & (F.col("qg") != F.col("given"))))
-    return met.groupBy("query", "key").agg(F.min(F.col("s") + F.col("g")).alias("distance"))
+    near = met.groupBy("qg", "qs", "key").agg(F.min(F.col("s") + F.col("g")).alias("distance"))
+    asked = queries.select(F.col("key").alias("query"), F.col("given").alias("qg"), F.col("surname").alias("qs"))
+    return asked.join(near, ["qg", "qs"]).groupBy("query", "key").agg(F.min("distance").alias("distance"))
 
 
 def name_candidates(typed: DataFrame, known_names: DataFrame, pivots: list[str]) -> DataFrame:
