@@ -172,6 +172,13 @@ def a16_pricing_summary(spark, d):
     return li.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("sum_qty"), F.count(F.lit(1)).alias("count_order"))
 
 
+def u15_apply_bouts(spark, d):
+    """Fighters after the decided bouts of 2024 and later."""
+    from recordloom.operators.folds import apply_bouts
+
+    return apply_bouts(table(spark, d, "fighters"), table(spark, d, "event_fights").filter("event_date >= '2024-01-01'"))
+
+
 QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and not k.startswith("_")}
 
 _KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(translate({0}, 'øØłŁ', 'oOlL'))), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g'))"
@@ -181,6 +188,16 @@ _PRIO = "CASE {0} WHEN 'tapology' THEN 4 WHEN 'ufcstats+scrape' THEN 3 WHEN 'ufc
 _SRC = "CASE WHEN json_valid(fight_history) THEN lower(trim(json_extract_string(fight_history, '$.source'))) END"
 _FI = "CASE WHEN NOT coalesce(json_valid(fight_history), false) THEN [] WHEN ltrim(fight_history) LIKE '[%' THEN json_extract_string(fight_history, '$[*].result') ELSE json_extract_string(fight_history, '$.fights[*].result') END"
 ORACLES = {
+    "u15_apply_bouts": """WITH s AS (SELECT b.id, b.winner_id, b.method, b.event_date, b.event_id, b.bout_order, x.f, x.o FROM event_fights b, LATERAL (SELECT unnest([fighter1_id, fighter2_id]) f, unnest([fighter2_name, fighter1_name]) o) x
+            WHERE b.event_date >= DATE '2024-01-01' AND x.f IS NOT NULL AND (b.winner_id IS NOT NULL OR lower(b.method) LIKE '%draw%')),
+        r AS (SELECT *, CASE WHEN winner_id IS NULL THEN 'D' WHEN winner_id = f THEN 'W' ELSE 'L' END res, CASE WHEN lower(method) LIKE '%ko%' OR lower(method) LIKE '%knockout%' THEN 'ko' WHEN lower(method) LIKE '%sub%' THEN 'sub' END cat,
+            row_number() OVER (PARTITION BY f, lower(o), event_date ORDER BY event_id, bout_order NULLS FIRST, id) k FROM s),
+        u AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY event_date DESC, event_id DESC, bout_order DESC NULLS LAST, id DESC) n FROM r WHERE k = 1),
+        c AS (SELECT *, first_value(res) OVER (PARTITION BY f ORDER BY n) top FROM u),
+        g AS (SELECT f, count(*) FILTER (res = 'W') w, count(*) FILTER (res = 'L') l, count(*) FILTER (res = 'D') dr, count(*) FILTER (res = 'W' AND cat = 'ko') wk, count(*) FILTER (res = 'W' AND cat = 'sub') ws, max(event_date) last,
+            any_value(top) top, coalesce(min(n) FILTER (res <> top), count(*) + 1) - 1 run, string_agg(res, ',' ORDER BY n DESC) FILTER (n <= 5) last5 FROM c GROUP BY f)
+        SELECT a.id, coalesce(record_total_wins, 0) + w AS wins, coalesce(record_total_losses, 0) + l AS losses, coalesce(record_total_draws, 0) + dr AS draws, coalesce(record_total_wins, 0) + w + coalesce(record_total_losses, 0) + l + coalesce(record_total_draws, 0) + dr AS total_fights,
+            coalesce(wins_by_ko_tko, 0) + wk AS ko_wins, coalesce(wins_by_submission, 0) + ws AS sub_wins, greatest(last_fight_date, last) AS last_fight_date, CASE WHEN top <> 'D' THEN run::VARCHAR || top END AS current_streak, last5 AS last_5_results FROM fighters a JOIN g ON g.f = a.id""",
     "u1_three_policy_upsert": f"WITH o AS ({_OLD}), n AS ({_NEW}) SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NOT NULL THEN o.name ELSE n.name END AS name, CASE WHEN o.id IS NULL THEN n.nickname WHEN n.source IN ('tapology', 'ufc', 'ufc_fr') THEN coalesce(n.nickname, o.nickname) ELSE coalesce(o.nickname, n.nickname) END AS nickname, CASE WHEN o.id IS NULL THEN n.nationality WHEN n.source IN ('ufc', 'ufc_fr') THEN coalesce(n.nationality, o.nationality) ELSE coalesce(o.nationality, n.nationality) END AS nationality, coalesce(n.weight_class_current, o.weight_class_current) AS weight_class_current, CASE WHEN o.id IS NULL THEN n.stance WHEN n.source IN ('ufc', 'ufc_fr') THEN coalesce(n.stance, o.stance) ELSE coalesce(o.stance, n.stance) END AS stance, coalesce(n.record_total_wins, o.record_total_wins) AS record_total_wins, coalesce(n.data_quality_score, o.data_quality_score) AS data_quality_score, coalesce(o.is_verified, n.is_verified) AS is_verified FROM o FULL OUTER JOIN n ON o.id = n.id",
     "f13_row_diff": f"WITH o AS ({_OLD}), n AS ({_NEW}), j AS (SELECT o.id, unnest([['name', o.name, n.name], ['nickname', o.nickname, n.nickname], ['nationality', o.nationality, n.nationality], ['record_total_wins', o.record_total_wins::VARCHAR, n.record_total_wins::VARCHAR]]) x FROM o JOIN n USING (id)) SELECT id, x[1] AS \"column\", CASE WHEN x[2] IS NULL THEN 'filled' ELSE 'overwritten' END AS change FROM j WHERE x[3] IS NOT NULL AND x[2] IS DISTINCT FROM x[3]",
     "u3_source_union": "SELECT key, count(DISTINCT u) AS n_sources, min(u) AS first_source FROM (SELECT lower(name) key, trim(unnest(string_split(data_source, '|'))) u FROM fighters) WHERE u <> '' GROUP BY 1",

@@ -155,6 +155,21 @@ def e15_event_props(spark, d):
     return table(spark, d, "events").select("event_type", F.get_json_object("props", "$.k").cast("long").alias("k")).groupBy("event_type").agg(F.sum("k").alias("sum_k"), F.count("k").alias("n"))
 
 
+def e3_page_links(spark, d):
+    """Links in the markup of documents."""
+    from recordloom.sources.files import html_links
+
+    return html_links(table(spark, d, "documents"), "doc_id", "text").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_links"))
+
+
+def e10_event_meta(spark, d):
+    """Names and dates read from the URLs and names of events."""
+    from recordloom.operators.extraction import event_meta
+
+    pages = table(spark, d, "mma_events").select("id", F.coalesce("tapology_url", F.lit("")).alias("url"), F.col("name").alias("title"), F.concat_ws("\n", F.concat(F.lit("Venue: "), "venue"), F.col("date").cast("string")).alias("text"))
+    return event_meta(pages).select("id", "event_date", "venue")
+
+
 QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__}
 
 _KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(translate({0}, 'øØłŁ', 'oOlL'))), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g'))"
@@ -191,5 +206,7 @@ ORACLES = {
     "am3_heights": "SELECT id, i AS inches, (i // 12)::VARCHAR || '''' || (i % 12)::VARCHAR || '\"' AS feet, try_cast(nullif(regexp_extract(reach_inches, '(\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS reach FROM (SELECT *, CASE WHEN regexp_matches(height_inches, '^\\s*\\d+''\\s*\\d+') THEN regexp_extract(height_inches, '^\\s*(\\d+)''\\s*(\\d+)', 1)::INT * 12 + regexp_extract(height_inches, '^\\s*(\\d+)''\\s*(\\d+)', 2)::INT END i FROM fighters WHERE height_inches IS NOT NULL)",
     "am8_record_parts": "SELECT profile_id, regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)', 1)::INT AS w, regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)', 2)::INT AS l, coalesce(try_cast(nullif(regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)(?:\\s*-\\s*(\\d+))?', 3), '') AS INT), 0) AS dr FROM source_profiles WHERE regexp_matches(record_text, '^\\s*\\d+\\s*-\\s*\\d+') UNION ALL SELECT profile_id, NULL, NULL, NULL FROM source_profiles WHERE NOT coalesce(regexp_matches(record_text, '^\\s*\\d+\\s*-\\s*\\d+'), false)",
     "h1_history_entries": "SELECT id, CASE WHEN NOT coalesce(json_valid(fight_history), false) THEN 0 WHEN ltrim(fight_history) LIKE '[%' THEN json_array_length(fight_history) WHEN ltrim(fight_history) LIKE '{%' THEN coalesce(json_array_length(fight_history, '$.fights'), 0) ELSE 0 END::INT AS n_fights, CASE WHEN json_valid(fight_history) THEN lower(trim(json_extract_string(fight_history, '$.source'))) END AS source FROM fighters",
+    "e3_page_links": "SELECT doc_id, count(*) AS n_links FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)<a\\b[^>]*?href=[\"'']([^\"''#]+)', 1)) h FROM documents) GROUP BY 1",
+    "e10_event_meta": "SELECT id, date AS event_date, nullif(trim(venue), '') AS venue FROM mma_events",
     "e15_event_props": "SELECT event_type, sum(json_extract_string(props, '$.k')::BIGINT)::BIGINT AS sum_k, count(json_extract_string(props, '$.k')) AS n FROM events GROUP BY 1",
 }
