@@ -125,7 +125,7 @@ class CodeTable:
         self.learned = values > 0
         if not self.learned:
             self.head = {_NONE: 12.0, _RARE: 3.0}
-            self.inside = {k: 2.0 for k in _SEPARATORS}
+            self.inside = {k: 2.0 if k == "comma" else 4.0 for k in _SEPARATORS}
             self.between = {k: 1.0 for k in _SEPARATORS}
             return
         total = values + len(heads) + 2
