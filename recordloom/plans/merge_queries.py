@@ -10,10 +10,10 @@ from recordloom.session import table
 
 
 def _halves(spark, d):
-    """Two versions of the fighters table: the stored one without every third row, and an incoming one."""
-    f = table(spark, d, "fighters").select("id", "name", "nickname", "nationality", "weight_class_current", "stance", "record_total_wins", "data_quality_score", "is_verified")
-    old = f.filter("id % 3 <> 0").withColumn("nickname", F.when(F.col("id") % 2 == 0, F.col("nickname")))
-    new = f.filter("id % 3 <> 1").select("id", F.upper("name").alias("name"), "nickname", F.concat("nationality", F.lit("+")).alias("nationality"), F.when(F.col("id") % 5 > 0, F.col("weight_class_current")).alias("weight_class_current"), "stance", (F.col("record_total_wins") + 1).alias("record_total_wins"), "data_quality_score", F.lit(None).cast("boolean").alias("is_verified"), F.when(F.col("id") % 2 == 0, "ufc").otherwise("tapology").alias("source"))
+    """Two overlapping versions of the fighters table, stored and incoming, with values missing on either side."""
+    f = table(spark, d, "fighters").select("id", "name", "nickname", "nationality", "weight_class_current", "stance", "record_total_wins", "data_quality_score", "is_verified", "is_active", "gender")
+    old = f.filter("stance is not null or is_active").withColumn("nickname", F.when(F.col("is_active"), F.col("nickname"))).drop("is_active", "gender")
+    new = f.filter("stance is null or record_total_wins > 1").select("id", F.upper("name").alias("name"), "nickname", F.concat("nationality", F.lit("+")).alias("nationality"), F.when(F.col("is_active"), F.col("weight_class_current")).alias("weight_class_current"), "stance", (F.col("record_total_wins") + 1).alias("record_total_wins"), "data_quality_score", F.lit(None).cast("boolean").alias("is_verified"), F.when(F.col("gender") == "F", "ufc").otherwise("tapology").alias("source"))
     return old, new
 
 
@@ -52,8 +52,9 @@ def u14_violations(spark, d):
 
 
 def k6_replace_children(spark, d):
-    b = table(spark, d, "event_fights").select("id", "event_id", "bout_order", "fighter1_name")
-    new = b.filter("event_id % 7 = 0 and bout_order <= 3").withColumn("fighter1_name", F.upper("fighter1_name"))
+    """Events with a title bout keep their title bouts only, names in capitals."""
+    b = table(spark, d, "event_fights").select("id", "event_id", "bout_order", "fighter1_name", "is_title_fight")
+    new = b.filter("is_title_fight").withColumn("fighter1_name", F.upper("fighter1_name"))
     return merge.replace_children(b, new, "event_id").select("id", "event_id", "bout_order", "fighter1_name")
 
 
@@ -151,9 +152,9 @@ def x1_url_sets(spark, d):
 
 
 def r1_ledger(spark, d):
-    """Listings not yet processed when the even batches are in the ledger."""
+    """Listings not yet processed when those of one feed are in the ledger."""
     b = table(spark, d, "event_batches")
-    return b.join(b.filter("batch_id % 2 = 0").select("raw_id"), "raw_id", "left_anti").select("raw_id", "batch_id")
+    return b.join(b.filter("feed = 'tapology'").select("raw_id"), "raw_id", "left_anti").select("raw_id", "batch_id")
 
 
 def r10_recent_events(spark, d):
@@ -182,8 +183,8 @@ def u15_apply_bouts(spark, d):
 QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and not k.startswith("_")}
 
 _KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(translate({0}, 'øØłŁ', 'oOlL'))), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g'))"
-_OLD = "SELECT id, name, CASE WHEN id % 2 = 0 THEN nickname END nickname, nationality, weight_class_current, stance, record_total_wins, data_quality_score, is_verified FROM fighters WHERE id % 3 <> 0"
-_NEW = "SELECT id, upper(name) name, nickname, nationality || '+' nationality, CASE WHEN id % 5 > 0 THEN weight_class_current END weight_class_current, stance, record_total_wins + 1 record_total_wins, data_quality_score, NULL::BOOLEAN is_verified, CASE WHEN id % 2 = 0 THEN 'ufc' ELSE 'tapology' END source FROM fighters WHERE id % 3 <> 1"
+_OLD = "SELECT id, name, CASE WHEN is_active THEN nickname END nickname, nationality, weight_class_current, stance, record_total_wins, data_quality_score, is_verified FROM fighters WHERE stance IS NOT NULL OR is_active"
+_NEW = "SELECT id, upper(name) name, nickname, nationality || '+' nationality, CASE WHEN is_active THEN weight_class_current END weight_class_current, stance, record_total_wins + 1 record_total_wins, data_quality_score, NULL::BOOLEAN is_verified, CASE WHEN gender = 'F' THEN 'ufc' ELSE 'tapology' END source FROM fighters WHERE stance IS NULL OR record_total_wins > 1"
 _PRIO = "CASE {0} WHEN 'tapology' THEN 4 WHEN 'ufcstats+scrape' THEN 3 WHEN 'ufcstats' THEN 3 WHEN 'event_scrape' THEN 3 WHEN 'ufc_fr' THEN 2 WHEN 'ufc' THEN 2 WHEN 'fightmatrix' THEN 2 WHEN 'underground' THEN 1 ELSE 0 END"
 _SRC = "CASE WHEN json_valid(fight_history) THEN lower(trim(json_extract_string(fight_history, '$.source'))) END"
 _FI = "CASE WHEN NOT coalesce(json_valid(fight_history), false) THEN [] WHEN ltrim(fight_history) LIKE '[%' THEN json_extract_string(fight_history, '$[*].result') ELSE json_extract_string(fight_history, '$.fights[*].result') END"
@@ -204,7 +205,7 @@ ORACLES = {
     "u8_record_chain": "WITH t AS (SELECT id, greatest(coalesce(record_total_wins, 0), coalesce(record_ufc_wins, 0)) tw, greatest(coalesce(record_total_losses, 0), coalesce(record_ufc_losses, 0)) tl, greatest(coalesce(record_total_draws, 0), coalesce(record_ufc_draws, 0)) td, record_ufc_wins uw, record_ufc_losses ul, record_ufc_draws ud FROM fighters) SELECT id, tw AS record_total_wins, tl AS record_total_losses, td AS record_total_draws, uw AS record_ufc_wins, ul AS record_ufc_losses, ud AS record_ufc_draws, greatest(tw - coalesce(uw, 0), 0) AS record_other_wins, greatest(tl - coalesce(ul, 0), 0) AS record_other_losses, greatest(td - coalesce(ud, 0), 0) AS record_other_draws, tw + tl + td AS total_fights FROM t",
     "u10_group_merge": f"WITH f AS (SELECT *, {_KEY.format('name')} key, -coalesce(data_quality_score, -1) q, {_PRIO.format(_SRC)} p FROM fighters) SELECT key, arg_min(nationality, (q, id)) FILTER (trim(nationality) <> '') AS nationality, arg_min(stance, (q, id)) FILTER (trim(stance) <> '') AS stance, nullif(max(coalesce(record_total_wins, 0)), 0) AS record_total_wins, nullif(max(coalesce(record_total_losses, 0)), 0) AS record_total_losses, length(arg_min(fight_history, (-p, q, id)) FILTER (fight_history IS NOT NULL))::INT AS fight_history FROM f GROUP BY key",
     "u14_violations": "SELECT id, c AS \"check\" FROM (SELECT id, unnest([CASE WHEN NOT (gender IN ('M', 'F')) THEN 'gender' END, CASE WHEN NOT (data_quality_score BETWEEN 0 AND 100) THEN 'score' END, CASE WHEN NOT (record_total_wins >= 0) THEN 'wins' END, CASE WHEN NOT (last_scraped_at >= created_at) THEN 'scraped' END]) c FROM fighters) WHERE c IS NOT NULL",
-    "k6_replace_children": "WITH n AS (SELECT id, event_id, bout_order, upper(fighter1_name) fighter1_name FROM event_fights WHERE event_id % 7 = 0 AND bout_order <= 3) SELECT id, event_id, bout_order, fighter1_name FROM event_fights WHERE event_id NOT IN (SELECT event_id FROM n) UNION ALL SELECT * FROM n",
+    "k6_replace_children": "WITH n AS (SELECT id, event_id, bout_order, upper(fighter1_name) fighter1_name FROM event_fights WHERE is_title_fight) SELECT id, event_id, bout_order, fighter1_name FROM event_fights WHERE event_id NOT IN (SELECT event_id FROM n) UNION ALL SELECT * FROM n",
     "k13_summary": "SELECT (SELECT count(*) FROM fighters) AS total, c AS \"column\", n AS filled FROM (SELECT unnest(['nickname', 'date_of_birth', 'nationality', 'stance', 'reach_inches', 'fight_history']) c, unnest([count(nickname), count(date_of_birth), count(nationality), count(stance), count(reach_inches), count(fight_history)]) n FROM fighters)",
     "a1_history_record": f"SELECT id, len(list_filter(r, lambda x: upper(x) = 'W'))::INT AS w, len(list_filter(r, lambda x: upper(x) = 'L'))::INT AS l, len(list_filter(r, lambda x: upper(x) = 'D'))::INT AS dr FROM (SELECT id, {_FI} r FROM fighters)",
     "a2_method_pivot": "SELECT winner_id, count(*) FILTER (lower(method) LIKE '%ko%' OR lower(method) LIKE '%knockout%') AS ko, count(*) FILTER (lower(method) LIKE '%sub%' AND NOT lower(method) LIKE '%ko%') AS sub, count(*) FILTER (lower(method) LIKE '%dec%' AND NOT lower(method) LIKE '%ko%' AND NOT lower(method) LIKE '%sub%') AS dec FROM event_fights WHERE winner_id IS NOT NULL GROUP BY 1",
@@ -221,7 +222,7 @@ ORACLES = {
     "o1_top_rated": "SELECT id, fightmatrix_rating_points, record_total_wins FROM fighters ORDER BY fightmatrix_rating_points DESC NULLS LAST, record_total_wins DESC NULLS LAST, id LIMIT 50",
     "l1_offset_limit": "SELECT id, name FROM fighters ORDER BY id LIMIT 30 OFFSET 20",
     "x1_url_sets": "SELECT DISTINCT tapology_url FROM event_batches WHERE tapology_url IS NOT NULL AND tapology_url NOT IN (SELECT tapology_url FROM mma_events WHERE tapology_url IS NOT NULL)",
-    "r1_ledger": "SELECT raw_id, batch_id FROM event_batches WHERE raw_id NOT IN (SELECT raw_id FROM event_batches WHERE batch_id % 2 = 0)",
+    "r1_ledger": "SELECT raw_id, batch_id FROM event_batches WHERE raw_id NOT IN (SELECT raw_id FROM event_batches WHERE feed = 'tapology')",
     "r10_recent_events": "SELECT id, date FROM mma_events WHERE date BETWEEN DATE '2026-01-30' AND DATE '2026-03-01'",
     "j12_latest_price_by_part": "SELECT l_partkey, l_orderkey, l_linenumber, l_extendedprice, n FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) r, count(*) OVER (PARTITION BY l_partkey) n FROM lineitem) WHERE r = 1",
     "a16_pricing_summary": "SELECT l_returnflag, l_linestatus, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS sum_qty, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2",

@@ -11,7 +11,13 @@ AS_OF = "2026-03-01"
 
 
 def s2_pruned_scan(spark, d):
-    return table(spark, d, "fighters").filter(F.col("id").isin(1, 5, 9) | (F.col("data_quality_score") > 90)).select("id", "name", "date_of_birth")
+    return table(spark, d, "fighters").filter(F.col("data_quality_score") > 90).select("id", "name", "date_of_birth")
+
+
+def s3_key_lookup(spark, d):
+    """Fighters looked up by the ids of title bout winners."""
+    ids = table(spark, d, "event_fights").filter("is_title_fight").select(F.col("winner_id").alias("id"))
+    return table(spark, d, "fighters").select("id", "name").join(ids, "id", "left_semi")
 
 
 def s4_accepted_documents(spark, d):
@@ -176,7 +182,8 @@ _KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(translate({0}, '
 _HOST = "lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\\-]*://([^/]*)', 1))"
 _BORN = "regexp_replace(born_text, '^born ', '', 'i')"
 ORACLES = {
-    "s2_pruned_scan": "SELECT id, name, date_of_birth FROM fighters WHERE id IN (1, 5, 9) OR data_quality_score > 90",
+    "s2_pruned_scan": "SELECT id, name, date_of_birth FROM fighters WHERE data_quality_score > 90",
+    "s3_key_lookup": "SELECT id, name FROM fighters WHERE id IN (SELECT winner_id FROM event_fights WHERE is_title_fight)",
     "s4_accepted_documents": "SELECT doc_id, url FROM documents WHERE status = 200 AND length(text) > 500",
     "s5_real_content": "SELECT doc_id FROM documents WHERE NOT regexp_matches(lower(concat_ws(' ', title, left(text, 4000))), 'just a moment|page not found|access denied|are you human')",
     "s10_events_of_years": "SELECT year(date)::INT AS year, count(*) AS n FROM mma_events WHERE date BETWEEN DATE '2019-06-01' AND DATE '2021-05-31' GROUP BY 1",
