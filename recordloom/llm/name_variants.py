@@ -79,17 +79,16 @@ def _measured(given: Column, pivots: list[str]) -> Column:
     return F.transform(F.array(*[F.lit(p) for p in pivots]), lambda p: F.struct(F.levenshtein(given, p).alias("d"), p.alias("p")))
 
 
-def known_cells(given: Column, pivots: list[str]) -> Column:
-    """Cells of a known name: its pivot, or for another given name every pivot within reach of the nearest."""
-    m = _measured(given, pivots)
+def known_cells(given: Column, m: Column, pivots: list[str]) -> Column:
+    """Cells of a known name with distances `m`: its pivot, or for another given name every pivot within reach of
+    the nearest."""
     reach = F.transform(F.filter(m, lambda x: x["d"] <= F.array_min(m)["d"] + 2 * RADIUS), lambda x: x["p"])
     return F.when(given.isin(pivots), F.array(given)).otherwise(reach)
 
 
-def query_cells(given: Column, pivots: list[str]) -> Column:
-    """Cells a query visits: its nearest pivot's, and those of the pivots it may be a misspelling of. Another
-    common given name is no misspelling."""
-    m = _measured(given, pivots)
+def query_cells(given: Column, m: Column, pivots: list[str]) -> Column:
+    """Cells a query with distances `m` visits: its nearest pivot's, and those of the pivots it may be a
+    misspelling of. Another common given name is no misspelling."""
     near = F.transform(F.filter(m, lambda x: x["d"] <= RADIUS), lambda x: x["p"])
     return F.when(given.isin(pivots), F.array(given)).otherwise(F.array_union(F.array(F.array_min(m)["p"]), near))
 
@@ -132,8 +131,11 @@ def metric_pairs(queries: DataFrame, known: DataFrame, pivots: list[str]) -> Dat
     fit = (F.char_length("given") > 1) & (F.char_length("surname") > 3)
     queries, known = queries.filter(fit), known.filter(fit)
     common = list(dict.fromkeys(p.replace("-", "").replace("'", "") for p in pivots)) or ["?"]
-    places = known.select("given").distinct().withColumn("cell", F.explode(known_cells(F.col("given"), common)))
-    visits = queries.select("given").distinct().withColumn("cell", F.explode(query_cells(F.col("given"), common)))
+    # Written once: an array in a lambda would measure every pivot again for each pivot.
+    givens = known.select("given").union(queries.select("given")).distinct().repartition("given")
+    measured = checkpoint(givens.withColumn("m", _measured(F.col("given"), common)))
+    places = measured.select("given", F.explode(known_cells(F.col("given"), F.col("m"), common)).alias("cell"))
+    visits = measured.select("given", F.explode(query_cells(F.col("given"), F.col("m"), common)).alias("cell"))
     marked = F.xxhash64("cell", "segment").alias("mark")
     k = known.select("key", "given", "surname", F.explode(_keyed(False)("surname")).alias("segment")).join(places, "given").select("key", "given", "surname", marked)
     names = checkpoint(queries.groupBy("given", "surname").agg(F.count(F.lit(1)).alias("n")))
