@@ -17,7 +17,7 @@ from recordloom.llm.mixture import mix_sources, mixture_shares, token_counts
 from recordloom.llm.name_variants import common_givens, name_candidates, read_names
 from recordloom.llm.cross_source import bm25_candidates, calibrated, mutual_best
 from recordloom.llm.person_names import halves, may_be_same, read_name
-from recordloom.llm.profile_terms import person_terms
+from recordloom.llm.profile_terms import person_terms, term_kind
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
 from recordloom.llm.truncation import truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
@@ -132,8 +132,8 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_listings(history, listings(table(spark, sf_dir, "event_batches"), "raw", "raw_id", "name", "promotion", "date", "tapology_url", promoter))
 
 
-#: Score two records must reach; a full name or a near name with a birth date or two other attributes does.
-MATCH_SCORE = 9.0
+#: Score two records must reach; a full name, or a near name with a birth date or two other attributes, does.
+MATCH_SCORE = 6.0
 
 
 def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,13 +158,13 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("profile_id").alias("key"), F.col("full_name").alias("name"), empty.alias("nickname"), F.col("born_text").alias("born"), F.col("country_text").alias("country"),
         F.col("height_text").alias("height"), F.col("weight_text").alias("weight"), F.col("record_text").alias("record"), F.col("last_bout_date").alias("last"),
     )
-    known = checkpoint(person_terms(f, pivots, finder("nationality"), finder("weight_class_current")))
-    asked = checkpoint(person_terms(p, pivots, finder("nationality"), finder("weight_class_current")))
-    kind = F.substring_index("term", "=", 1)
-    weight = F.lit(0.6)
-    for names, w in ((("whole", "full"), 0.45), (("near",), 0.35), (("init", "surname"), 0.2), (("nick",), 0.4), (("born",), 0.6), (("bornym", "bornmd", "bornyd", "bornset"), 0.2), (("record", "bout"), 0.35), (("country", "class", "height"), 0.5)):
-        weight = F.when(kind.isin(*names), w).otherwise(weight)
-    scored = bm25_candidates(known, asked, MATCH_SCORE, weight)
+    known = checkpoint(person_terms(f, pivots, finder("nationality"), finder("weight_class_current"), False))
+    asked = checkpoint(person_terms(p, pivots, finder("nationality"), finder("weight_class_current"), True))
+    kind = term_kind(F.col("term"))
+    weight = F.lit(0.5)
+    for kinds, w in ((("whole", "full"), 0.45), (("pre", "suf"), 0.25), (("init", "surname"), 0.3), (("nick",), 0.4), (("born",), 0.6), (("bornym", "bornmd", "bornyd", "bornset"), 0.2), (("record", "bout"), 0.35)):
+        weight = F.when(kind.isin(*kinds), w).otherwise(weight)
+    scored = bm25_candidates(known.select("key", "terms"), asked.select("key", "terms"), MATCH_SCORE, weight, term_kind, kind.isin("whole", "full", "pre", "suf", "init", "surname", "nick"))
     givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
 
     @F.pandas_udf(T.BooleanType())
@@ -179,11 +179,9 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     sides = scored.join(profiles.select(F.col("profile_id").alias("query"), "source", "full_name"), "query").join(fighters.select(F.col("id").alias("key"), "name", "nickname"), "key")
     named = sides.filter(names_agree("full_name", "name", "nickname")).drop("full_name", "name", "nickname")
-    has = lambda d, k, c: d.filter(F.col("term").startswith("born=")).select(F.col("key").alias(k), F.col("term").alias(c))
-    named = checkpoint(named)
-    dates = named.select("query", "key").join(has(asked, "query", "qb"), "query").join(has(known, "key", "kb"), "key")
-    told = dates.groupBy("query", "key").agg(F.max((F.col("qb") == F.col("kb")).cast("int")).alias("agrees"))
-    both = named.join(told, ["query", "key"], "left")
+    dated = lambda d, k, c: d.select(F.col("key").alias(k), F.col("dated").alias(c))
+    both = named.join(dated(asked, "query", "qd"), "query").join(dated(known, "key", "kd"), "key")
+    both = both.withColumn("agrees", F.when(F.col("qd") & F.col("kd"), F.array_contains("shared", "born").cast("int"))).drop("qd", "kd")
     in_ = lambda *kinds: F.arrays_overlap("shared", F.array(*map(F.lit, kinds)))
     loose = F.size(F.array_intersect("shared", F.array(*map(F.lit, ("country", "class", "height")))))
     backed = in_("bout", "record") | (loose >= 2)
