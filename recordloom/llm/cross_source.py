@@ -4,8 +4,8 @@ Every record is a bag of terms (names, parts and spellings of names, dates, coun
 inverted index holds the terms of the known records with their BM25 weights; a query's score for a record is the
 sum over shared terms. The top candidates are exact and yet most postings are never read: a query's terms are
 sorted by weight, and its essential terms are the heaviest ones whose remaining terms together cannot reach
-`min_score`. A record that shares no essential term cannot score `min_score` and needs no score. Only essential
-terms look up the index, so terms that a third of all records have are never joined; candidates are then scored
+`min_score`. A record that shares no essential term cannot score `min_score` and needs no score. Where a pair must
+share a term of some kinds, these are sorted before all others, whatever they weigh. Only essential terms look up the index, so terms that a third of all records have are never joined; candidates are then scored
 over all their terms.
 
 A pair matches when each is the other's best within its source (mutual nearest). The confidence is a logistic
@@ -30,7 +30,8 @@ def bm25_candidates(known: DataFrame, queries: DataFrame, min_score: float, weig
     """`(query, key, score, shared)` for every pair that scores at least `min_score`; `shared` are the kinds of
     shared terms. Both inputs are `(key, terms)` with distinct terms as numbers; `weight` weighs a column `term`,
     `kind` tells a term's kind. Where a pair must share a term of some kinds, `required` (a condition on `term`)
-    says which, and only those look up the index. Records without terms match nothing."""
+    says which, and only those look up the index; they come first in the order, so that what a skipped one leaves
+    is weighed with all terms that look up nothing. Records without terms match nothing."""
     facts = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("mean")).first()
     n, mean = float(facts["n"] or 0), float(facts["mean"] or 1.0)
     norm = (K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / F.lit(mean)))
@@ -41,10 +42,9 @@ def bm25_candidates(known: DataFrame, queries: DataFrame, min_score: float, weig
     asked = checkpoint(flat.join(idf, "term"))
     # The most a term can add: its weight for a record of one term.
     most = (K1 + 1) / (1 + K1 * (1 - B))
-    heaviest = Window.partitionBy("key").orderBy(F.desc("w"), "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    essential = asked.withColumn("rest", F.sum(F.col("w") * most).over(heaviest)).filter(F.col("rest") >= min_score)
-    if required is not None:
-        essential = essential.filter(required)
+    looks_up = F.lit(True) if required is None else required
+    heaviest = Window.partitionBy("key").orderBy(looks_up.desc(), F.desc("w"), "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    essential = asked.withColumn("rest", F.sum(F.col("w") * most).over(heaviest)).filter((F.col("rest") >= min_score) & looks_up)
     met = essential.select(F.col("key").alias("query"), "term").join(index, "term").select("query", "key").distinct()
     q = asked.groupBy(F.col("key").alias("query")).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"))
     paired = met.join(known.select("key", "terms", norm.alias("norm")), "key").join(q, "query")

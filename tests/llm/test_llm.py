@@ -155,6 +155,19 @@ def test_bm25_scores_match_brute_force(spark):
     assert cross_source.bm25_candidates(empty, frame(asked), 1.0, F.lit(1.0), lambda t: t).count() == 0
 
 
+def test_required_terms_look_up_even_where_they_are_the_lightest(spark):
+    rng = random.Random(16)
+    terms = lambda: sorted({int(40 * rng.random() ** 2) for _ in range(8)})
+    known, asked = {i: terms() for i in range(80)}, {i: terms() for i in range(40)}
+    frame = lambda d: spark.createDataFrame(list(d.items()), "key long, terms array<long>")
+    everything = {(r["query"], r["key"]): r["score"] for r in cross_source.bm25_candidates(frame(known), frame(asked), 0.0, F.lit(1.0), lambda t: t).collect()}
+    for least in sorted(everything.values())[:: len(everything) // 6]:
+        least -= 1e-9
+        got = cross_source.bm25_candidates(frame(known), frame(asked), least, F.lit(1.0), lambda t: t, F.col("term") < 4).collect()
+        want = {(q, k) for (q, k), s in everything.items() if s >= least and any(t < 4 for t in set(asked[q]) & set(known[k]))}
+        assert {(r["query"], r["key"]) for r in got} == want
+
+
 def test_mutual_best_and_confidence(spark):
     rows = [(1, "a", 10, 9.0), (1, "a", 11, 5.0), (2, "a", 10, 8.0), (3, "b", 10, 7.0), (4, "a", 12, 3.0), (4, "a", 13, 3.0)]
     got = {(r["query"], r["key"]) for r in cross_source.mutual_best(spark.createDataFrame(rows, "query long, source string, key long, score double")).collect()}
