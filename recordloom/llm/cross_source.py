@@ -24,14 +24,18 @@ from recordloom.session import checkpoint
 
 CALIBRATION = 20_000
 K1, B = 1.2, 0.3
+#: Bits in which the low halves of keys may differ: two edits change two letters each.
+KEY_BITS = 4
 
 
-def bm25_candidates(known: DataFrame, queries: DataFrame, min_score: float, weight: Column, kind: Callable[[Column], Column], required: Column | None = None) -> DataFrame:
+def bm25_candidates(known: DataFrame, queries: DataFrame, min_score: float, weight: Column, kind: Callable[[Column], Column], required: Column | None = None, keyed: bool = False) -> DataFrame:
     """`(query, key, score, shared)` for every pair that scores at least `min_score`; `shared` are the kinds of
     shared terms. Both inputs are `(key, terms)` with distinct terms as numbers; `weight` weighs a column `term`,
     `kind` tells a term's kind. Where a pair must share a term of some kinds, `required` (a condition on `term`)
     says which, and only those look up the index; they come first in the order, so that what a skipped one leaves
-    is weighed with all terms that look up nothing. Records without terms match nothing."""
+    is weighed with all terms that look up nothing. Where `keyed`, both inputs have an array `keys` of 64-bit numbers
+    too, and a pair of equal high halves whose low halves differ in at most `KEY_BITS` bits is scored even if it
+    shares no essential term. Records without terms match nothing."""
     facts = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("mean")).first()
     n, mean = float(facts["n"] or 0), float(facts["mean"] or 1.0)
     norm = (K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / F.lit(mean)))
@@ -45,7 +49,14 @@ def bm25_candidates(known: DataFrame, queries: DataFrame, min_score: float, weig
     looks_up = F.lit(True) if required is None else required
     heaviest = Window.partitionBy("key").orderBy(looks_up.desc(), F.desc("w"), "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
     essential = asked.withColumn("rest", F.sum(F.col("w") * most).over(heaviest)).filter((F.col("rest") >= min_score) & looks_up)
-    met = essential.select(F.col("key").alias("query"), "term").join(index, "term").select("query", "key").distinct()
+    met = essential.select(F.col("key").alias("query"), "term").join(index, "term").select("query", "key")
+    if keyed:
+        high = lambda c: F.shiftright(c, 32).cast("int")
+        keys = queries.select(F.col("key").alias("query"), F.explode("keys").alias("k"))
+        stored = known.select("key", F.explode("keys").alias("s"))
+        close = F.bit_count(F.col("k").bitwiseXOR(F.col("s"))) <= KEY_BITS
+        met = met.unionByName(keys.join(stored, high("k") == high("s")).filter(close).select("query", "key"))
+    met = met.distinct()
     q = asked.groupBy(F.col("key").alias("query")).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"))
     paired = met.join(known.select("key", "terms", norm.alias("norm")), "key").join(q, "query")
     score = F.aggregate("terms", F.lit(0.0), lambda s, t: s + F.coalesce(F.try_element_at("weights", t), F.lit(0.0))) * F.col("norm")

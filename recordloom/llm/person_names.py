@@ -151,8 +151,9 @@ def may_be_same(a: Name | None, b: Name | None, givens: frozenset[str], parts: d
         return True
     for g, s in a.readings:
         for h, t in b.readings:
-            near = _edits(s, t, 2 if min(len(s), len(t)) > 4 else 0)
-            if near > 2:
+            limit = 2 if min(len(s), len(t)) > 4 else 0
+            near = _edits(s, t, limit)
+            if near > limit:
                 continue
             forms_g, forms_h = {g, *formal_names(g, parts)}, {h, *formal_names(h, parts)}
             if forms_g & forms_h:

@@ -164,7 +164,8 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     weight = F.lit(0.5)
     for kinds, w in ((("whole", "full"), 0.45), (("pre", "suf"), 0.25), (("init", "surname"), 0.3), (("nick",), 0.4), (("born",), 0.6), (("bornym", "bornmd", "bornyd", "bornset"), 0.2), (("record", "bout"), 0.35)):
         weight = F.when(kind.isin(*kinds), w).otherwise(weight)
-    scored = bm25_candidates(known.select("key", "terms"), asked.select("key", "terms"), MATCH_SCORE, weight, term_kind, kind.isin("whole", "full", "pre", "suf", "init", "surname", "nick"))
+    looks_up = kind.isin("whole", "full", "pre", "suf", "init", "surname", "nick", "born", "bornset", "bout")
+    scored = bm25_candidates(known.select("key", "terms", "keys"), asked.select("key", "terms", "keys"), MATCH_SCORE, weight, term_kind, looks_up, keyed=True)
     givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
 
     @F.pandas_udf(T.BooleanType())

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.llm import batch_dedup, canonical, components, cross_source, leakage, mixture, name_variants, person_names, survivorship, truncation
+from recordloom.llm import batch_dedup, canonical, components, cross_source, leakage, mixture, name_variants, person_names, profile_terms, survivorship, truncation
 
 
 def test_components_match_union_find(spark):
@@ -168,6 +168,44 @@ def test_required_terms_look_up_even_where_they_are_the_lightest(spark):
         assert {(r["query"], r["key"]) for r in got} == want
 
 
+def test_names_that_may_be_one_persons_share_a_key():
+    rng = random.Random(17)
+    givens = frozenset({"marco", "mario", "rafael", "thomas"})
+
+    def typo(w):
+        i = rng.randrange(len(w))
+        return rng.choice([w[:i] + w[i + 1 :], w[:i] + "x" + w[i + 1 :], w[:i] + "x" + w[i:], w[:i] + w[i : i + 2][::-1] + w[i + 2 :]]) or w
+
+    keys = lambda n: {profile_terms.key_code(*k) for k in profile_terms.lookup_keys(n, "", {"record=3-1-0"}, {}) | {(f"whole {n.whole}", "")}}
+    accepted = 0
+    for _ in range(3000):
+        g, s = rng.choice(["Marco", "Rafael", "Thomas", "Zelim", "Ito", "R.", "Tom"]), rng.choice(["Ranoukvsen", "Zeletamiro", "Diaz", "van Karodilu", "Silva"])
+        h, t = g, s
+        for _ in range(rng.randrange(4)):
+            h, t = (typo(h), t) if rng.random() < 0.3 else (h, typo(t))
+        if rng.random() < 0.2:
+            h = h[0] + "."
+        a, b = person_names.read_name(f"{g} {s}", givens), person_names.read_name(f"{h} {t}", givens)
+        if person_names.may_be_same(a, b, givens, {}):
+            accepted += 1
+            assert any((x ^ y) & (1 << 64) - 1 < 1 << 32 and (x ^ y).bit_count() <= cross_source.KEY_BITS for x in keys(a) for y in keys(b)), (g, s, h, t)
+    assert accepted > 1000
+
+
+@pytest.mark.parametrize("typed", ["Rafael Ranokuvsen", "R. Ranokvsen", "Rafxel Ranokvsen", "Rafael Raxoukvxen"])
+@pytest.mark.parametrize("dated", [True, False])
+def test_misspelled_names_are_candidates(spark, typed, dated):
+    columns = "key long, name string, nickname string, born string, country string, height string, weight string, record string, last string"
+    row = lambda key, name: (key, name, None, "1990-03-07" if dated else None, None, "180 cm", None, "7-3-0", None)
+    others = [(i, f"Pavel Other{i:03d}", None, f"19{60 + i % 40}-01-11", None, "170 cm", None, f"{i}-0-0", None) for i in range(10, 200)]
+    find = lambda: lambda text: 0
+    terms = lambda rows, query: profile_terms.person_terms(spark.createDataFrame(rows, columns), ["rafael"], find, find, query)
+    known, asked = terms([row(1, "Rafael Ranoukvsen"), *others], False), terms([row(2, typed)], True)
+    kind = profile_terms.term_kind(F.col("term"))
+    got = cross_source.bm25_candidates(known, asked, 1.0, F.lit(0.5), profile_terms.term_kind, kind.isin("whole", "full", "pre", "suf", "init", "surname", "nick", "born", "bornset", "bout"), keyed=True)
+    assert (2, 1) in {(r["query"], r["key"]) for r in got.collect()}
+
+
 def test_mutual_best_and_confidence(spark):
     rows = [(1, "a", 10, 9.0), (1, "a", 11, 5.0), (2, "a", 10, 8.0), (3, "b", 10, 7.0), (4, "a", 12, 3.0), (4, "a", 13, 3.0)]
     got = {(r["query"], r["key"]) for r in cross_source.mutual_best(spark.createDataFrame(rows, "query long, source string, key long, score double")).collect()}
