@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordloom.functions.dates import same_birth
+from recordloom.session import checkpoint, materialize
 
 
 def one_per_key(df: DataFrame, key: Column, id_col: str) -> DataFrame:
@@ -113,3 +114,23 @@ def leader_clusters(similar: DataFrame, members: DataFrame) -> DataFrame:
         state = checkpoint(step.select("id", F.when(ready, F.coalesce("first", "id")).otherwise(F.col("leader")).alias("leader")))
         if state.filter("leader is null").isEmpty():
             return state
+
+
+def reach(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> DataFrame:
+    """`(id, steps)`: every node joined to a row of `seeds` (`id`) by edges, with the fewest edges to one.
+
+    `edges` is `(a, b)`, followed both ways; rows with a null or two equal ends are skipped. Goes on until a round
+    meets no new node, or for `rounds`. Each round is a written table.
+    """
+    e = edges.select("a", "b").filter("a <> b")
+    both = checkpoint(e.union(e.select("b", "a")).distinct())
+    frontier = checkpoint(seeds.select("id").filter("id is not null").distinct().withColumn("steps", F.lit(0)))
+    seen, k = frontier, 0
+    while rounds is None or k < rounds:
+        k += 1
+        met = both.join(frontier.select(F.col("id").alias("a")), "a").select(F.col("b").alias("id")).distinct()
+        frontier, told = materialize(met.join(seen.select("id"), "id", "left_anti").withColumn("steps", F.lit(k)), n=F.count(F.lit(1)))
+        if not told["n"]:
+            break
+        seen = seen.unionByName(frontier)
+    return seen

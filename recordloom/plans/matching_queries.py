@@ -146,6 +146,12 @@ def s19_opponent_reach(spark, d):
     return seen
 
 
+def s20_opponent_network(spark, d):
+    """Fighters joined by any number of bouts to one with a fightmatrix_id, with the fewest steps."""
+    b = _bouts(spark, d).select(F.col("fighter1_id").alias("a"), F.col("fighter2_id").alias("b"))
+    return matching.reach(b, _fighters(spark, d).filter("fightmatrix_id is not null").select("id"))
+
+
 QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and not k.startswith("_")}
 
 _RES = """res AS (SELECT x.f AS fighter_id, datediff('day', DATE '1970-01-01', b.event_date)::BIGINT * 100000000 + b.id AS ord, CASE WHEN x.f = b.winner_id THEN 'W' ELSE 'L' END AS result

@@ -118,3 +118,22 @@ def test_extraction(spark):
 def test_next_ids(spark):
     got = files.next_ids(spark.range(100).select((F.lit(99) - F.col("id")).alias("o")), "o", 7, 4).collect()
     assert {(r["o"], r["id"]) for r in got} == {(i, i + 8) for i in range(100)}
+
+
+def test_reach_goes_on_until_the_frontier_is_empty(spark):
+    rng = random.Random(19)
+    pairs = [(rng.randrange(90), rng.randrange(90)) for _ in range(60)] + [(i, i + 1) for i in range(200, 212)] + [(400, 401), (7, 7), (None, 3), (3, None)]
+    seeds, graph = [1, 2, 200, 999, None], {}
+    for a, b in pairs:
+        if a is not None and b is not None:
+            graph.setdefault(a, set()).add(b)
+            graph.setdefault(b, set()).add(a)
+    want, frontier, k = {}, {x for x in seeds if x is not None}, 0
+    while frontier:
+        want |= dict.fromkeys(frontier, k)
+        frontier, k = {y for x in frontier for y in graph.get(x, ())} - want.keys(), k + 1
+    edges, roots = spark.createDataFrame(pairs, "a long, b long"), spark.createDataFrame([(x,) for x in seeds], "id long")
+    got = [(r["id"], r["steps"]) for r in matching.reach(edges, roots).collect()]
+    assert sorted(got) == sorted(want.items()) and want[212] == 12
+    assert {r["id"] for r in matching.reach(edges, roots, 2).collect()} == {x for x, n in want.items() if n <= 2}
+    assert matching.reach(edges, roots.limit(0)).count() == 0
