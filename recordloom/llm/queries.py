@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pandas as pd
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from recordloom.functions.text import squash
 
 from recordloom.llm import canonical
-from recordloom.llm.batch_dedup import listings, repeated_listings
+from recordloom.llm.batch_dedup import Store, check_batch, listings
 from recordloom.llm.components import connected_groups
 from recordloom.llm.leakage import leaked_items
 from recordloom.llm.mixture import mix_sources, mixture_shares, token_counts
@@ -21,7 +22,7 @@ from recordloom.llm.profile_terms import person_terms, term_kind
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
 from recordloom.llm.truncation import truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
-from recordloom.session import checkpoint, table
+from recordloom.session import checkpoint, checkpoint_dir, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,8 +129,9 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     def promoter():
         return lambda text: min((b.look_up(text) for b in block.value), default=(0, 0))[1]
 
-    history = listings(table(spark, sf_dir, "mma_events").filter("date is not null"), "event", "id", "name", "promotion", "date", "tapology_url", promoter)
-    return repeated_listings(history, listings(table(spark, sf_dir, "event_batches"), "raw", "raw_id", "name", "promotion", "date", "tapology_url", promoter))
+    store = Store(spark, f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}")
+    store.accept(listings(table(spark, sf_dir, "mma_events"), "event", "id", "name", "promotion", "date", "tapology_url", promoter))
+    return check_batch(store, listings(table(spark, sf_dir, "event_batches"), "raw", "raw_id", "name", "promotion", "date", "tapology_url", promoter))
 
 
 #: Score two records must reach; a full name, or a near name with a birth date or two other attributes, does.

@@ -118,7 +118,7 @@ def test_name_candidates(spark):
     assert {(r["query"], r["key"]) for r in got.collect()} == {("ROSSI Anna", "1"), ("Anna Rosssi", "1"), ("Salt Rossi", "1"), ("B. Ivanov", "2"), ("AnnaRossi", "1")}
 
 
-def test_listings_and_fingerprints(spark):
+def test_listings_and_fingerprints(spark, tmp_path):
     block = next(canonical.build_blocks([(401, "Granite Fighting Championship", "GFC"), (402, "Harbor Cage League", "HCL")], canonical.promotion_variants))
     find = lambda t: block.look_up(t)[1]
     read = lambda n, p=None: batch_dedup.read_listing(n, p, None, None, find)[:5]
@@ -127,14 +127,60 @@ def test_listings_and_fingerprints(spark):
     assert read("HCL Fight Night: A Bcd VS. E Fgh 2 - Town | Results") == ("c402", None, "bcd", "fgh", 2)
     assert read("Ann Lee vs. Bo Kim", "Harbor Cage League 7") == ("c402", 7, "kim", "lee", None)
     assert read(None) == (None, None, None, None, None)
-    assert batch_dedup.simhash("abc") == batch_dedup.simhash("abc") and batch_dedup.simhash("") == batch_dedup.simhash("")
     d = datetime.date
     schema = "id long, name string, promotion string, date date, url string"
     history = spark.createDataFrame([(1, "GFC 1: Alpha vs. Bravo", None, d(2020, 1, 1), "https://t.example/events/77-x")], schema)
     rows = [(1, "Granite Fighting Championship 1", None, d(2020, 3, 1), None), (2, "x", None, None, "http://t.example/events/77"), (3, "HCL 5: Carlo vs. Delta", None, d(2021, 1, 1), None), (4, "hcl 5", None, d(2021, 1, 1), None), (5, "HCL 6: Carlo vs. Delta", None, d(2021, 1, 2), None), (6, None, None, None, None), (7, "hcl 5", None, d(2021, 1, 1), None), (8, "GFC Fight Night: Alpha vs. Bravo 2", None, d(2020, 1, 2), None)]
     facts = lambda df, kind: batch_dedup.listings(df, kind, "id", "name", "promotion", "date", "url", lambda: find)
-    got = batch_dedup.repeated_listings(facts(history, "event"), facts(spark.createDataFrame(rows, schema), "raw"))
+    store = batch_dedup.Store(spark, f"{tmp_path}/store")
+    assert store.versions() == [] and store.tables().count() == 0
+    store.accept(facts(history, "event"))
+    got = batch_dedup.check_batch(store, facts(spark.createDataFrame(rows, schema), "raw"))
     assert {tuple(r) for r in got.collect()} == {(1, "event", 1), (2, "event", 1), (4, "raw", 3), (7, "raw", 3)}
+    assert batch_dedup.check_batch(store, facts(spark.createDataFrame([], schema), "raw")).count() == 0
+
+
+def test_an_edit_changes_at_most_two_letter_bits():
+    rng = random.Random(21)
+    differs = lambda a, b: ((batch_dedup.letter_bits(a) ^ batch_dedup.letter_bits(b)) & (1 << 64) - 1).bit_count()
+    for _ in range(500):
+        w = "".join(rng.choice("aeinorstlkz1é") for _ in range(rng.randint(2, 24)))
+        i = rng.randrange(len(w))
+        assert differs(w, w[:i] + w[i + 1 :]) <= 1 and differs(w, w[:i] + "q" + w[i + 1 :]) <= 2 and differs(w, w[i:] + w[:i]) == 0
+
+
+def test_batches_one_by_one_give_the_same_as_one_pass(spark, tmp_path):
+    """History is read once; later batches meet it in the store only, also where a headliner is misspelled."""
+    read = spark.sparkContext.accumulator(0)
+
+    def find():
+        def promoter(text):
+            read.add(1)
+            return {"gfc": 401, "hcl": 402}.get(text.lower(), 0)
+
+        return promoter
+
+    rng, d = random.Random(22), datetime.date(2020, 1, 1)
+    word = lambda: "".join(rng.choice("aeiklmnorst") for _ in range(rng.randint(6, 9)))
+    cards = [(rng.choice(["GFC", "HCL"]), i, word().title(), word().title(), d + datetime.timedelta(days=23 * i)) for i in range(40)]
+    name = lambda p, n, a, b: rng.choice([f"{p} {n}", f"{p}: {a} vs. {b}", f"{p} {n}: {b} vs {a}", f"{p}: {a[:3]}x{a[4:]} vs. {b[:-2]}{b[-1]}"])
+    schema = "id long, name string, promotion string, date date, url string"
+    history = spark.createDataFrame([(i, f"{p} {n}: {a} vs. {b}", None, day, None) for i, (p, n, a, b, day) in enumerate(cards[:25])], schema)
+    rows = [(1000 + k, name(*cards[i][:4]), None, cards[i][4] + datetime.timedelta(days=rng.choice([0, 0, 60])), None) for k, i in enumerate(rng.randrange(40) for _ in range(90))]
+    facts = lambda df, kind: batch_dedup.listings(df, kind, "id", "name", "promotion", "date", "url", find)
+    store, once = batch_dedup.Store(spark, f"{tmp_path}/a"), batch_dedup.Store(spark, f"{tmp_path}/b")
+    store.accept(facts(history, "event"))
+    at_first = read.value
+    got = []
+    for part in (rows[:45], rows[45:]):
+        got += [tuple(r) for r in batch_dedup.check_batch(store, facts(spark.createDataFrame(part, schema), "raw")).collect()]
+        store.compact()
+    once.accept(facts(history, "event"))
+    whole = {tuple(r) for r in batch_dedup.check_batch(once, facts(spark.createDataFrame(rows, schema), "raw")).collect()}
+    assert at_first > 0 and store.facts().filter("kind = 'event'").count() == 25
+    known = {r[0]: (r[1], r[2]) for r in got}
+    assert {r[0] for r in whole} >= known.keys() and all((k, *v) in whole or v[0] == "raw" for k, v in known.items())
+    assert {r for r in whole if r[1] == "event"} == {(1000 + k, "event", n) for k, (_, text, *_) in enumerate(rows) for n in [next(i for i, c in enumerate(cards) if c[4] in (rows[k][3], rows[k][3] - datetime.timedelta(days=60)) and (c[2][:3] in text or c[3][:3] in text or text == f"{c[0]} {c[1]}"))] if n < 25}
 
 
 def test_bm25_scores_match_brute_force(spark):
