@@ -54,3 +54,28 @@ def within_days(a: Column, b: Column, days: int) -> Column:
 def same_birth(a: Column, b: Column) -> Column:
     """Same year and at most 90 days apart."""
     return (F.year(a) == F.year(b)) & within_days(a, b, 90)
+
+
+def listed_date(text: Column) -> Column:
+    """Date of `2016 Apr 10` or an ISO date, bullets and text around it ignored; else null."""
+    spaced = F.try_to_date(F.regexp_extract(text, r"(\d{4} [A-Z][a-z]{2} \d{1,2})", 1), "yyyy MMM d")
+    return F.coalesce(F.try_to_date(F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd"), spaced)
+
+
+def iso_date(text: Column) -> Column:
+    """Day (UTC) of an ISO 8601 time with or without a zone; else null."""
+    zoned = F.regexp_replace(text, "Z$", "+00:00")
+    return F.coalesce(F.try_to_timestamp(zoned), F.try_to_timestamp(zoned, F.lit("yyyy-MM-dd'T'HH:mmXXX"))).cast("date")
+
+
+# Months in English.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+
+
+def date_in_text(text: Column) -> Column:
+    """The first `Month D, YYYY` or `D Month, YYYY` of a text, else its first `MM.DD.YYYY`, else its first ISO date."""
+    names = "|".join(m.title() for m in MONTHS)
+    english = F.regexp_replace(F.regexp_extract(text, rf"((?:{names}) \d{{1,2}}, \d{{4}})", 1), ",", "")
+    other = F.regexp_replace(F.regexp_extract(text, rf"(\d{{1,2}} (?:{names}),? \d{{4}})", 1), ",", "")
+    dotted = F.try_to_date(F.regexp_extract(text, r"\b(\d{2}\.\d{2}\.\d{4})\b", 1), "MM.dd.yyyy")
+    return F.coalesce(F.try_to_date(english, "MMMM d yyyy"), F.try_to_date(other, "d MMMM yyyy"), dotted, F.try_to_date(F.regexp_extract(text, r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import Column, functions as F
@@ -62,7 +63,7 @@ def name_key(name: Column) -> Column:
     s = F.regexp_replace(name, r"\([^)]*\)", " ")
     s = F.regexp_replace(s, "[\"“”«»][^\"“”«»]*[\"“”«»]", " ")
     s = F.regexp_replace(s, "['’‘`´]", "")
-    s = F.regexp_replace(s, r"\b([A-Za-z])\.\s*(?=[A-Za-z]\.)", "$1")
+    s = F.regexp_replace(s, r"\b([A-Za-z])\.\s*([A-Za-z])\.", "$1$2 ")
     s = F.regexp_replace(s, r"[.\-]", " ")
     s = F.lower(fold_accents(s))
     return _squeezed(F.regexp_replace(s, r"\bsaint\b", "st"))
@@ -120,3 +121,32 @@ def url_slug(url: Column) -> Column:
 def absolute_url(path: Column, base: str) -> Column:
     """Absolute form of a path, without slashes at its end."""
     return F.regexp_replace(F.when(path.startswith("/"), F.concat(F.lit(base.rstrip("/")), path)).otherwise(path), "/+$", "")
+
+
+def opponent_tokens(name: Column) -> Column:
+    """Distinct words of three letters or more of an opponent without rank."""
+    bare = F.regexp_replace(F.lower(fold_accents(F.regexp_replace(name, r"#\d+.*$", ""))), "[^a-z0-9 ]", " ")
+    return F.array_distinct(F.filter(F.split(bare, " +"), lambda w: F.length(w) >= 3))
+
+
+def first_match(text: Column, patterns: Iterable[str]) -> Column:
+    """First group of the first pattern that occurs in a text, null where none does."""
+    return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in patterns])
+
+
+def without_repeated_slug(name: Column) -> Column:
+    """An event name without the capitals before it that say its beginning again (`GFC 7 GFC 7: A vs. B`); the longest
+    such beginning goes, names under four words stay."""
+    words = F.split(name, r"\s+")
+    plain = F.transform(words, lambda w: F.rtrim(F.lower(w), F.lit(".:")))
+    n = F.size(words)
+    halves = F.filter(F.sequence(F.lit(1), F.greatest(F.floor(n / 2), F.lit(1)).cast("int")), lambda h: F.slice(plain, 1, h) == F.slice(plain, h + 1, h))
+    longest = F.array_max(halves)
+    return F.when((n >= 4) & longest.isNotNull(), F.array_join(F.slice(words, longest + 1, n), " ")).otherwise(name)
+
+
+def without_subtitle(name: Column) -> Column:
+    """An event name without what stands behind a bar and without a discipline before `Event`; the first six words of
+    names over 60 letters."""
+    s = F.trim(F.regexp_replace(name, r"(?i)\s*(?:[|│].*|\b(?:Muay\s+Thai|Kickboxing|K-?1|Boxing|MMA|Grappling|Wrestling)\s+(?:&|Event\b|Combat\b).*)$", ""))
+    return F.when(F.length(s) > 60, F.array_join(F.slice(F.split(s, r"\s+"), 1, 6), " ")).otherwise(s)
