@@ -1,22 +1,23 @@
 """Entities of two tables without a common key, matched by BM25 over all attributes.
 
 Every record is a bag of terms (names, parts and spellings of names, dates, country, class, record ...). The
-inverted index holds the terms of the known records with their BM25 weights; a query's score for a record is the
-sum over shared terms. The top candidates are exact and yet most postings are never read: a query's terms are
-sorted by weight, and its essential terms are the heaviest ones whose remaining terms together cannot reach
-`min_score`. A record that shares no essential term cannot score `min_score` and needs no score. Where a pair must
-share a term of some kinds, these are sorted before all others, whatever they weigh. Only essential terms look up the index, so terms that a third of all records have are never joined; candidates are then scored
-over all their terms.
+inverted index holds the terms of the known records; a query's score for a record is the sum over shared terms.
+Any term may look a record up. The `k` best records of a query are exact among those that reach `floor` times the
+query's own mass, the score of a record with all its terms (unknown terms weigh most): the terms of a query are sorted
+by weight, and one is essential when it and those after it can still reach the floor. A record that shares no
+essential term cannot reach it. As the floor is a share of the query's mass, it means the same at any number of
+records, and terms that a third of all records have are too light to look up anything.
 
 A pair matches when each is the other's best within its source (mutual nearest). The confidence is a logistic
-function of score and score gap to the runner-up, calibrated on a bounded sample of pairs that a rare attribute
-(`evidence`) tells apart.
+function of score, gap to the runner-up and agreeing attributes. It is calibrated on a bounded sample of pairs that an
+attribute left out of all these features (`label`) tells apart; what that attribute says of a pair is added as the log
+ratio of how often it says so of matches and of others.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,44 +25,43 @@ from recordloom.session import checkpoint
 
 CALIBRATION = 20_000
 K1, B = 1.2, 0.3
-#: Bits in which the low halves of keys may differ: two edits change two letters each.
-KEY_BITS = 4
-
-
-def bm25_candidates(known: DataFrame, queries: DataFrame, min_score: float, weight: Column, kind: Callable[[Column], Column], required: Column | None = None, keyed: bool = False) -> DataFrame:
-    """`(query, key, score, shared)` for every pair that scores at least `min_score`; `shared` are the kinds of
-    shared terms. Both inputs are `(key, terms)` with distinct terms as numbers; `weight` weighs a column `term`,
-    `kind` tells a term's kind. Where a pair must share a term of some kinds, `required` (a condition on `term`)
-    says which, and only those look up the index; they come first in the order, so that what a skipped one leaves
-    is weighed with all terms that look up nothing. Where `keyed`, both inputs have an array `keys` of 64-bit numbers
-    too, and a pair of equal high halves whose low halves differ in at most `KEY_BITS` bits is scored even if it
-    shares no essential term. Records without terms match nothing."""
+
+
+def bm25_candidates(known: DataFrame, queries: DataFrame, floor: float, k: int | None, weight: Column, kind: Callable[[Column], Column], apart: Callable[[Column], Column] | None = None) -> DataFrame:
+    """`(query, key, score, rest, share, shared, differ)`: the `k` best records (all where `k` is none, more than `k` on equal
+    scores) of each query among those that reach `floor` times its mass.
+
+    Both inputs are `(key, terms)` with distinct terms as numbers; `weight` weighs a column `term`, `kind` tells a term's
+    kind. `rest` is the score without the terms that `apart` sets apart, `share` the score as a share of
+    the mass; `shared` are the kinds of shared terms, `differ` the kinds both have without sharing a term. Records
+    without terms match nothing."""
     facts = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("mean")).first()
     n, mean = float(facts["n"] or 0), float(facts["mean"] or 1.0)
     norm = (K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / F.lit(mean)))
     index = known.select("key", F.explode("terms").alias("term"))
     flat = queries.select("key", F.explode("terms").alias("term"))
     df = index.join(flat.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = df.select("term", (F.log1p((F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)) * weight).alias("w"))
-    asked = checkpoint(flat.join(idf, "term"))
+    found = F.coalesce("df", F.lit(0))
+    idf = F.log1p((F.lit(n) - found + 0.5) / (found + 0.5)) * weight
     # The most a term can add: its weight for a record of one term.
     most = (K1 + 1) / (1 + K1 * (1 - B))
-    looks_up = F.lit(True) if required is None else required
-    heaviest = Window.partitionBy("key").orderBy(looks_up.desc(), F.desc("w"), "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    essential = asked.withColumn("rest", F.sum(F.col("w") * most).over(heaviest)).filter((F.col("rest") >= min_score) & looks_up)
-    met = essential.select(F.col("key").alias("query"), "term").join(index, "term").select("query", "key")
-    if keyed:
-        high = lambda c: F.shiftright(c, 32).cast("int")
-        keys = queries.select(F.col("key").alias("query"), F.explode("keys").alias("k"))
-        stored = known.select("key", F.explode("keys").alias("s"))
-        close = F.bit_count(F.col("k").bitwiseXOR(F.col("s"))) <= KEY_BITS
-        met = met.unionByName(keys.join(stored, high("k") == high("s")).filter(close).select("query", "key"))
-    met = met.distinct()
-    q = asked.groupBy(F.col("key").alias("query")).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"))
+    asked = checkpoint(flat.join(df, "term", "left").select("key", "term", idf.alias("w"), F.col("df").isNotNull().alias("known")))
+    lightest = Window.partitionBy("key").orderBy(F.col("known"), F.desc("w"), "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    weighed = asked.withColumns({"left": F.sum(F.col("w") * most).over(lightest), "mass": F.sum("w").over(Window.partitionBy("key"))})
+    essential = weighed.filter(F.col("known") & (F.col("left") >= floor * F.col("mass")))
+    met = essential.select(F.col("key").alias("query"), "term").join(index, "term").select("query", "key").distinct()
+    q = asked.groupBy(F.col("key").alias("query")).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"), F.sum("w").alias("mass"))
     paired = met.join(known.select("key", "terms", norm.alias("norm")), "key").join(q, "query")
-    score = F.aggregate("terms", F.lit(0.0), lambda s, t: s + F.coalesce(F.try_element_at("weights", t), F.lit(0.0))) * F.col("norm")
-    shared = F.array_distinct(F.transform(F.filter("terms", lambda t: F.map_contains_key("weights", t)), kind))
-    return paired.select("query", "key", score.alias("score"), shared.alias("shared")).filter(F.col("score") >= min_score)
+    hits = F.filter("terms", lambda t: F.map_contains_key("weights", t))
+    total = lambda ts: F.aggregate(ts, F.lit(0.0), lambda s, t: s + F.try_element_at("weights", t)) * F.col("norm")
+    scored = paired.withColumn("hits", hits).withColumn("score", total("hits")).filter(F.col("score") >= floor * F.col("mass"))
+    kinds = lambda ts: F.array_distinct(F.transform(ts, kind))
+    rest = total(F.filter("hits", lambda t: ~apart(t))) if apart is not None else F.col("score")
+    both = F.array_intersect(kinds("terms"), kinds(F.map_keys("weights")))
+    told = scored.select("query", "key", "score", rest.alias("rest"), (F.col("score") / F.col("mass")).alias("share"), kinds("hits").alias("shared"), F.array_except(both, kinds("hits")).alias("differ"))
+    if k is None:
+        return told
+    return told.withColumn("rank", F.rank().over(Window.partitionBy("query").orderBy(F.desc("score")))).filter(F.col("rank") <= k).drop("rank")
 
 
 def mutual_best(scored: DataFrame, source: str = "source") -> DataFrame:
@@ -95,13 +95,27 @@ def fit_logistic(rows: list[tuple[list[float], int]], steps: int = 400, rate: fl
     return w.tolist(), mean, scale
 
 
-def calibrated(matches: DataFrame, features: list[str], evidence: Column, sample: int = CALIBRATION) -> DataFrame:
-    """`matches` with a `confidence`: a logistic model of `features`, fitted on at most `sample` rows whose
-    `evidence` is known (1 agrees, 0 contradicts, null unknown), taken in hash order."""
-    labelled = matches.withColumn("label", evidence).filter("label is not null")
-    rows = labelled.orderBy(F.xxhash64("query", "key")).limit(sample).select(*features, "label").collect()
-    w, mean, scale = fit_logistic([([float(r[f]) for f in features], int(r["label"])) for r in rows])
-    z = F.lit(w[0])
-    for f, wi, m, s in zip(features, w[1:], mean, scale):
-        z = z + F.lit(wi) * (F.col(f) - F.lit(m)) / F.lit(s)
-    return matches.withColumn("confidence", F.lit(1.0) / (F.lit(1.0) + F.exp(-z)))
+def calibrated(pairs: DataFrame, features: Mapping[str, Column], label: Column, says: Mapping[str, Column], sample: int = CALIBRATION) -> DataFrame:
+    """`pairs` with a `confidence`: a logistic model of `features`, fitted on at most `sample` rows whose `label` is known
+    (1 same, 0 different, null unknown; in hash order), and the log ratio of what the labelling attribute `says`.
+
+    `says` are named conditions that exclude one another; one that holds for a pair shifts it by how much more often it
+    holds for the sample's likely matches than for the others. Where none holds the model decides alone."""
+    named = pairs.select("*", *[c.cast("double").alias(f"f_{n}") for n, c in features.items()], *[F.coalesce(c, F.lit(False)).alias(f"s_{n}") for n, c in says.items()], label.alias("label"))
+    rows = named.filter("label is not null").orderBy(F.xxhash64("query", "key")).limit(sample).select(*[f"f_{n}" for n in features], *[f"s_{n}" for n in says], "label").collect()
+    x = [[float(r[f"f_{n}"]) for n in features] for r in rows]
+    labelled = [(v, int(r["label"])) for v, r in zip(x, rows)]
+    # Twice: what is labelled different but looks the same has a wrong label (a wrong birth date) and is left out.
+    for _ in range(2):
+        w, mean, scale = fit_logistic(labelled)
+        of = lambda v: w[0] + sum(wi * (vi - m) / s for vi, wi, m, s in zip(v, w[1:], mean, scale))  # noqa: B023, E731
+        likely = [1 / (1 + math.exp(-max(-30.0, min(30.0, of(v))))) for v in x]
+        labelled = [(v, int(r["label"])) for v, r, p in zip(x, rows, likely) if r["label"] or p < 0.5]
+    logit = F.lit(w[0])
+    for n, wi, m, s in zip(features, w[1:], mean, scale):
+        logit = logit + F.lit(wi) * (F.col(f"f_{n}") - F.lit(m)) / F.lit(s)
+    matches, others = sum(likely) + 1, len(likely) - sum(likely) + 1
+    for n in says:
+        held = sum(p for p, r in zip(likely, rows) if r[f"s_{n}"]) + 0.5, sum(1 - p for p, r in zip(likely, rows) if r[f"s_{n}"]) + 0.5
+        logit = logit + F.when(F.col(f"s_{n}"), math.log(held[0] / matches) - math.log(held[1] / others)).otherwise(0.0)
+    return named.withColumn("confidence", F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))).drop(*[f"f_{n}" for n in features], *[f"s_{n}" for n in says], "label")

@@ -3,23 +3,19 @@
 from __future__ import annotations
 
 import datetime
-import functools
 import re
 from collections.abc import Callable, Iterator
-from itertools import combinations
 
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from recordloom.functions.text import squash
-from recordloom.llm.canonical import deletions
-from recordloom.llm.person_names import Name, formal_names, halves, read_name
+from recordloom.llm.person_names import formal_names, halves, read_name
 
 _MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 #: Kinds of terms; a term is a 64-bit hash whose low six bits are the kind.
 KINDS = ("whole", "full", "pre", "suf", "init", "surname", "nick", "born", "bornym", "bornmd", "bornyd", "bornset", "country", "class", "height", "record", "bout")
-TERMS = T.StructType([T.StructField("key", T.LongType()), T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("dated", T.BooleanType())])
+TERMS = T.StructType([T.StructField("key", T.LongType()), T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("dated", T.BooleanType())])
 
 
 def term_code(term: str) -> int:
@@ -27,13 +23,6 @@ def term_code(term: str) -> int:
     return code - (1 << 64) if code >> 63 else code
 
 
-def key_code(key: str, letters: str) -> int:
-    """A key in the high 32 bits (a clash only costs a candidate more), the set of `letters` in the low ones: an edit
-    changes at most two of them."""
-    code = xxhash.xxh32_intdigest(key) << 32 | functools.reduce(lambda m, c: m | 1 << ord(c) % 32, letters, 0)
-    return code - (1 << 64) if code >> 63 else code
-
-
 def term_kind(term: Column) -> Column:
     return F.element_at(F.array(*[F.lit(k) for k in KINDS]), (term.bitwiseAND(F.lit(63)) + 1).cast("int"))
 
@@ -104,23 +93,8 @@ def name_terms(text: str | None, nickname: str | None, givens: frozenset[str], p
     return out
 
 
-def lookup_keys(n: Name | None, nickname: str, facts: set[str], parts: dict) -> set[tuple[str, str]]:
-    """`(key, surname)`: keys that are looked up but not scored. Two names `may_be_same` accepts share one if their surnames are equal
-    or within one edit, or if their records share a fact: with surnames two edits apart the given names are forms of
-    one another or one edit apart. `facts` back a match: the record, and any two of country, class and height."""
-    if n is None:
-        return set()
-    out = set()
-    for given, surname in n.readings:
-        out |= {(f"near {s}", surname) for s in ({surname, *deletions(surname, 1)} if len(surname) > 4 else {surname})}
-        out |= {(f"{fact} {g}", surname) for fact in facts for g in {given, *deletions(given, 1), *formal_names(given, parts)}}
-    if n.words:
-        out |= {(f"nick {x} {n.words[-1]}", "") for x in {nickname, n.nickname} if x}
-    return out
-
-
 def person_terms(df: DataFrame, pivots: list[str], countries: Callable[[], Callable[[str], int]], weights: Callable[[], Callable[[str], int]], query: bool) -> DataFrame:
-    """`(key, terms, keys, dated)`, the coded terms, the coded `lookup_keys` and whether a birth date was read, of rows `(key, name, nickname, born, country, height, weight, record, last)`, all but `key`
+    """`(key, terms, dated)`, the coded terms and whether a birth date was read, of rows `(key, name, nickname, born, country, height, weight, record, last)`, all but `key`
     strings; attributes that are missing or unreadable have no term."""
     givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
 
@@ -135,30 +109,26 @@ def person_terms(df: DataFrame, pivots: list[str], countries: Callable[[], Calla
             return memo[kind, text]
 
         for batch in batches:
-            keys, terms, looked_up, dated = [], [], [], []
+            keys, terms, dated = [], [], []
             for key, name, nick, born, home, height, wc, record, last in zip(*[batch[c] for c in ("key", "name", "nickname", "born", "country", "height", "weight", "record", "last")]):
-                loose, facts = [], set()
                 t = name_terms(name, nick, givens, parts, query)
                 born_at = read_dates(born)
                 for d in born_at:
                     t |= {f"born={d}", f"bornym={d:%Y-%m}", f"bornmd={d:%m-%d}", f"bornyd={d:%Y-%d}", f"bornset={d.year}-{min(d.month, d.day)}-{max(d.month, d.day)}"}
                 if home and (c := known("c", country, home)):
-                    loose.append(f"country={c}")
+                    t.add(f"country={c}")
                 if wc and (c := known("w", weight, wc)):
-                    loose.append(f"class={c}")
+                    t.add(f"class={c}")
                 if (i := read_inches(height)) is not None:
-                    loose.append(f"height={i}")
+                    t.add(f"height={i}")
                 if record and (m := re.match(r"\s*(\d+)\s*-\s*(\d+)(?:\s*-\s*(\d+))?", record)):
-                    facts.add(f"record={int(m[1])}-{int(m[2])}-{int(m[3] or 0)}")
+                    t.add(f"record={int(m[1])}-{int(m[2])}-{int(m[3] or 0)}")
                 for d in read_dates(last)[:1]:
                     t |= {f"bout={d}"}
-                t |= facts | set(loose)
-                facts |= {f"{a} {b}" for a, b in combinations(loose, 2)}
                 keys.append(key)
                 terms.append([term_code(x) for x in t])
-                looked_up.append([key_code(*x) for x in lookup_keys(read_name(name, givens), squash(nick or ""), facts, parts)])
                 dated.append(bool(born_at))
-            yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "terms": pd.Series(terms, dtype=object), "keys": pd.Series(looked_up, dtype=object), "dated": pd.Series(dated, dtype=bool)})
+            yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "terms": pd.Series(terms, dtype=object), "dated": pd.Series(dated, dtype=bool)})
 
     picked = df.select(F.col("key").cast("long"), *[F.col(c).cast("string") for c in ("name", "nickname", "born", "country", "height", "weight", "record", "last")])
     return picked.mapInPandas(run, TERMS)

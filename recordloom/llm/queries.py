@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from recordloom.functions.text import squash
 
@@ -134,8 +134,10 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_batch(store, listings(table(spark, sf_dir, "event_batches"), "raw", "raw_id", "name", "promotion", "date", "tapology_url", promoter))
 
 
-#: Score two records must reach; a full name, or a near name with a birth date or two other attributes, does.
-MATCH_SCORE = 6.0
+#: Share of a profile's mass that a fighter must reach, and how many of its best fighters are weighed.
+FLOOR, BEST = 0.1, 5
+#: Confidence from which a pair is a match.
+CONFIDENT = 0.5
 
 
 def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +168,8 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     weight = F.lit(0.5)
     for kinds, w in ((("whole", "full"), 0.45), (("pre", "suf"), 0.25), (("init", "surname"), 0.3), (("nick",), 0.4), (("born",), 0.6), (("bornym", "bornmd", "bornyd", "bornset"), 0.2), (("record", "bout"), 0.35)):
         weight = F.when(kind.isin(*kinds), w).otherwise(weight)
-    looks_up = kind.isin("whole", "full", "pre", "suf", "init", "surname", "nick", "born", "bornset", "bout")
-    scored = bm25_candidates(known.select("key", "terms", "keys"), asked.select("key", "terms", "keys"), MATCH_SCORE, weight, term_kind, looks_up, keyed=True)
+    of_birth = lambda t: term_kind(t).startswith("born")
+    scored = bm25_candidates(known.select("key", "terms"), asked.select("key", "terms"), FLOOR, BEST, weight, term_kind, of_birth)
     givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
 
     @F.pandas_udf(T.BooleanType())
@@ -184,14 +186,15 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = sides.filter(names_agree("full_name", "name", "nickname")).drop("full_name", "name", "nickname")
     dated = lambda d, k, c: d.select(F.col("key").alias(k), F.col("dated").alias(c))
     both = named.join(dated(asked, "query", "qd"), "query").join(dated(known, "key", "kd"), "key")
-    both = both.withColumn("agrees", F.when(F.col("qd") & F.col("kd"), F.array_contains("shared", "born").cast("int"))).drop("qd", "kd")
     in_ = lambda *kinds: F.arrays_overlap("shared", F.array(*map(F.lit, kinds)))
-    loose = F.size(F.array_intersect("shared", F.array(*map(F.lit, ("country", "class", "height")))))
-    backed = in_("bout", "record") | (loose >= 2)
-    sure = F.when(F.col("agrees") == 1, F.lit(True)).when(F.col("agrees").isNull(), backed)
-    sure = sure.when(in_("bornym", "bornmd", "bornyd", "bornset"), backed).otherwise(in_("bout") & in_("record"))
-    best = checkpoint(mutual_best(both.filter(sure)))
-    found = calibrated(best, ["score", "gap"], F.col("agrees"))
+    side = lambda c: F.when(in_(c), 1).when(F.array_contains("differ", c), -1).otherwise(0)
+    others = Window.partitionBy("query").orderBy(F.desc("rest"), "key")
+    ahead = F.col("rest") - F.when(F.row_number().over(others) == 1, F.coalesce(F.lead("rest").over(others), F.lit(0.0))).otherwise(F.first("rest").over(others))
+    told = checkpoint(both.withColumn("ahead", ahead))
+    features = {"rest": F.col("rest"), "ahead": F.col("ahead"), "spelled": in_("whole", "full").cast("int"), **{c: side(c) for c in ("bout", "record", "country", "class", "height")}}
+    dates, same, part = F.col("qd") & F.col("kd"), F.array_contains("shared", "born"), in_("bornym", "bornmd", "bornyd", "bornset")
+    sure = calibrated(told, features, F.when(dates, (same | part).cast("int")), {"same": dates & same, "part": dates & ~same & part, "apart": dates & ~same & ~part})
+    found = mutual_best(sure).filter(F.col("confidence") >= CONFIDENT)
     return found.select(F.col("query").alias("profile_id"), F.col("key").alias("fighter_id"), "source", "score", "gap", "confidence")
 
 
