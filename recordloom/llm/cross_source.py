@@ -3,8 +3,8 @@
 Every record is a bag of terms (names, parts and spellings of names, dates, country, class, record ...). The
 inverted index holds the terms of the known records; a query's score for a record is the sum over shared terms.
 Any term may look a record up. The `k` best records of a query are exact among those that reach `floor` times the
-query's own mass, the score of a record with all its terms (unknown terms weigh most): the terms of a query are sorted
-by weight, and one is essential when it and those after it can still reach the floor. A record that shares no
+query's own mass, the weights of its heaviest term of each `group` (by default kind; unknown terms weigh most): the terms of a query are
+sorted by weight, and one is essential when it and those after it can still reach the floor. A record that shares no
 essential term cannot reach it. As the floor is a share of the query's mass, it means the same at any number of
 records, and terms that a third of all records have are too light to look up anything.
 
@@ -27,7 +27,7 @@ CALIBRATION = 20_000
 K1, B = 1.2, 0.3
 
 
-def bm25_candidates(known: DataFrame, queries: DataFrame, floor: float, k: int | None, weight: Column, kind: Callable[[Column], Column], apart: Callable[[Column], Column] | None = None) -> DataFrame:
+def bm25_candidates(known: DataFrame, queries: DataFrame, floor: float, k: int | None, weight: Column, kind: Callable[[Column], Column], apart: Callable[[Column], Column] | None = None, group: Callable[[Column], Column] | None = None) -> DataFrame:
     """`(query, key, score, rest, share, shared, differ)`: the `k` best records (all where `k` is none, more than `k` on equal
     scores) of each query among those that reach `floor` times its mass.
 
@@ -45,12 +45,20 @@ def bm25_candidates(known: DataFrame, queries: DataFrame, floor: float, k: int |
     idf = F.log1p((F.lit(n) - found + 0.5) / (found + 0.5)) * weight
     # The most a term can add: its weight for a record of one term.
     most = (K1 + 1) / (1 + K1 * (1 - B))
-    asked = checkpoint(flat.join(df, "term", "left").select("key", "term", idf.alias("w"), F.col("df").isNotNull().alias("known")))
-    lightest = Window.partitionBy("key").orderBy(F.col("known"), F.desc("w"), "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    weighed = asked.withColumns({"left": F.sum(F.col("w") * most).over(lightest), "mass": F.sum("w").over(Window.partitionBy("key"))})
-    essential = weighed.filter(F.col("known") & (F.col("left") >= floor * F.col("mass")))
-    met = essential.select(F.col("key").alias("query"), "term").join(index, "term").select("query", "key").distinct()
-    q = asked.groupBy(F.col("key").alias("query")).agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"), F.sum("w").alias("mass"))
+    asked = flat.join(df, "term", "left").groupBy("key").agg(F.collect_list(F.struct(idf.alias("w"), "term", F.col("df").isNotNull().alias("known"))).alias("e"))
+    group = group or kind
+    best_of = lambda name: F.array_max(F.transform(F.filter("e", lambda x: group(x["term"]) == name), lambda x: x["w"]))
+    mass = F.aggregate(F.array_distinct(F.transform("e", lambda x: group(x["term"]))), F.lit(0.0), lambda s, name: s + best_of(name))
+    rising = F.array_sort(F.transform(F.filter("e", lambda x: x["known"]), lambda x: F.struct(x["w"].alias("w"), x["term"].alias("term"))))
+    begun = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<bigint>").alias("terms"))
+
+    def further(s: Column, x: Column) -> Column:
+        total = s["sum"] + x["w"] * most
+        return F.struct(total.alias("sum"), F.when(total >= floor * F.col("mass"), F.concat(s["terms"], F.array(x["term"]))).otherwise(s["terms"]).alias("terms"))
+
+    q = asked.select(F.col("key").alias("query"), "e", mass.alias("mass")).select("query", "mass", rising.alias("known"))
+    q = checkpoint(q.select("query", "mass", F.aggregate("known", begun, further)["terms"].alias("essential"), F.map_from_entries(F.transform("known", lambda x: F.struct(x["term"], x["w"]))).alias("weights")))
+    met = q.select("query", F.explode("essential").alias("term")).join(index, "term").select("query", "key").distinct()
     paired = met.join(known.select("key", "terms", norm.alias("norm")), "key").join(q, "query")
     hits = F.filter("terms", lambda t: F.map_contains_key("weights", t))
     total = lambda ts: F.aggregate(ts, F.lit(0.0), lambda s, t: s + F.try_element_at("weights", t)) * F.col("norm")

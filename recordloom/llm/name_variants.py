@@ -1,16 +1,15 @@
 """Variant spellings of names of persons, linked by metric-space partitioning.
 
 A name is a point `(given, surname)`; the distance of two names is the Levenshtein distance of the given names
-plus that of the surnames, a true metric. The pivots are the commonest given names, the cell of a pivot the names
-nearest to it. By the triangle inequality two names within `RADIUS` lie in cells whose pivots differ by at most
-`2 * RADIUS` in their distance to either name, so boundary names are replicated: a known name whose given name is a
-pivot stays in that cell and is visited by queries within `RADIUS` of the pivot; the few known names with another
-given name are replicated to every pivot at most `2 * RADIUS` farther than their nearest, and a query meets them in
-its own cell. Inside a cell the radius join is exact: surnames within `RADIUS` edits share one of `RADIUS + 1`
-segments at a shifted place (pigeonhole), which makes an equi-join, and each meeting pair is measured.
-
-Names that agree after normalisation (order, accents, ranks, initials, short forms, nicknames) are distance 0
-and found by plain equi-joins; only the rest takes part in the metric join.
+plus that of the surnames, a true metric. Every given name of a known person is a pivot, and a known name lies in the
+cell of its own. By the triangle inequality a name within `RADIUS` of one in a cell lies within `RADIUS` of the cell's
+pivot, so a query is replicated to just the pivots that near (`visited_cells`); what the given names differ by is taken
+off the radius inside the cell. There the join is exact: surnames within r edits share one of r + 1 segments at a shifted
+place (pigeonhole), which makes an equi-join, and each meeting pair is measured. The pivots near a query are found in
+the same way. Nothing is broadcast, and no name is left out of the join.
+
+Names that agree after normalisation (order, accents, ranks, initials, short forms, nicknames) are distance 0 and found
+by plain equi-joins too. Which near names are taken for misspellings is decided after the join (`misspellings`).
 """
 
 from __future__ import annotations
@@ -18,16 +17,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from recordloom.functions.text import fold_accents
+from recordloom.functions.text import fold_accents, squash
 from recordloom.llm.person_names import formal_names, halves, is_relative, read_name
 from recordloom.session import checkpoint
 
 RADIUS = 2
-PIVOTS = 256
-#: A given name is a pivot when at least one row in so many has it.
-PIVOT_SUPPORT = 2000
+#: A given name is common when at least one row in so many has it; no more names than that can be.
+COMMON = 2000
 
 READING = T.StructType(
     [T.StructField("key", T.StringType()), T.StructField("kind", T.StringType()), T.StructField("given", T.StringType()), T.StructField("surname", T.StringType()), T.StructField("junior", T.BooleanType())]
@@ -35,17 +33,17 @@ READING = T.StructType(
 
 
 def common_givens(known: DataFrame, name: str) -> list[str]:
-    """The pivots: first words of at least one name in `PIVOT_SUPPORT`, at most `PIVOTS` of them, commonest first."""
+    """Common given names: first words of at least one name in `COMMON` (and two rows), commonest first."""
     first = F.regexp_extract(F.lower(fold_accents(F.col(f"`{name}`"))), r"^\s*([a-z][a-z'\-]{2,})\s+\S", 1)
-    counted = known.select(first.alias("g")).filter("g <> ''").groupBy("g").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "g").limit(PIVOTS).collect()
-    total = sum(r["n"] for r in counted)
-    return [r["g"] for r in counted if r["n"] * PIVOT_SUPPORT >= total and r["n"] > 1]
+    counted = known.select(first.alias("g")).filter("g <> ''").groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    total = counted.agg(F.sum("n").alias("total"))
+    return [r["g"] for r in counted.filter("n > 1").join(F.broadcast(total), F.col("n") * COMMON >= F.col("total")).orderBy(F.desc("n"), "g").collect()]
 
 
-def read_names(df: DataFrame, key: str, name: str, pivots: list[str], nickname: str | None = None, expand: bool = True) -> DataFrame:
+def read_names(df: DataFrame, key: str, name: str, common: list[str], nickname: str | None = None, expand: bool = True) -> DataFrame:
     """Readings of names: `(key, kind, given, surname, junior)`; kinds `name`, `short` (a short form's formal
     name), `nick` (nickname for the given name) and `whole` (all letters, for names typed without a blank)."""
-    givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
+    givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in common), halves(common)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -59,7 +57,7 @@ def read_names(df: DataFrame, key: str, name: str, pivots: list[str], nickname:
                     out.append((k, "name", given, surname, n.junior))
                     for formal in formal_names(given, parts) if expand else ():
                         out.append((k, "short", formal, surname, n.junior))
-                nicks = [n.nickname] if nick is None else [read_nick(nick)]
+                nicks = [n.nickname] if nick is None else [squash(nick)]
                 surnames = {s for _, s in n.readings[:1]} | {n.words[-1]}
                 out += [(k, "nick", x, s, n.junior) for x in nicks for s in surnames if x and x != s]
             yield pd.DataFrame(out, columns=READING.names, dtype=object)
@@ -69,86 +67,69 @@ def read_names(df: DataFrame, key: str, name: str, pivots: list[str], nickname:
     return picked.mapInPandas(read, READING)
 
 
-def read_nick(text: str) -> str:
-    from recordloom.functions.text import squash
+def _segments(n: int, parts: int) -> list[tuple[int, int]]:
+    """Start and length of the segments of a word of n letters; some are empty where it has fewer letters than parts."""
+    sizes = [n // parts + (i >= parts - n % parts) for i in range(parts)]
+    starts = [sum(sizes[:i]) for i in range(parts)]
+    return list(zip(starts, sizes))
 
-    return squash(text)
 
+def segment_keys(word: str, radius: int, query: bool) -> list[str]:
+    """The segments of a word, or for a query those it may share with a word within `radius` edits."""
+    n = len(word)
+    if not query:
+        return [f"{radius}.{n}.{i}.{word[a : a + size]}" for i, (a, size) in enumerate(_segments(n, radius + 1))]
+    keys = []
+    for length in range(max(0, n - radius), n + radius + 1):
+        shift = n - length
+        for i, (a, size) in enumerate(_segments(length, radius + 1)):
+            left, right = max(-i, shift - (radius - i)), min(i, shift + (radius - i))
+            for at in range(max(0, a + left), min(n - size, a + right) + 1):
+                keys.append(f"{radius}.{length}.{i}.{word[at : at + size]}")
+    return list(dict.fromkeys(keys))
 
-def _measured(given: Column, pivots: list[str]) -> Column:
-    return F.transform(F.array(*[F.lit(p) for p in pivots]), lambda p: F.struct(F.levenshtein(given, p).alias("d"), p.alias("p")))
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _kept_keys(words: pd.Series) -> pd.Series:
+    return words.map(lambda w: [k for r in range(RADIUS + 1) for k in segment_keys(w, r, False)])
 
-def known_cells(given: Column, m: Column, pivots: list[str]) -> Column:
-    """Cells of a known name with distances `m`: its pivot, or for another given name every pivot within reach of
-    the nearest."""
-    reach = F.transform(F.filter(m, lambda x: x["d"] <= F.array_min(m)["d"] + 2 * RADIUS), lambda x: x["p"])
-    return F.when(given.isin(pivots), F.array(given)).otherwise(reach)
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _asked_keys(words: pd.Series, radius: pd.Series) -> pd.Series:
+    return pd.Series([segment_keys(w, r, True) for w, r in zip(words, radius)], dtype=object)
 
-def query_cells(given: Column, m: Column, pivots: list[str]) -> Column:
-    """Cells a query with distances `m` visits: its nearest pivot's, and those of the pivots it may be a
-    misspelling of. Another common given name is no misspelling."""
-    near = F.transform(F.filter(m, lambda x: x["d"] <= RADIUS), lambda x: x["p"])
-    return F.when(given.isin(pivots), F.array(given)).otherwise(F.array_union(F.array(F.array_min(m)["p"]), near))
 
+def visited_cells(asked: DataFrame, pivots: DataFrame) -> DataFrame:
+    """`(qg, cell, g)`: the pivots (`given`) within `RADIUS` of each given name (`qg`), with their distance."""
+    kept = pivots.select(F.col("given").alias("cell"), F.explode(_kept_keys("given")).alias("k")).filter(F.col("k").startswith(f"{RADIUS}."))
+    keys = asked.select("qg", F.explode(_asked_keys("qg", F.lit(RADIUS))).alias("k"))
+    return keys.join(kept, "k").select("qg", "cell").distinct().withColumn("g", F.levenshtein("qg", "cell", RADIUS)).filter("g >= 0")
 
-def _segments(n: int) -> list[tuple[int, int]]:
-    """Start and length of `RADIUS + 1` segments of a word of n letters."""
-    parts = RADIUS + 1
-    sizes = [n // parts + (i >= parts - n % parts) for i in range(parts)]
-    starts = [sum(sizes[:i]) for i in range(parts)]
-    return list(zip(starts, sizes))
 
+def metric_pairs(queries: DataFrame, known: DataFrame) -> DataFrame:
+    """`(query, key, qg, qs, given, surname, g, s)` for every two readings within `RADIUS` (both `(key, given, surname)`),
+    with the distances of given names and surnames. Repeated readings give one row, empty words are words."""
+    names = checkpoint(queries.groupBy(F.col("given").alias("qg"), F.col("surname").alias("qs")).agg(F.count(F.lit(1)).alias("n")))
+    visits = visited_cells(names.select("qg").distinct(), known.select("given").distinct())
+    mark = F.xxhash64("cell", "segment").alias("mark")
+    q = names.join(visits, "qg").select("qg", "qs", "cell", "g", F.explode(_asked_keys("qs", F.lit(RADIUS) - F.col("g"))).alias("segment")).select("qg", "qs", F.col("cell").alias("given"), "g", mark)
+    k = known.select("given", "surname").distinct().select(F.col("given").alias("cell"), "surname", F.explode(_kept_keys("surname")).alias("segment")).select(F.col("cell").alias("kg"), "surname", mark)
+    met = q.join(k, "mark").filter("given = kg").withColumn("s", F.levenshtein("qs", "surname", RADIUS)).filter(f"s >= 0 and g + s <= {RADIUS}")
+    near = met.select("qg", "qs", "given", "surname", "g", "s").distinct()
+    asked = queries.select(F.col("key").alias("query"), F.col("given").alias("qg"), F.col("surname").alias("qs")).distinct()
+    return near.join(asked, ["qg", "qs"]).join(known.select("key", "given", "surname").distinct(), ["given", "surname"])
 
-def surname_keys(surname: str, query: bool) -> list[str]:
-    """Segment keys of a surname: its own segments, or for a query those it may share with a surname in the radius."""
-    n = len(surname)
-    if not query:
-        return [f"{n}.{i}.{surname[a : a + size]}" for i, (a, size) in enumerate(_segments(n))]
-    keys = []
-    for length in range(max(1, n - RADIUS), n + RADIUS + 1):
-        shift = n - length
-        for i, (a, size) in enumerate(_segments(length)):
-            left, right = max(-i, shift - (RADIUS - i)), min(i, shift + (RADIUS - i))
-            for at in range(max(0, a + left), min(n - size, a + right) + 1):
-                keys.append(f"{length}.{i}.{surname[at : at + size]}")
-    return list(dict.fromkeys(keys))
+
+def misspellings(near: DataFrame, common: list[str]) -> DataFrame:
+    """`(query, key, distance)` of the near names that may be one name misspelled: two different common given names are
+    two persons' (relatives), and words of a letter (given) or up to three (surname) are too short to tell."""
+    plain = list(dict.fromkeys(p.replace("-", "").replace("'", "") for p in common)) or ["?"]
+    short = lambda a, b, n: F.least(F.char_length(a), F.char_length(b)) <= n
+    kept = near.filter(~(F.col("qg").isin(plain) & F.col("given").isin(plain) & (F.col("g") > 0))).filter(~((F.col("g") > 0) & short("qg", "given", 1)) & ~((F.col("s") > 0) & short("qs", "surname", 3)))
+    return kept.groupBy("query", "key").agg(F.min(F.col("g") + F.col("s")).alias("distance"))
 
 
-def _keyed(query: bool):
-    def run(surnames: pd.Series) -> pd.Series:
-        memo: dict[str, list[str]] = {}
-        return pd.Series([memo.setdefault(s, surname_keys(s, query)) if s not in memo else memo[s] for s in surnames])
-
-    return F.pandas_udf(run, T.ArrayType(T.StringType()))
-
-
-def metric_pairs(queries: DataFrame, known: DataFrame, pivots: list[str]) -> DataFrame:
-    """`(query, key, distance)` for readings within `RADIUS` (both `(key, given, surname, junior)`), given names
-    of two letters or more and surnames of four or more. Two different common given names are no misspellings of
-    one another but relatives."""
-    fit = (F.char_length("given") > 1) & (F.char_length("surname") > 3)
-    queries, known = queries.filter(fit), known.filter(fit)
-    common = list(dict.fromkeys(p.replace("-", "").replace("'", "") for p in pivots)) or ["?"]
-    # Written once: an array in a lambda would measure every pivot again for each pivot.
-    givens = known.select("given").union(queries.select("given")).distinct().repartition("given")
-    measured = checkpoint(givens.withColumn("m", _measured(F.col("given"), common)))
-    places = measured.select("given", F.explode(known_cells(F.col("given"), F.col("m"), common)).alias("cell"))
-    visits = measured.select("given", F.explode(query_cells(F.col("given"), F.col("m"), common)).alias("cell"))
-    marked = F.xxhash64("cell", "segment").alias("mark")
-    k = known.select("key", "given", "surname", F.explode(_keyed(False)("surname")).alias("segment")).join(places, "given").select("key", "given", "surname", marked)
-    names = checkpoint(queries.groupBy("given", "surname").agg(F.count(F.lit(1)).alias("n")))
-    q = names.select(F.col("given").alias("qg"), F.col("surname").alias("qs"), _keyed(True)("surname").alias("segments")).join(visits.withColumnRenamed("given", "qg"), "qg")
-    q = q.select("qg", "qs", "cell", F.explode("segments").alias("segment")).select("qg", "qs", marked)
-    met = q.join(k, "mark").withColumn("s", F.levenshtein("qs", "surname", RADIUS)).filter("s >= 0").withColumn("g", F.levenshtein("qg", "given", RADIUS)).filter(f"g >= 0 and s + g <= {RADIUS}")
-    met = met.filter(~(F.col("qg").isin(common) & F.col("given").isin(common) & (F.col("qg") != F.col("given"))))
-    near = met.groupBy("qg", "qs", "key").agg(F.min(F.col("s") + F.col("g")).alias("distance"))
-    asked = queries.select(F.col("key").alias("query"), F.col("given").alias("qg"), F.col("surname").alias("qs"))
-    return asked.join(near, ["qg", "qs"]).groupBy("query", "key").agg(F.min("distance").alias("distance"))
-
-
-def name_candidates(typed: DataFrame, known_names: DataFrame, pivots: list[str]) -> DataFrame:
+def name_candidates(typed: DataFrame, known_names: DataFrame, common: list[str]) -> DataFrame:
     """`(query, key, level, distance)`: known names each typed name may mean, at its best level only.
 
     Levels: 1 the same name or letters, 2 a short form, an initial or a nickname for the given name, 3 within the
@@ -161,15 +142,11 @@ def name_candidates(typed: DataFrame, known_names: DataFrame, pivots: list[str])
     whole = q.filter("qk = 'whole'").join(k.filter("kind = 'whole'"), F.col("qs") == F.col("surname")).select("query", "key", F.lit(1).alias("level"))
     nick = q.filter("qk = 'nick'").join(k.filter("kind = 'nick'"), (F.col("qg") == F.col("given")) & (F.col("qs") == F.col("surname"))).select("query", "key", F.lit(2).alias("level"))
     one = lambda c: F.substring(c, 1, 1)
-    initials = (
-        q.filter("qk = 'name' and qg <> ''")
-        .join(k.filter("kind = 'name' and given <> ''"), (F.col("qs") == F.col("surname")) & (one("qg") == one("given")))
-        .filter("char_length(qg) = 1 or char_length(given) = 1")
-        .select("query", "key", F.lit(2).alias("level"))
-    )
-    plain = checkpoint(full.unionByName(whole).unionByName(nick).unionByName(initials).groupBy("query", "key").agg(F.min("level").alias("level")))
-    rest = typed.filter("kind = 'name'").join(plain.select(F.col("query").alias("key")).distinct(), "key", "left_anti")
-    near = metric_pairs(rest, known_names.filter("kind = 'name'"), pivots)
+    same = (F.col("qs") == F.col("surname")) & (one("qg") == one("given"))
+    qn, kn = q.filter("qk = 'name' and qg <> ''"), k.filter("kind = 'name' and given <> ''")
+    initials = [a.join(b, same).select("query", "key", F.lit(2).alias("level")) for a, b in ((qn.filter("char_length(qg) = 1"), kn), (qn, kn.filter("char_length(given) = 1")))]
+    plain = full.unionByName(whole).unionByName(nick).unionByName(initials[0]).unionByName(initials[1]).groupBy("query", "key").agg(F.min("level").alias("level"))
+    near = misspellings(metric_pairs(typed.filter("kind = 'name'"), known_names.filter("kind = 'name'")), common)
     found = plain.withColumn("distance", F.lit(0)).unionByName(near.select("query", "key", F.lit(3).alias("level"), "distance"))
     best = Window.partitionBy("query")
     return found.withColumn("top", F.min(F.struct("level", "distance")).over(best)).filter("level = top.level and distance = top.distance").drop("top")

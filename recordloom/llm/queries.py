@@ -65,6 +65,16 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved_corners(spark, sf_dir, corners(spark, sf_dir).filter("fighter_id is null").drop("fighter_id"))
 
 
+def p1_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(fighter_id, name, n_corners, by_id): every spelling under which a fighter appears on a card, whether by its id or by
+    its name alone, with how often."""
+    asked = corners(spark, sf_dir)
+    found = resolved_corners(spark, sf_dir, asked.filter("fighter_id is null").drop("fighter_id"))
+    named = asked.drop("fighter_id").join(found, ["bout_id", "corner"]).select("fighter_id", "name", F.lit(False).alias("by_id"))
+    sides = named.unionByName(asked.filter("fighter_id is not null and name is not null").select("fighter_id", "name", F.lit(True).alias("by_id")))
+    return sides.groupBy("fighter_id", "name").agg(F.count(F.lit(1)).alias("n_corners"), F.max("by_id").alias("by_id"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, group_id): groups of fighters rows linked by positive matches."""
     return connected_groups(table(spark, sf_dir, "fighter_matches"), "left_id", "right_id", F.col("is_match"))
@@ -135,7 +145,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Share of a profile's mass that a fighter must reach, and how many of its best fighters are weighed.
-FLOOR, BEST = 0.1, 5
+FLOOR, BEST = 0.2, 5
 #: Confidence from which a pair is a match.
 CONFIDENT = 0.5
 
@@ -169,7 +179,7 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for kinds, w in ((("whole", "full"), 0.45), (("pre", "suf"), 0.25), (("init", "surname"), 0.3), (("nick",), 0.4), (("born",), 0.6), (("bornym", "bornmd", "bornyd", "bornset"), 0.2), (("record", "bout"), 0.35)):
         weight = F.when(kind.isin(*kinds), w).otherwise(weight)
     of_birth = lambda t: term_kind(t).startswith("born")
-    scored = bm25_candidates(known.select("key", "terms"), asked.select("key", "terms"), FLOOR, BEST, weight, term_kind, of_birth)
+    scored = bm25_candidates(known.select("key", "terms"), asked.select("key", "terms"), FLOOR, BEST, weight, term_kind, of_birth, lambda t: F.substring(term_kind(t), 1, 4))
     givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
 
     @F.pandas_udf(T.BooleanType())
@@ -242,7 +252,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_variants": p1_variants, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
 
 ORACLES: dict[str, str] = {
     "p3_found": """

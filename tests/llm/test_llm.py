@@ -74,27 +74,31 @@ def test_damerau_and_dictionary(spark):
 
 
 def test_metric_pairs_are_exact(spark):
+    """Every pair within the radius, short and common names too, and few cells for a query."""
     rng = random.Random(4)
     givens, letters = ["anna", "boris", "carlos", "daniela", "emilio"], "aeiklmnor"
     word = lambda n: "".join(rng.choice(letters) for _ in range(n))
-    known = [(str(i), rng.choice([*givens, word(5)]), word(rng.randint(4, 8))) for i in range(150)]
+    known = [(str(i), rng.choice([*givens, word(5), word(1)]), word(rng.randint(1, 8))) for i in range(150)] + [("e", "", "kim"), ("f", "bo", "x" * 3000)]
 
     def typo(s):
         for _ in range(rng.randint(0, 2)):
-            i = rng.randrange(len(s))
+            i = rng.randrange(len(s) + 1)
             s = rng.choice([s[:i] + s[i + 1 :], s[:i] + rng.choice(letters) + s[i:], s[:i] + rng.choice(letters) + s[i + 1 :]])
-        return s or "x"
+        return s
 
     asked = [(f"q{i}", typo(g), typo(s)) for i, (_, g, s) in enumerate(known)]
     frame = lambda rows: spark.createDataFrame([(k, "name", g, s, False) for k, g, s in rows], "key string, kind string, given string, surname string, junior boolean")
-    got = {(r["query"], r["key"]): r["distance"] for r in name_variants.metric_pairs(frame(asked), frame(known), givens).collect()}
-    lev = lambda a, b: person_names._edits(a, b, 9)
-    want = {}
-    for q, g, s in asked:
-        for k, h, t in known:
-            if len(g) > 1 and len(h) > 1 and len(s) > 3 and len(t) > 3 and not (g in givens and h in givens and g != h) and (d := lev(g, h) + lev(s, t)) <= 2:
-                want[q, k] = d
-    assert got == want
+    rows = name_variants.metric_pairs(frame(asked + asked[:5]), frame(known)).collect()
+    got = {(r["query"], r["key"]): r["g"] + r["s"] for r in rows}
+    lev = lambda a, b: person_names._edits(a, b, 2)
+    want = {(q, k): d for q, g, s in asked for k, h, t in known if (d := lev(g, h) + lev(s, t)) <= 2}
+    assert got == want and len(rows) == len(got)
+    kept = {(r["query"], r["key"]) for r in name_variants.misspellings(spark.createDataFrame(rows), givens).collect()}
+    assert ("q150", "e") in kept or ("q150", "e") not in want or asked[150][2] != "kim"
+    names = {k: (g, s) for k, g, s in known}
+    common = lambda g, h: g != h and g in givens and h in givens
+    assert kept == {(q, k) for q, g, s in asked for k, (h, t) in names.items() if (q, k) in want and not common(g, h) and (g == h or min(len(g), len(h)) > 1) and (s == t or min(len(s), len(t)) > 3)}
+    assert name_variants.metric_pairs(frame(asked).limit(0), frame(known)).count() == 0
 
 
 @pytest.mark.parametrize(
@@ -196,7 +200,7 @@ def test_bm25_best_match_brute_force(spark, floor):
     score = lambda q, k: sum(map(idf, set(asked[q]) & set(known[k]))) * (k1 + 1) / (1 + k1 * (1 - b + b * len(known[k]) / mean))
     want = {}
     for q in asked:
-        mass = sum(map(idf, asked[q]))
+        mass = sum(map(idf, asked[q]))  # here each term is a kind of its own
         fit = {k: score(q, k) for k in known if set(asked[q]) & set(known[k]) and score(q, k) >= floor * mass}
         third = sorted(fit.values())[-3] if len(fit) > 2 else 0.0
         want |= {(q, k): s for k, s in fit.items() if s >= third - 1e-9}
