@@ -94,7 +94,6 @@ def test_metric_pairs_are_exact(spark):
     want = {(q, k): d for q, g, s in asked for k, h, t in known if (d := lev(g, h) + lev(s, t)) <= 2}
     assert got == want and len(rows) == len(got)
     kept = {(r["query"], r["key"]) for r in name_variants.misspellings(spark.createDataFrame(rows), givens).collect()}
-    assert ("q150", "e") in kept or ("q150", "e") not in want or asked[150][2] != "kim"
     names = {k: (g, s) for k, g, s in known}
     common = lambda g, h: g != h and g in givens and h in givens
     assert kept == {(q, k) for q, g, s in asked for k, (h, t) in names.items() if (q, k) in want and not common(g, h) and (g == h or min(len(g), len(h)) > 1) and (s == t or min(len(s), len(t)) > 3)}
