@@ -24,21 +24,25 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from recordloom.session import checkpoint
 
 CALIBRATION = 20_000
-K1, B = 1.2, 0.3
+#: A missing attribute makes a record no better match, so its length doesn't count.
+K1, B = 1.2, 0.0
 
 
-def bm25_candidates(known: DataFrame, queries: DataFrame, floor: float, k: int | None, weight: Column, kind: Callable[[Column], Column], apart: Callable[[Column], Column] | None = None, group: Callable[[Column], Column] | None = None) -> DataFrame:
+def bm25_candidates(known: DataFrame, queries: DataFrame, floor: float, k: int | None, weight: Column, kind: Callable[[Column], Column], apart: Callable[[Column], Column] | None = None, group: Callable[[Column], Column] | None = None, sketches: tuple[str, ...] = (), bits: int = 0) -> DataFrame:
     """`(query, key, score, rest, share, shared, differ)`: the `k` best records (all where `k` is none, more than `k` on equal
     scores) of each query among those that reach `floor` times its mass.
 
     Both inputs are `(key, terms)` with distinct terms as numbers; `weight` weighs a column `term`, `kind` tells a term's
     kind. `rest` is the score without the terms that `apart` sets apart, `share` the score as a share of
     the mass; `shared` are the kinds of shared terms, `differ` the kinds both have without sharing a term. Records
-    without terms match nothing."""
+    without terms match nothing.
+
+    Where both inputs have 64-bit `sketches`, a pair counts only if one of either side differ in at most `bits` bits. That is
+    tested where postings meet, before a pair is moved: a condition that must hold anyway saves moving the rest."""
     facts = known.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("terms")).alias("mean")).first()
     n, mean = float(facts["n"] or 0), float(facts["mean"] or 1.0)
     norm = (K1 + 1) / (1 + K1 * (1 - B + B * F.size("terms") / F.lit(mean)))
-    index = known.select("key", F.explode("terms").alias("term"))
+    index = known.select("key", *sketches, F.explode("terms").alias("term"))
     flat = queries.select("key", F.explode("terms").alias("term"))
     df = index.join(flat.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     found = F.coalesce("df", F.lit(0))
@@ -58,7 +62,14 @@ def bm25_candidates(known: DataFrame, queries: DataFrame, floor: float, k: int |
 
     q = asked.select(F.col("key").alias("query"), "e", mass.alias("mass")).select("query", "mass", rising.alias("known"))
     q = checkpoint(q.select("query", "mass", F.aggregate("known", begun, further)["terms"].alias("essential"), F.map_from_entries(F.transform("known", lambda x: F.struct(x["term"], x["w"]))).alias("weights")))
-    met = q.select("query", F.explode("essential").alias("term")).join(index, "term").select("query", "key").distinct()
+    looked_up = q.select("query", F.explode("essential").alias("term"))
+    close = F.lit(not sketches)
+    if sketches:
+        looked_up = looked_up.join(queries.select(F.col("key").alias("query"), *[F.col(c).alias(f"q_{c}") for c in sketches]), "query")
+        for c in sketches:
+            for other in sketches:
+                close = close | F.coalesce(F.bit_count(F.col(f"q_{c}").bitwiseXOR(F.col(other))) <= bits, F.lit(False))
+    met = looked_up.join(index, "term").filter(close).select("query", "key").distinct()
     paired = met.join(known.select("key", "terms", norm.alias("norm")), "key").join(q, "query")
     hits = F.filter("terms", lambda t: F.map_contains_key("weights", t))
     total = lambda ts: F.aggregate(ts, F.lit(0.0), lambda s, t: s + F.try_element_at("weights", t)) * F.col("norm")

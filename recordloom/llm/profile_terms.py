@@ -10,12 +10,15 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from recordloom.llm.batch_dedup import letter_bits
 from recordloom.llm.person_names import formal_names, halves, read_name
 
 _MONTHS = {m: i + 1 for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split())}
 #: Kinds of terms; a term is a 64-bit hash whose low six bits are the kind.
 KINDS = ("whole", "full", "pre", "suf", "init", "surname", "nick", "born", "bornym", "bornmd", "bornyd", "bornset", "country", "class", "height", "record", "bout")
-TERMS = T.StructType([T.StructField("key", T.LongType()), T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("dated", T.BooleanType())])
+TERMS = T.StructType([T.StructField("key", T.LongType()), T.StructField("terms", T.ArrayType(T.LongType())), T.StructField("dated", T.BooleanType()), *[T.StructField(c, T.LongType()) for c in ("s1", "s2", "s3")]])
+#: Sketches of a name: letters of the surnames it may hold. Surnames two edits apart differ in at most four bits.
+SKETCHES, SKETCH_BITS = ("s1", "s2", "s3"), 4
 
 
 def term_code(term: str) -> int:
@@ -93,8 +96,18 @@ def name_terms(text: str | None, nickname: str | None, givens: frozenset[str], p
     return out
 
 
+def surname_sketches(text: str | None, givens: frozenset[str]) -> list[int | None]:
+    """Letter sets of the surnames of a name's readings and of its last word; two names `may_be_same` accepts have two that
+    differ in at most `SKETCH_BITS` bits."""
+    n = read_name(text, givens)
+    if n is None:
+        return [None] * 3
+    found = list(dict.fromkeys([s for _, s in n.readings[:2]] + n.words[-1:])) or [n.whole]
+    return ([letter_bits(w) for w in found] + [None] * 3)[:3]
+
+
 def person_terms(df: DataFrame, pivots: list[str], countries: Callable[[], Callable[[str], int]], weights: Callable[[], Callable[[str], int]], query: bool) -> DataFrame:
-    """`(key, terms, dated)`, the coded terms and whether a birth date was read, of rows `(key, name, nickname, born, country, height, weight, record, last)`, all but `key`
+    """`(key, terms, dated, *SKETCHES)`, the coded terms, whether a birth date was read and the `surname_sketches`, of rows `(key, name, nickname, born, country, height, weight, record, last)`, all but `key`
     strings; attributes that are missing or unreadable have no term."""
     givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
 
@@ -109,7 +122,7 @@ def person_terms(df: DataFrame, pivots: list[str], countries: Callable[[], Calla
             return memo[kind, text]
 
         for batch in batches:
-            keys, terms, dated = [], [], []
+            keys, terms, dated, sketches = [], [], [], []
             for key, name, nick, born, home, height, wc, record, last in zip(*[batch[c] for c in ("key", "name", "nickname", "born", "country", "height", "weight", "record", "last")]):
                 t = name_terms(name, nick, givens, parts, query)
                 born_at = read_dates(born)
@@ -128,7 +141,8 @@ def person_terms(df: DataFrame, pivots: list[str], countries: Callable[[], Calla
                 keys.append(key)
                 terms.append([term_code(x) for x in t])
                 dated.append(bool(born_at))
-            yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "terms": pd.Series(terms, dtype=object), "dated": pd.Series(dated, dtype=bool)})
+                sketches.append(surname_sketches(name, givens))
+            yield pd.DataFrame({"key": pd.Series(keys, dtype="int64"), "terms": pd.Series(terms, dtype=object), "dated": pd.Series(dated, dtype=bool), **{c: pd.Series([x[i] for x in sketches], dtype="Int64") for i, c in enumerate(SKETCHES)}})
 
     picked = df.select(F.col("key").cast("long"), *[F.col(c).cast("string") for c in ("name", "nickname", "born", "country", "height", "weight", "record", "last")])
     return picked.mapInPandas(run, TERMS)

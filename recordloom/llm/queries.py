@@ -18,7 +18,7 @@ from recordloom.llm.mixture import mix_sources, mixture_shares, token_counts
 from recordloom.llm.name_variants import common_givens, name_candidates, read_names
 from recordloom.llm.cross_source import bm25_candidates, calibrated, mutual_best
 from recordloom.llm.person_names import halves, may_be_same, read_name
-from recordloom.llm.profile_terms import person_terms, term_kind
+from recordloom.llm.profile_terms import SKETCH_BITS, SKETCHES, person_terms, term_kind
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
 from recordloom.llm.truncation import truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
@@ -145,7 +145,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Share of a profile's mass that a fighter must reach, and how many of its best fighters are weighed.
-FLOOR, BEST = 0.2, 5
+FLOOR, BEST = 0.17, 5
 #: Confidence from which a pair is a match.
 CONFIDENT = 0.5
 
@@ -175,11 +175,11 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = checkpoint(person_terms(f, pivots, finder("nationality"), finder("weight_class_current"), False))
     asked = checkpoint(person_terms(p, pivots, finder("nationality"), finder("weight_class_current"), True))
     kind = term_kind(F.col("term"))
-    weight = F.lit(0.5)
-    for kinds, w in ((("whole", "full"), 0.45), (("pre", "suf"), 0.25), (("init", "surname"), 0.3), (("nick",), 0.4), (("born",), 0.6), (("bornym", "bornmd", "bornyd", "bornset"), 0.2), (("record", "bout"), 0.35)):
+    weight = F.lit(0.4)
+    for kinds, w in ((("whole", "full"), 0.45), (("pre", "suf"), 0.25), (("init", "surname"), 0.3), (("born",), 0.6), (("bornset",), 0.2), (("bornym", "bornmd", "bornyd"), 0.1), (("record", "bout"), 0.35)):
         weight = F.when(kind.isin(*kinds), w).otherwise(weight)
     of_birth = lambda t: term_kind(t).startswith("born")
-    scored = bm25_candidates(known.select("key", "terms"), asked.select("key", "terms"), FLOOR, BEST, weight, term_kind, of_birth, lambda t: F.substring(term_kind(t), 1, 4))
+    scored = bm25_candidates(known.drop("dated"), asked.drop("dated"), FLOOR, BEST, weight, term_kind, of_birth, lambda t: F.substring(term_kind(t), 1, 4), SKETCHES, SKETCH_BITS)
     givens, parts = frozenset(g.replace("-", "").replace("'", "") for g in pivots), halves(pivots)
 
     @F.pandas_udf(T.BooleanType())
