@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 from recordloom.functions.domain import method_category
@@ -50,10 +52,40 @@ def last_results(results: Column, n: int = 5) -> Column:
     return F.array_join(F.reverse(F.slice(results, 1, n)), ",")
 
 
+def method_of(fight: Column) -> Column:
+    """Method of a fight; where it has none, what the older form keeps in its date."""
+    return F.coalesce(F.nullif(F.trim(fight["method"]), F.lit("")), F.trim(fight["date"]))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is evaluated once, however often `body` uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def without_duplicates(fights_: Column) -> Column:
-    """Fights without repetitions: one for each opponent and date, the most complete and then the first of them;
-    undated fights go where the opponent has a dated one."""
-    keyed = F.transform(fights_, lambda f, i: F.struct(opponent_key(f["opponent"]).alias("o"), F.substring(F.coalesce(f["event_date"], f["date"]), 1, 10).alias("d"), i.alias("i"), f["method"].isNotNull().cast("int").alias("full"), f.alias("f")))
-    best = F.filter(keyed, lambda x: ~F.exists(keyed, lambda y: x["o"].eqNullSafe(y["o"]) & x["d"].eqNullSafe(y["d"]) & ((y["full"] > x["full"]) | ((y["full"] == x["full"]) & (y["i"] < x["i"])))))
-    kept = F.filter(best, lambda x: x["d"].isNotNull() | ~F.exists(best, lambda y: x["o"].eqNullSafe(y["o"]) & y["d"].isNotNull()))
+    """Fights without repetitions. Of the same opponent (without rank) and event date the first with a method stays, else the
+    first, where the first stood; undated fights go where the opponent has a dated one."""
+    day = lambda f: F.substring(F.coalesce(f["event_date"], F.lit("")), 1, 10)
+    full = lambda f: F.coalesce(f["method"], F.lit("")) != ""
+    keyed = F.transform(fights_, lambda f, i: F.struct(F.coalesce(opponent_key(f["opponent"]), F.lit("")).alias("o"), day(f).alias("d"), i.alias("i"), f.alias("f")))
+
+    def choose(keyed: Column) -> Column:
+        same = lambda x: F.filter(keyed, lambda y: (y["o"] == x["o"]) & (y["d"] == x["d"]))
+        best = lambda x: let(same(x), lambda s: F.struct(x["o"].alias("o"), x["d"].alias("d"), (s[0]["i"] == x["i"]).alias("first"), F.coalesce(F.try_element_at(F.filter(s, lambda y: full(y["f"])), F.lit(1)), x)["f"].alias("f")))
+        return F.filter(F.transform(keyed, best), lambda x: x["first"])
+
+    kept = let(let(keyed, choose), lambda chosen: F.filter(chosen, lambda x: (x["d"] != "") | ~F.exists(chosen, lambda y: (x["o"] == y["o"]) & (y["d"] != ""))))
     return F.transform(kept, lambda x: x["f"])
+
+
+def insert_position(fights_: Column, day: Column) -> Column:
+    """How many entries stand before a new fight of a day (ISO text) in a list newest first: all up to the last later one."""
+    later = F.transform(fights_, lambda f, i: F.when(F.substring(f["event_date"], 1, 10) > day, i + 1).otherwise(0))
+    return F.coalesce(F.array_max(later), F.lit(0))
+
+
+def next_streak(streak: Column, result: Column) -> Column:
+    """Streak such as `4W` after one more result: one longer if it is the same, else 1."""
+    pattern = r"^\s*(\d+)([WLD])"
+    n, kind = F.regexp_extract(F.upper(streak), pattern, 1), F.regexp_extract(F.upper(streak), pattern, 2)
+    return F.concat(F.when(kind == result, n.try_cast("int") + 1).otherwise(1).cast("string"), result)

@@ -116,3 +116,48 @@ def card_bouts(pages: DataFrame, id_col: str, text: str) -> DataFrame:
     parts = F.split("line", r"(?i)\s+vs?\.?\s+|\s*/\s*L\s+", 2)
     clean = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"^W\s+(?=\S+ )", ""), r"\s*#\d+.*$", ""))
     return lines.select(id_col, "strategy", "pos", F.when(F.col("strategy") == "badges", clean(parts[0])).otherwise(F.trim(parts[0])).alias("a"), F.trim(parts[1]).alias("b"))
+
+
+def match_rows(pages: DataFrame, id_col: str, text: str, pattern: str, names: list[str]) -> DataFrame:
+    """`(id, pos, *names)`: one row for each place of a text that a pattern fits, its groups as columns. Null texts and
+    texts without a match have none."""
+    groups = F.arrays_zip(*[F.regexp_extract_all(F.col(text), F.lit(pattern), i + 1).alias(n) for i, n in enumerate(names)])
+    return pages.select(id_col, F.posexplode(groups).alias("pos", "m")).select(id_col, "pos", "m.*")
+
+
+#: A line of a ranking: place, name and record.
+RANK_LINE = r"(?m)^(\d+)\. ([^\n]+?) (\d+)-(\d+)-(\d+)\s*$"
+#: A sentence of a report on a bout, in English and in French.
+REPORT = r"([A-Z\p{L}][^.\n,]{2,60}?) met ([^.\n,]{3,60}?) at ([^.\n,]+?) in ([^.\n,]+?) on (\d{1,2} [A-Z][a-z]+,? \d{4}), and the ([^.\n,]+?) bout ended by ([^\n]+?) at (\d+:\d\d) of round (\d)"
+FRENCH_REPORT = r"([A-Z\p{L}][^.\n,]{2,60}?) a battu ([^.\n,]{3,60}?) au ([^.\n,]+?) de ([^.\n,]+?) le (\d{1,2} [A-Z][a-z]+,? \d{4}), par ([^\n]+?) à (\d+:\d\d) du round (\d)"
+
+
+def rank_rows(pages: DataFrame, id_col: str, text: str) -> DataFrame:
+    """`(id, pos, place, name, wins, losses, draws)` of the ranking lines of texts."""
+    rows = match_rows(pages, id_col, text, RANK_LINE, ["place", "name", "wins", "losses", "draws"])
+    return rows.select(id_col, "pos", "name", *[F.col(c).try_cast("int").alias(c) for c in ("place", "wins", "losses", "draws")])
+
+
+def report_rows(pages: DataFrame, id_col: str, text: str) -> DataFrame:
+    """`(id, pos, a, b, venue, city, day, method, time, round)` of the bouts that English sentences report, the winner unknown."""
+    rows = match_rows(pages, id_col, text, REPORT, ["a", "b", "venue", "city", "day", "division", "method", "time", "round"])
+    return rows.withColumns({"day": F.try_to_date(F.replace("day", F.lit(","), F.lit("")), "d MMMM yyyy"), "round": F.col("round").try_cast("int")})
+
+
+def french_rows(pages: DataFrame, id_col: str, text: str) -> DataFrame:
+    """The same of French sentences; `a` is the winner."""
+    rows = match_rows(pages, id_col, text, FRENCH_REPORT, ["a", "b", "venue", "city", "day", "method", "time", "round"])
+    return rows.withColumns({"day": F.try_to_date(F.replace("day", F.lit(","), F.lit("")), "d MMMM yyyy"), "round": F.col("round").try_cast("int")})
+
+
+def corner_names(title: Column) -> tuple[Column, Column]:
+    """The two names of a title `EVENT: A vs. B 2`, without what stands before a colon and the number of a rematch."""
+    bout = F.regexp_replace(title, r"^[^:]*:\s*", "")
+    parts = F.split(bout, r"(?i)\s+vs?\.?\s+", 2)
+    b = F.trim(F.regexp_replace(F.try_element_at(parts, F.lit(2)), r"\s+\d$|\s+[|\-]\s.*$", ""))
+    return F.when(b.isNotNull(), F.trim(F.try_element_at(parts, F.lit(1)))), b
+
+
+def section(text: Column, end: str) -> Column:
+    """What stands before the first place an end marker (a pattern) fits; the whole text where none does."""
+    return F.trim(F.try_element_at(F.split(text, end, 2), F.lit(1)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from recordloom.functions.dates import same_birth
@@ -19,13 +21,15 @@ def match_ladder(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     With a birth date: the same name and date, else the only undated one of that name, else the same year within
     90 days, else a new homonym. Without one: the only one of that name, several are ambiguous. No name: new.
     Ambiguous rows get no id. The candidates of a name are aggregated, never listed."""
-    i, s = incoming.alias("i"), stored.alias("s")
-    met = i.join(s, F.col("i.key") == F.col("s.key"), "left")
-    exact, undated = F.col("i.dob") == F.col("s.dob"), F.col("s.dob").isNull() & F.col("s.id").isNotNull()
-    facts = met.groupBy(F.col("i.in_id").alias("in_id"), F.col("i.dob").alias("dob")).agg(
-        F.count("s.id").alias("n"), F.min(F.when(exact, F.col("s.id"))).alias("exact"), F.count_if(undated).alias("n_undated"),
-        F.min(F.when(undated, F.col("s.id"))).alias("undated"), F.min(F.when(same_birth(F.col("i.dob"), F.col("s.dob")), F.col("s.id"))).alias("near"), F.min("s.id").alias("any"),
-    )
+    undated, any_of = F.col("dob").isNull(), F.col("key").isNotNull()
+    names = stored.filter(any_of).groupBy("key").agg(F.count("id").alias("n"), F.count_if(undated).alias("n_undated"), F.min(F.when(undated, F.col("id"))).alias("undated"), F.min("id").alias("any"))
+    exact = stored.filter(any_of & ~undated).groupBy("key", "dob").agg(F.min("id").alias("exact"))
+    i = incoming.join(names, "key", "left").join(exact, ["key", "dob"], "left")
+    # Within 90 days: stored dates of the same name and year; a name holds as many dates as persons.
+    open_ = i.filter("dob is not null and exact is null and n_undated = 0").select("in_id", "key", "dob", F.year("dob").alias("y"))
+    dated = exact.select("key", F.col("dob").alias("other"), "exact", F.year("dob").alias("y"))
+    close = open_.join(dated, ["key", "y"]).filter(same_birth(F.col("dob"), F.col("other"))).groupBy("in_id").agg(F.min("exact").alias("near"))
+    facts = i.join(close, "in_id", "left").select("in_id", "dob", F.coalesce("n", F.lit(0)).alias("n"), "exact", F.coalesce("n_undated", F.lit(0)).alias("n_undated"), "undated", "near", "any")
     status = (
         F.when(F.col("n") == 0, "new").when(F.col("dob").isNull(), F.when(F.col("n") == 1, "name_only").otherwise("ambiguous"))
         .when(F.col("exact").isNotNull(), "name_dob").when(F.col("n_undated") == 1, "name_only").when(F.col("n_undated") > 1, "ambiguous")
@@ -134,3 +138,71 @@ def reach(edges: DataFrame, seeds: DataFrame, rounds: int | None = None) -> Data
             break
         seen = seen.unionByName(frontier)
     return seen
+
+
+def flexible_tokens(a: Column, b: Column) -> Column:
+    """Whether two token sets may be one name: the smaller within the larger with two shared, or one token on each side
+    that differs, as a beginning (three letters) or by one edit (four)."""
+    common, only_a, only_b = F.size(F.array_intersect(a, b)), F.array_except(a, b), F.array_except(b, a)
+    x, y = F.try_element_at(only_a, F.lit(1)), F.try_element_at(only_b, F.lit(1))
+    least = F.least(F.length(x), F.length(y))
+    one = (F.size(only_a) == 1) & (F.size(only_b) == 1) & (((least >= 3) & (x.startswith(y) | y.startswith(x))) | ((least >= 4) & (F.levenshtein(x, y, 1) >= 0)))
+    return ((common >= 2) & (common == F.least(F.size(a), F.size(b)))) | F.coalesce(one, F.lit(False))
+
+
+def same_opponent(a: Column, b: Column) -> Column:
+    """Whether two token sets name one opponent: two shared tokens, the smaller within the larger, or one typing error
+    beside a shared token."""
+    common, only_a, only_b = F.size(F.array_intersect(a, b)), F.array_except(a, b), F.array_except(b, a)
+    x, y = F.try_element_at(only_a, F.lit(1)), F.try_element_at(only_b, F.lit(1))
+    typo = (F.size(only_a) == 1) & (F.size(only_b) == 1) & (F.least(F.length(x), F.length(y)) >= 4) & (F.levenshtein(x, y, 1) >= 0)
+    return (common >= 2) | ((common > 0) & ((common == F.least(F.size(a), F.size(b))) | F.coalesce(typo, F.lit(False))))
+
+
+def opponents_overlap(a: Column, b: Column) -> Column:
+    """Opponents of list `a` (token sets) that meet one of list `b`, each of which is used once, in order."""
+    at = F.sequence(F.lit(1), F.size(b))
+    begun = F.struct(F.lit(0).alias("n"), F.array().cast("array<int>").alias("used"))
+
+    def step(s: Column, mine: Column) -> Column:
+        free = F.filter(at, lambda j: ~F.array_contains(s["used"], j) & same_opponent(mine, F.try_element_at(b, j)))
+        first = F.try_element_at(free, F.lit(1))
+        return F.struct((s["n"] + first.isNotNull().cast("int")).alias("n"), F.when(first.isNotNull(), F.concat(s["used"], F.array(first))).otherwise(s["used"]).alias("used"))
+
+    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.aggregate(a, begun, step)["n"]).otherwise(0)
+
+
+def name_divergences(weight_a: Column, weight_b: Column, wins_a: Column, wins_b: Column, home_a: Column, home_b: Column) -> Column:
+    """How many of class (but for sex), wins (more than three apart) and nationality differ; missing values don't."""
+    plain = lambda c: F.trim(F.replace(F.lower(c), F.lit("women's "), F.lit("")))
+    no = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    return no(plain(weight_a) != plain(weight_b)) + no(F.abs(wins_a - wins_b) > 3) + no(F.lower(home_a) != F.lower(home_b))
+
+
+def slug_score(name: Column, hit: Column, slug: Column, key: Callable[[Column], Column]) -> Column:
+    """0 to 100: how well a hit (name and slug) fits a name: the same, within it, all words, first and last word, last
+    word of four letters. `key` normalises."""
+    n, h, s = key(name), key(hit), key(F.replace(slug, F.lit("-"), F.lit(" ")))
+    inside = lambda x, y: F.coalesce(y.contains(x) & (x != ""), F.lit(False))
+    words = F.filter(F.split(n, " "), lambda w: F.length(w) > 1)
+    parts = F.split(F.trim(name), r"\s+")
+    first, last = key(F.try_element_at(parts, F.lit(1))), key(F.try_element_at(parts, F.lit(-1)))
+    every = lambda y: (F.size(words) > 0) & F.forall(words, lambda w: inside(w, y))
+    two = F.size(parts) >= 2
+    return (
+        F.when(F.coalesce(n, F.lit("")) == "", 0).when((n == h) | (n == s), 100).when(inside(n, h) | inside(h, n) | inside(n, s), 90).when(every(s) | every(h), 80)
+        .when(two & ((inside(first, s) & inside(last, s)) | (inside(first, h) & inside(last, h))), 70).when(two & (F.length(last) >= 4) & inside(last, s), 60).otherwise(0)
+    )
+
+
+def nearest_as_of(left: DataFrame, right: DataFrame, key: str, day: str, at: str, id_col: str) -> DataFrame:
+    """Rows of `left` with `before` and `after`: the ids and days `(at, id)` of the rows of `right` with the same key nearest on
+    either side of their day (equal days count as before; the smaller id on ties). One union and one sort of each key's
+    rows instead of all pairs."""
+    both = left.withColumn("side__", F.lit(1)).unionByName(right.groupBy(key, F.col(at).alias(day)).agg(F.min(id_col).alias("id__")).withColumn("side__", F.lit(0)), allowMissingColumns=True)
+    there = F.when(F.col("side__") == 0, F.struct(F.col(day).alias("at"), F.col("id__").alias("id")))
+    w = Window.partitionBy(key).orderBy(day, "side__")
+    seen = both.withColumns({
+        "before": F.last(there, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), "after": F.first(there, ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)),
+    })
+    return seen.filter("side__ = 1").drop("side__", "id__")

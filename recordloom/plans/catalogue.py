@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recordloom.plans import core_problems, matching_queries, merge_queries, scalar_queries
+from recordloom.plans import classify_queries, core_problems, history_queries, ladder_queries, matching_queries, merge_queries, page_queries, scalar_queries
 
-_MODULES = (core_problems, scalar_queries, matching_queries, merge_queries)
+_MODULES = (core_problems, scalar_queries, classify_queries, page_queries, matching_queries, ladder_queries, merge_queries, history_queries)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

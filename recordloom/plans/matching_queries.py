@@ -19,13 +19,6 @@ def _bouts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "event_fights")
 
 
-def j1_resolve_by_name(spark, d):
-    """Null fighter1 ids filled by lower-case name, the smallest id of a name."""
-    names = matching.one_per_key(_fighters(spark, d), F.lower("name"), "id").toDF("key", "found")
-    b = _bouts(spark, d).filter("fighter1_id is null").select(F.col("id").alias("bout_id"), F.lower("fighter1_name").alias("key"))
-    return b.join(names, "key").select("bout_id", F.col("found").alias("fighter1_id"))
-
-
 def j3_event_date(spark, d):
     e = table(spark, d, "mma_events").select(F.col("id").alias("event_id"), "date")
     return _bouts(spark, d).select("id", "event_id").join(e, "event_id").select("id", F.col("date").alias("event_date"))
@@ -72,19 +65,6 @@ def j11_unlinked_fighters(spark, d):
     return _fighters(spark, d).select("id").join(used, "id", "left_anti")
 
 
-def m1_match_ladder(spark, d):
-    inc = table(spark, d, "source_profiles").select(F.col("profile_id").alias("in_id"), F.lower("full_name").alias("key"), F.try_to_date("born_text", "yyyy-MM-dd").alias("dob"))
-    return matching.match_ladder(inc, _fighters(spark, d).select("id", F.lower("name").alias("key"), F.col("date_of_birth").alias("dob")))
-
-
-def m8_best_event(spark, d):
-    """For each listing the event of the same promotion with the nearest date."""
-    b = table(spark, d, "event_batches").filter("date is not null").select("raw_id", "promotion", F.col("date").alias("rd"))
-    e = table(spark, d, "mma_events").filter("date is not null").select(F.col("id").alias("event_id"), "promotion", "date")
-    scored = b.join(e, "promotion").select("raw_id", "event_id", (-F.abs(F.datediff("rd", "date"))).alias("score"))
-    return matching.best_per_key(scored, "raw_id", "score", "event_id")
-
-
 def _results(spark, d):
     b = _bouts(spark, d).filter("event_date is not null and winner_id is not null")
     sides = F.explode(F.array(F.struct(F.col("fighter1_id").alias("f")), F.struct(F.col("fighter2_id").alias("f")))).alias("s")
@@ -100,10 +80,6 @@ def w3_last_five(spark, d):
     return top.groupBy("fighter_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("rank")).alias("r"), "result"))), lambda x: x["result"]), ",").alias("last_5_results"))
 
 
-def x2_pair_overlap(spark, d):
-    return matching.pair_overlap(matching.bout_pairs(_bouts(spark, d).filter("event_id <> 1"), "event_id", "fighter1_name", "fighter2_name"))
-
-
 def x3_token_overlap(spark, d):
     """Listings and events of near dates that share most name words of more than three letters."""
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda w: F.length(w) > 3))
@@ -121,37 +97,6 @@ def x4_event_clusters(spark, d):
     return matching.leader_clusters(pairs, e)
 
 
-def r4_failure_runs(spark, d):
-    """Longest run of failed fetches of each source in order of fetching, where it reaches three."""
-    from pyspark.sql import Window
-
-    t = table(spark, d, "documents").filter("source is not null").select("source", "doc_id", (F.coalesce("status", F.lit(0)) != 200).alias("failed"))
-    w = Window.partitionBy("source").orderBy("doc_id")
-    runs = t.withColumn("grp", F.sum((~F.col("failed")).cast("int")).over(w)).filter("failed").groupBy("source", "grp").agg(F.count(F.lit(1)).alias("n"))
-    return runs.groupBy("source").agg(F.max("n").alias("longest")).filter("longest >= 3")
-
-
-def s19_opponent_reach(spark, d):
-    """Fighters within two bouts of fighter 1, with the number of steps."""
-    from recordloom.session import checkpoint
-
-    b = _bouts(spark, d).filter("fighter1_id is not null and fighter2_id is not null").select(F.col("fighter1_id").alias("a"), F.col("fighter2_id").alias("b"))
-    edges = checkpoint(b.union(b.select("b", "a")).distinct())
-    seen = edges.filter("a = 1").select(F.lit(1).cast("long").alias("id"), F.lit(0).alias("steps")).distinct()
-    frontier = seen
-    for k in (1, 2):
-        frontier = edges.join(frontier.select(F.col("id").alias("a")), "a").select(F.col("b").alias("id")).distinct().join(seen.select("id"), "id", "left_anti").withColumn("steps", F.lit(k))
-        seen = checkpoint(seen.unionByName(frontier))
-        frontier = seen.filter(F.col("steps") == k)
-    return seen
-
-
-def s20_opponent_network(spark, d):
-    """Fighters joined by any number of bouts to one with a fightmatrix_id, with the fewest steps."""
-    b = _bouts(spark, d).select(F.col("fighter1_id").alias("a"), F.col("fighter2_id").alias("b"))
-    return matching.reach(b, _fighters(spark, d).filter("fightmatrix_id is not null").select("id"))
-
-
 QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and not k.startswith("_")}
 
 _RES = """res AS (SELECT x.f AS fighter_id, datediff('day', DATE '1970-01-01', b.event_date)::BIGINT * 100000000 + b.id AS ord, CASE WHEN x.f = b.winner_id THEN 'W' ELSE 'L' END AS result
@@ -159,7 +104,6 @@ _RES = """res AS (SELECT x.f AS fighter_id, datediff('day', DATE '1970-01-01', b
 _WORDS = "list_distinct(list_filter(string_split({0}, ' '), lambda x: length(x) {1}))"
 
 ORACLES = {
-    "j1_resolve_by_name": "SELECT b.id AS bout_id, f.id AS fighter1_id FROM event_fights b JOIN (SELECT lower(name) k, min(id) id FROM fighters GROUP BY 1) f ON f.k = lower(b.fighter1_name) WHERE b.fighter1_id IS NULL",
     "j3_event_date": "SELECT b.id, e.date AS event_date FROM event_fights b JOIN mma_events e ON e.id = b.event_id",
     "f14_event_date_sync": "SELECT b.id, e.date AS new_date FROM event_fights b JOIN mma_events e ON e.id = b.event_id WHERE e.date IS DISTINCT FROM b.event_date",
     "j4_candidate_counts": "SELECT profile_id, CASE WHEN coalesce(n, 0) = 0 THEN 'none' WHEN n = 1 THEN 'one' ELSE 'many' END AS candidates FROM source_profiles p LEFT JOIN (SELECT lower(name) k, count(*) n FROM fighters GROUP BY 1) f ON f.k = lower(p.full_name)",
@@ -168,16 +112,7 @@ ORACLES = {
     "j8_event_band": "SELECT b.raw_id, e.id AS event_id, datediff('day', e.date, b.date)::INT AS gap FROM event_batches b JOIN mma_events e ON e.date BETWEEN b.date - 1 AND b.date + 1 AND e.city = b.city",
     "j10_real_twins": f"WITH f AS (SELECT id, array_to_string(list_sort(string_split({KEY.format('name')}, ' ')), ' ') k, coalesce(record_total_wins, 0) = 0 AND coalesce(record_total_losses, 0) = 0 AND fight_history IS NULL AS shell FROM fighters) SELECT id FROM f WHERE shell AND k IN (SELECT k FROM f WHERE NOT shell)",
     "j11_unlinked_fighters": "SELECT id FROM fighters WHERE id NOT IN (SELECT fighter1_id FROM event_fights WHERE fighter1_id IS NOT NULL UNION SELECT fighter2_id FROM event_fights WHERE fighter2_id IS NOT NULL)",
-    "m1_match_ladder": """WITH i AS (SELECT profile_id in_id, lower(full_name) k, CASE WHEN regexp_full_match(born_text, '\\d{4}-\\d{2}-\\d{2}') THEN try_cast(born_text AS DATE) END dob FROM source_profiles),
-        g AS (SELECT i.in_id, i.dob, count(f.id) n, min(f.id) FILTER (f.date_of_birth = i.dob) ex, count(f.id) FILTER (f.date_of_birth IS NULL) nu, min(f.id) FILTER (f.date_of_birth IS NULL) u,
-            min(f.id) FILTER (year(f.date_of_birth) = year(i.dob) AND abs(datediff('day', f.date_of_birth, i.dob)) <= 90) nr, min(f.id) a FROM i LEFT JOIN fighters f ON lower(f.name) = i.k GROUP BY 1, 2)
-        SELECT in_id, CASE WHEN dob IS NULL THEN CASE WHEN n = 1 THEN a END WHEN ex IS NOT NULL THEN ex WHEN nu = 1 THEN u WHEN nu = 0 THEN nr END AS stored_id,
-            CASE WHEN n = 0 THEN 'new' WHEN dob IS NULL THEN CASE WHEN n = 1 THEN 'name_only' ELSE 'ambiguous' END WHEN ex IS NOT NULL THEN 'name_dob' WHEN nu = 1 THEN 'name_only' WHEN nu > 1 THEN 'ambiguous' WHEN nr IS NOT NULL THEN 'name_close_dob' ELSE 'new_homonym' END AS status FROM g""",
-    "m8_best_event": "SELECT raw_id, event_id, score FROM (SELECT b.raw_id, e.id event_id, (-abs(datediff('day', e.date, b.date)))::INT score, row_number() OVER (PARTITION BY raw_id ORDER BY abs(datediff('day', e.date, b.date)), e.id) r FROM event_batches b JOIN mma_events e USING (promotion) WHERE b.date IS NOT NULL AND e.date IS NOT NULL) WHERE r = 1",
     "w1_streaks": f"WITH {_RES}, l AS (SELECT fighter_id, arg_max(result, ord) last_value FROM res GROUP BY 1) SELECT fighter_id, last_value, count(*) AS run FROM res r JOIN l USING (fighter_id) WHERE ord > coalesce((SELECT max(q.ord) FROM res q WHERE q.fighter_id = r.fighter_id AND q.result <> l.last_value), -1) GROUP BY 1, 2",
     "w3_last_five": f"WITH {_RES}, k AS (SELECT *, row_number() OVER (PARTITION BY fighter_id ORDER BY ord DESC) r FROM res) SELECT fighter_id, string_agg(result, ',' ORDER BY ord) AS last_5_results FROM k WHERE r <= 5 GROUP BY 1",
-    "x2_pair_overlap": "WITH p AS (SELECT DISTINCT event_id e, least(lower(trim(fighter1_name)), lower(trim(fighter2_name))) p, greatest(lower(trim(fighter1_name)), lower(trim(fighter2_name))) q FROM event_fights WHERE event_id <> 1 AND length(trim(fighter1_name)) > 3 AND length(trim(fighter2_name)) > 3), n AS (SELECT e, count(*) n FROM p GROUP BY 1) SELECT x.e AS left_event, y.e AS right_event, count(*) AS shared FROM p x JOIN p y ON x.p = y.p AND x.q = y.q AND x.e < y.e JOIN n n1 ON n1.e = x.e JOIN n n2 ON n2.e = y.e GROUP BY x.e, y.e, n1.n, n2.n HAVING count(*) >= 2 OR count(*) / least(n1.n, n2.n) >= 0.5",
     "x3_token_overlap": "WITH b AS (SELECT raw_id, date, list_distinct(list_filter(regexp_split_to_array(lower(name), '[^a-z0-9]+'), lambda x: length(x) > 3)) t FROM event_batches), e AS (SELECT id, date, list_distinct(list_filter(regexp_split_to_array(lower(name), '[^a-z0-9]+'), lambda x: length(x) > 3)) t FROM mma_events) SELECT raw_id, e.id AS event_id, len(list_intersect(b.t, e.t))::INT AS shared FROM b JOIN e ON e.date BETWEEN b.date - 1 AND b.date + 1 WHERE len(list_intersect(b.t, e.t)) >= 2 AND len(list_intersect(b.t, e.t)) / least(len(b.t), len(e.t)) >= 0.6",
-    "r4_failure_runs": "WITH t AS (SELECT source, coalesce(status, 0) <> 200 f, sum((coalesce(status, 0) = 200)::INT) OVER (PARTITION BY source ORDER BY doc_id) g FROM documents WHERE source IS NOT NULL) SELECT source, max(n) AS longest FROM (SELECT source, g, count(*) n FROM t WHERE f GROUP BY 1, 2) GROUP BY 1 HAVING max(n) >= 3",
-    "s19_opponent_reach": "WITH RECURSIVE e AS (SELECT fighter1_id a, fighter2_id b FROM event_fights WHERE fighter1_id IS NOT NULL AND fighter2_id IS NOT NULL UNION SELECT fighter2_id, fighter1_id FROM event_fights WHERE fighter1_id IS NOT NULL AND fighter2_id IS NOT NULL), r(id, steps) AS (SELECT DISTINCT a, 0 FROM e WHERE a = 1 UNION SELECT e.b, r.steps + 1 FROM r JOIN e ON e.a = r.id WHERE r.steps < 2) SELECT id, min(steps)::INT AS steps FROM r GROUP BY 1",
 }

@@ -29,28 +29,11 @@ def f13_row_diff(spark, d):
     return merge.row_diff(old, new, "id", ("name", "nickname", "nationality", "record_total_wins"))
 
 
-def u3_source_union(spark, d):
-    """Union of the pipe-separated sources of fighters of one lower-case name."""
-    f = table(spark, d, "fighters").filter("data_source is not null").select(F.lower("name").alias("key"), F.explode(F.split("data_source", r"\|")).alias("u")).select("key", F.trim("u").alias("u")).filter("u <> ''")
-    return f.groupBy("key").agg(F.countDistinct("u").alias("n_sources"), F.min("u").alias("first_source"))
-
-
 def u8_record_chain(spark, d):
     cols = ["id", *[f"record_{k}_{p}" for k in ("total", "ufc", "other") for p in ("wins", "losses", "draws")]]
     return merge.record_chain(table(spark, d, "fighters").select(*cols))
 
 
-def u10_group_merge(spark, d):
-    f = table(spark, d, "fighters").withColumn("key", text.dedup_name_key(F.col("name")))
-    rank = F.struct((-F.coalesce("data_quality_score", F.lit(-1))).alias("q"), "id")
-    return merge.group_merge(f, "key", rank, first_of=("nationality", "stance"), max_of=("record_total_wins", "record_total_losses"), argmax={"fight_history": domain.history_priority(history.history_source(F.col("fight_history")))}).withColumn("fight_history", F.length("fight_history"))
-
-
-def u14_violations(spark, d):
-    f = table(spark, d, "fighters")
-    return merge.violations(f, "id", {"gender": F.col("gender").isin("M", "F"), "score": F.col("data_quality_score").between(0, 100), "wins": F.col("record_total_wins") >= 0, "scraped": F.col("last_scraped_at") >= F.col("created_at")})
-
-
 def k6_replace_children(spark, d):
     """Events with a title bout keep their title bouts only, names in capitals."""
     b = table(spark, d, "event_fights").select("id", "event_id", "bout_order", "fighter1_name", "is_title_fight")
@@ -58,24 +41,6 @@ def k6_replace_children(spark, d):
     return merge.replace_children(b, new, "event_id").select("id", "event_id", "bout_order", "fighter1_name")
 
 
-def k13_summary(spark, d):
-    """Filled cells of some columns, one row a column."""
-    cols = ["nickname", "date_of_birth", "nationality", "stance", "reach_inches", "fight_history"]
-    f = table(spark, d, "fighters").select(*[F.col(c).cast("string").alias(c) for c in cols])
-    counts = f.agg(F.count(F.lit(1)).alias("total"), *[F.count(c).alias(c) for c in cols])
-    return counts.unpivot(["total"], cols, "column", "filled")
-
-
-def a1_history_record(spark, d):
-    f = history.fights(F.col("fight_history"))
-    return table(spark, d, "fighters").select("id", history.count_results(f, "W").alias("w"), history.count_results(f, "L").alias("l"), history.count_results(f, "D").alias("dr"))
-
-
-def a2_method_pivot(spark, d):
-    b = table(spark, d, "event_fights").filter("winner_id is not null").withColumn("cat", domain.method_category(F.col("method")))
-    return b.groupBy("winner_id").pivot("cat", ["ko", "sub", "dec"]).count().fillna(0)
-
-
 def a4_mode_share(spark, d):
     """Commonest class of a fighter's bouts where it has more than 0.55 of them; ties to the class seen first."""
     b = table(spark, d, "event_fights").filter("weight_class is not null")
@@ -85,31 +50,11 @@ def a4_mode_share(spark, d):
     return best.filter(F.col("b.n") / F.col("all") > 0.55).select("fighter_id", F.col("b.weight_class").alias("main_class"), F.col("b.n").alias("n"))
 
 
-def a5_duplicate_groups(spark, d):
-    f = table(spark, d, "fighters").withColumn("key", text.dedup_name_key(F.col("name")))
-    return f.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first_id"), F.countDistinct("date_of_birth").alias("births")).filter("n >= 2")
-
-
-def f17_homonym_guard(spark, d):
-    """Names whose rows have at least two different profile numbers of one site: homonyms, not duplicates."""
-    f = table(spark, d, "fighters").select(text.dedup_name_key(F.col("name")).alias("key"), F.explode(F.split("data_source", r"\|")).alias("u"))
-    ids = f.select("key", F.nullif(F.regexp_extract("u", r"/fightcenter/fighters/(\d+)", 1), F.lit("")).alias("num")).filter("num is not null")
-    return ids.groupBy("key").agg(F.countDistinct("num").alias("numbers")).filter("numbers >= 2")
-
-
 def a6_site_counts(spark, d):
     u = table(spark, d, "fighters").select("id", F.explode(F.split("data_source", r"\|")).alias("u"))
     return u.select("id", domain.url_source(F.trim("u")).alias("site")).filter("site <> 'unknown'").groupBy("id").agg(F.least(F.countDistinct("site"), F.lit(4)).cast("int").alias("sites"))
 
 
-def a7_quality_score(spark, d):
-    points = {"nickname": 2, "date_of_birth": 6, "nationality": 3, "photo_url": 2, "height_inches": 5, "reach_inches": 5, "stance": 4, "first_sport": 4, "wins_by_ko_tko": 2, "career_debut_date": 2, "last_fight_date": 2, "fightmatrix_rating_points": 5, "fightmatrix_540_metric": 2, "ufc_official_rank": 3, "fight_history": 6}
-    score = F.lit(20)
-    for c, p in points.items():
-        score = score + F.when(F.trim(F.col(c).cast("string")) != "", p).otherwise(0)
-    return table(spark, d, "fighters").select("id", F.least(score, F.lit(100)).alias("score"))
-
-
 def a9_ordered_distinct(spark, d):
     return table(spark, d, "documents").filter("url is not null").groupBy("url").agg(F.min("doc_id").alias("first_doc"))
 
@@ -126,16 +71,6 @@ def a13_event_counts(spark, d):
     return table(spark, d, "event_fights").groupBy("event_id").agg(F.count("winner_id").alias("winners"), F.count(F.lit(1)).alias("bouts"))
 
 
-def a14_status_counts(spark, d):
-    return table(spark, d, "event_fights").groupBy("status").agg(F.count(F.lit(1)).alias("n"))
-
-
-def w8_duplicate_keeper(spark, d):
-    f = table(spark, d, "fighters").withColumn("key", text.dedup_name_key(F.col("name")))
-    order = F.struct(F.coalesce("data_quality_score", F.lit(-1)), F.coalesce("record_total_wins", F.lit(0)), -F.col("id"))
-    return f.groupBy("key").agg(F.max_by("id", order).alias("keeper"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-
-
 def o1_top_rated(spark, d):
     f = table(spark, d, "fighters").select("id", "fightmatrix_rating_points", "record_total_wins")
     return f.orderBy(F.desc_nulls_last("fightmatrix_rating_points"), F.desc_nulls_last("record_total_wins"), "id").limit(50)
@@ -145,41 +80,24 @@ def l1_offset_limit(spark, d):
     return table(spark, d, "fighters").select("id", "name").orderBy("id").offset(20).limit(30)
 
 
-def x1_url_sets(spark, d):
-    """URLs of listings that are no URL of the history."""
-    b = table(spark, d, "event_batches").select("tapology_url").filter("tapology_url is not null").distinct()
-    return b.join(table(spark, d, "mma_events").select("tapology_url"), "tapology_url", "left_anti")
-
-
 def r1_ledger(spark, d):
     """Listings not yet processed when those of one feed are in the ledger."""
     b = table(spark, d, "event_batches")
     return b.join(b.filter("feed = 'tapology'").select("raw_id"), "raw_id", "left_anti").select("raw_id", "batch_id")
 
 
-def r10_recent_events(spark, d):
-    return table(spark, d, "mma_events").filter(F.col("date").between("2026-01-30", "2026-03-01")).select("id", "date")
-
-
-def j12_latest_price_by_part(spark, d):
+def q_latest_price_by_part(spark, d):
     """Order lines with the running revenue of their part, newest line of each part."""
     li = table(spark, d, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice")
     best = F.max_by(F.struct("l_orderkey", "l_linenumber", "l_extendedprice"), F.struct("l_shipdate", "l_orderkey", "l_linenumber")).alias("b")
     return li.groupBy("l_partkey").agg(best, F.count(F.lit(1)).alias("n")).select("l_partkey", "b.*", "n")
 
 
-def a16_pricing_summary(spark, d):
+def q_pricing_summary(spark, d):
     li = table(spark, d, "lineitem").filter("l_shipdate <= '1998-09-02'")
     return li.groupBy("l_returnflag", "l_linestatus").agg(F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("sum_qty"), F.count(F.lit(1)).alias("count_order"))
 
 
-def u15_apply_bouts(spark, d):
-    """Fighters after the decided bouts of 2024 and later."""
-    from recordloom.operators.folds import apply_bouts
-
-    return apply_bouts(table(spark, d, "fighters"), table(spark, d, "event_fights").filter("event_date >= '2024-01-01'"))
-
-
 QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__ and not k.startswith("_")}
 
 _KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(translate({0}, 'øØłŁ', 'oOlL'))), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g'))"
@@ -189,41 +107,18 @@ _PRIO = "CASE {0} WHEN 'tapology' THEN 4 WHEN 'ufcstats+scrape' THEN 3 WHEN 'ufc
 _SRC = "CASE WHEN json_valid(fight_history) THEN lower(trim(json_extract_string(fight_history, '$.source'))) END"
 _FI = "CASE WHEN NOT coalesce(json_valid(fight_history), false) THEN [] WHEN ltrim(fight_history) LIKE '[%' THEN json_extract_string(fight_history, '$[*].result') ELSE json_extract_string(fight_history, '$.fights[*].result') END"
 ORACLES = {
-    "u15_apply_bouts": """WITH s AS (SELECT b.id, b.winner_id, b.method, b.event_date, b.event_id, b.bout_order, x.f, x.o FROM event_fights b, LATERAL (SELECT unnest([fighter1_id, fighter2_id]) f, unnest([fighter2_name, fighter1_name]) o) x
-            WHERE b.event_date >= DATE '2024-01-01' AND x.f IS NOT NULL AND (b.winner_id IS NOT NULL OR lower(b.method) LIKE '%draw%')),
-        r AS (SELECT *, CASE WHEN winner_id IS NULL THEN 'D' WHEN winner_id = f THEN 'W' ELSE 'L' END res, CASE WHEN lower(method) LIKE '%ko%' OR lower(method) LIKE '%knockout%' THEN 'ko' WHEN lower(method) LIKE '%sub%' THEN 'sub' END cat,
-            row_number() OVER (PARTITION BY f, lower(o), event_date ORDER BY event_id, bout_order NULLS FIRST, id) k FROM s),
-        u AS (SELECT *, row_number() OVER (PARTITION BY f ORDER BY event_date DESC, event_id DESC, bout_order DESC NULLS LAST, id DESC) n FROM r WHERE k = 1),
-        c AS (SELECT *, first_value(res) OVER (PARTITION BY f ORDER BY n) top FROM u),
-        g AS (SELECT f, count(*) FILTER (res = 'W') w, count(*) FILTER (res = 'L') l, count(*) FILTER (res = 'D') dr, count(*) FILTER (res = 'W' AND cat = 'ko') wk, count(*) FILTER (res = 'W' AND cat = 'sub') ws, max(event_date) last,
-            any_value(top) top, coalesce(min(n) FILTER (res <> top), count(*) + 1) - 1 run, string_agg(res, ',' ORDER BY n DESC) FILTER (n <= 5) last5 FROM c GROUP BY f)
-        SELECT a.id, coalesce(record_total_wins, 0) + w AS wins, coalesce(record_total_losses, 0) + l AS losses, coalesce(record_total_draws, 0) + dr AS draws, coalesce(record_total_wins, 0) + w + coalesce(record_total_losses, 0) + l + coalesce(record_total_draws, 0) + dr AS total_fights,
-            coalesce(wins_by_ko_tko, 0) + wk AS ko_wins, coalesce(wins_by_submission, 0) + ws AS sub_wins, greatest(last_fight_date, last) AS last_fight_date, CASE WHEN top <> 'D' THEN run::VARCHAR || top END AS current_streak, last5 AS last_5_results FROM fighters a JOIN g ON g.f = a.id""",
     "u1_three_policy_upsert": f"WITH o AS ({_OLD}), n AS ({_NEW}) SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NOT NULL THEN o.name ELSE n.name END AS name, CASE WHEN o.id IS NULL THEN n.nickname WHEN n.source IN ('tapology', 'ufc', 'ufc_fr') THEN coalesce(n.nickname, o.nickname) ELSE coalesce(o.nickname, n.nickname) END AS nickname, CASE WHEN o.id IS NULL THEN n.nationality WHEN n.source IN ('ufc', 'ufc_fr') THEN coalesce(n.nationality, o.nationality) ELSE coalesce(o.nationality, n.nationality) END AS nationality, coalesce(n.weight_class_current, o.weight_class_current) AS weight_class_current, CASE WHEN o.id IS NULL THEN n.stance WHEN n.source IN ('ufc', 'ufc_fr') THEN coalesce(n.stance, o.stance) ELSE coalesce(o.stance, n.stance) END AS stance, coalesce(n.record_total_wins, o.record_total_wins) AS record_total_wins, coalesce(n.data_quality_score, o.data_quality_score) AS data_quality_score, coalesce(o.is_verified, n.is_verified) AS is_verified FROM o FULL OUTER JOIN n ON o.id = n.id",
     "f13_row_diff": f"WITH o AS ({_OLD}), n AS ({_NEW}), j AS (SELECT o.id, unnest([['name', o.name, n.name], ['nickname', o.nickname, n.nickname], ['nationality', o.nationality, n.nationality], ['record_total_wins', o.record_total_wins::VARCHAR, n.record_total_wins::VARCHAR]]) x FROM o JOIN n USING (id)) SELECT id, x[1] AS \"column\", CASE WHEN x[2] IS NULL THEN 'filled' ELSE 'overwritten' END AS change FROM j WHERE x[3] IS NOT NULL AND x[2] IS DISTINCT FROM x[3]",
-    "u3_source_union": "SELECT key, count(DISTINCT u) AS n_sources, min(u) AS first_source FROM (SELECT lower(name) key, trim(unnest(string_split(data_source, '|'))) u FROM fighters) WHERE u <> '' GROUP BY 1",
     "u8_record_chain": "WITH t AS (SELECT id, greatest(coalesce(record_total_wins, 0), coalesce(record_ufc_wins, 0)) tw, greatest(coalesce(record_total_losses, 0), coalesce(record_ufc_losses, 0)) tl, greatest(coalesce(record_total_draws, 0), coalesce(record_ufc_draws, 0)) td, record_ufc_wins uw, record_ufc_losses ul, record_ufc_draws ud FROM fighters) SELECT id, tw AS record_total_wins, tl AS record_total_losses, td AS record_total_draws, uw AS record_ufc_wins, ul AS record_ufc_losses, ud AS record_ufc_draws, greatest(tw - coalesce(uw, 0), 0) AS record_other_wins, greatest(tl - coalesce(ul, 0), 0) AS record_other_losses, greatest(td - coalesce(ud, 0), 0) AS record_other_draws, tw + tl + td AS total_fights FROM t",
-    "u10_group_merge": f"WITH f AS (SELECT *, {_KEY.format('name')} key, -coalesce(data_quality_score, -1) q, {_PRIO.format(_SRC)} p FROM fighters) SELECT key, arg_min(nationality, (q, id)) FILTER (trim(nationality) <> '') AS nationality, arg_min(stance, (q, id)) FILTER (trim(stance) <> '') AS stance, nullif(max(coalesce(record_total_wins, 0)), 0) AS record_total_wins, nullif(max(coalesce(record_total_losses, 0)), 0) AS record_total_losses, length(arg_min(fight_history, (-p, q, id)) FILTER (fight_history IS NOT NULL))::INT AS fight_history FROM f GROUP BY key",
-    "u14_violations": "SELECT id, c AS \"check\" FROM (SELECT id, unnest([CASE WHEN NOT (gender IN ('M', 'F')) THEN 'gender' END, CASE WHEN NOT (data_quality_score BETWEEN 0 AND 100) THEN 'score' END, CASE WHEN NOT (record_total_wins >= 0) THEN 'wins' END, CASE WHEN NOT (last_scraped_at >= created_at) THEN 'scraped' END]) c FROM fighters) WHERE c IS NOT NULL",
     "k6_replace_children": "WITH n AS (SELECT id, event_id, bout_order, upper(fighter1_name) fighter1_name FROM event_fights WHERE is_title_fight) SELECT id, event_id, bout_order, fighter1_name FROM event_fights WHERE event_id NOT IN (SELECT event_id FROM n) UNION ALL SELECT * FROM n",
-    "k13_summary": "SELECT (SELECT count(*) FROM fighters) AS total, c AS \"column\", n AS filled FROM (SELECT unnest(['nickname', 'date_of_birth', 'nationality', 'stance', 'reach_inches', 'fight_history']) c, unnest([count(nickname), count(date_of_birth), count(nationality), count(stance), count(reach_inches), count(fight_history)]) n FROM fighters)",
-    "a1_history_record": f"SELECT id, len(list_filter(r, lambda x: upper(x) = 'W'))::INT AS w, len(list_filter(r, lambda x: upper(x) = 'L'))::INT AS l, len(list_filter(r, lambda x: upper(x) = 'D'))::INT AS dr FROM (SELECT id, {_FI} r FROM fighters)",
-    "a2_method_pivot": "SELECT winner_id, count(*) FILTER (lower(method) LIKE '%ko%' OR lower(method) LIKE '%knockout%') AS ko, count(*) FILTER (lower(method) LIKE '%sub%' AND NOT lower(method) LIKE '%ko%') AS sub, count(*) FILTER (lower(method) LIKE '%dec%' AND NOT lower(method) LIKE '%ko%' AND NOT lower(method) LIKE '%sub%') AS dec FROM event_fights WHERE winner_id IS NOT NULL GROUP BY 1",
     "a4_mode_share": "WITH s AS (SELECT id, weight_class, unnest([fighter1_id, fighter2_id]) f FROM event_fights WHERE weight_class IS NOT NULL), c AS (SELECT f, weight_class, count(*) n, min(id) m FROM s WHERE f IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, sum(n) OVER (PARTITION BY f) a, row_number() OVER (PARTITION BY f ORDER BY n DESC, m) k FROM c) SELECT f AS fighter_id, weight_class AS main_class, n FROM r WHERE k = 1 AND n / a > 0.55",
-    "a5_duplicate_groups": f"SELECT {_KEY.format('name')} AS key, count(*) AS n, min(id) AS first_id, count(DISTINCT date_of_birth) AS births FROM fighters GROUP BY 1 HAVING count(*) >= 2",
-    "f17_homonym_guard": f"SELECT key, count(DISTINCT num) AS numbers FROM (SELECT {_KEY.format('name')} key, nullif(regexp_extract(unnest(string_split(data_source, '|')), '/fightcenter/fighters/(\\d+)', 1), '') num FROM fighters) WHERE num IS NOT NULL GROUP BY 1 HAVING count(DISTINCT num) >= 2",
     "a6_site_counts": "WITH u AS (SELECT id, trim(unnest(string_split(data_source, '|'))) url FROM fighters), h AS (SELECT id, url, lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.\\-]*://([^/]*)', 1)) h FROM u), s AS (SELECT id, CASE WHEN contains(h, 'fightmatrix') THEN 'fightmatrix' WHEN contains(h, 'tapology') THEN 'tapology' WHEN contains(h, 'underground') THEN 'underground' WHEN contains(h, 'ufc-fr') THEN 'ufc_fr' WHEN contains(h, 'ufc') AND contains(lower(url), '/athlete/') THEN 'ufc' END s FROM h) SELECT id, least(count(DISTINCT s), 4)::INT AS sites FROM s WHERE s IS NOT NULL GROUP BY 1",
-    "a7_quality_score": "SELECT id, least(20 + " + " + ".join(f"CASE WHEN trim({c}::VARCHAR) <> '' THEN {p} ELSE 0 END" for c, p in {"nickname": 2, "date_of_birth": 6, "nationality": 3, "photo_url": 2, "height_inches": 5, "reach_inches": 5, "stance": 4, "first_sport": 4, "wins_by_ko_tko": 2, "career_debut_date": 2, "last_fight_date": 2, "fightmatrix_rating_points": 5, "fightmatrix_540_metric": 2, "ufc_official_rank": 3, "fight_history": 6}.items()) + ", 100) AS score FROM fighters",
     "a9_ordered_distinct": "SELECT url, min(doc_id) AS first_doc FROM documents WHERE url IS NOT NULL GROUP BY 1",
     "a12_best_history": f"WITH f AS (SELECT lower(name) key, id, {_PRIO.format(_SRC)} p FROM fighters WHERE fight_history IS NOT NULL) SELECT key, id, p AS priority FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY p DESC, id) r FROM f) WHERE r = 1",
     "a13_event_counts": "SELECT event_id, count(winner_id) AS winners, count(*) AS bouts FROM event_fights GROUP BY 1",
-    "a14_status_counts": "SELECT status, count(*) AS n FROM event_fights GROUP BY 1",
-    "w8_duplicate_keeper": f"SELECT key, arg_max(id, (coalesce(data_quality_score, -1), coalesce(record_total_wins, 0), -id)) AS keeper, count(*) AS n FROM (SELECT *, {_KEY.format('name')} key FROM fighters) GROUP BY 1 HAVING count(*) > 1",
     "o1_top_rated": "SELECT id, fightmatrix_rating_points, record_total_wins FROM fighters ORDER BY fightmatrix_rating_points DESC NULLS LAST, record_total_wins DESC NULLS LAST, id LIMIT 50",
     "l1_offset_limit": "SELECT id, name FROM fighters ORDER BY id LIMIT 30 OFFSET 20",
-    "x1_url_sets": "SELECT DISTINCT tapology_url FROM event_batches WHERE tapology_url IS NOT NULL AND tapology_url NOT IN (SELECT tapology_url FROM mma_events WHERE tapology_url IS NOT NULL)",
     "r1_ledger": "SELECT raw_id, batch_id FROM event_batches WHERE raw_id NOT IN (SELECT raw_id FROM event_batches WHERE feed = 'tapology')",
-    "r10_recent_events": "SELECT id, date FROM mma_events WHERE date BETWEEN DATE '2026-01-30' AND DATE '2026-03-01'",
-    "j12_latest_price_by_part": "SELECT l_partkey, l_orderkey, l_linenumber, l_extendedprice, n FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) r, count(*) OVER (PARTITION BY l_partkey) n FROM lineitem) WHERE r = 1",
-    "a16_pricing_summary": "SELECT l_returnflag, l_linestatus, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS sum_qty, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2",
+    "q_latest_price_by_part": "SELECT l_partkey, l_orderkey, l_linenumber, l_extendedprice, n FROM (SELECT *, row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) r, count(*) OVER (PARTITION BY l_partkey) n FROM lineitem) WHERE r = 1",
+    "q_pricing_summary": "SELECT l_returnflag, l_linestatus, sum(l_quantity::DECIMAL(18,2))::DOUBLE AS sum_qty, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY 1, 2",
 }

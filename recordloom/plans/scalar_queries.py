@@ -53,23 +53,10 @@ def f7_promotion_filter(spark, d):
     return table(spark, d, "mma_events").filter(F.upper("promotion").rlike("GRANITE|HARBOR|KESTREL")).select("id", "promotion")
 
 
-def f8_past_events(spark, d):
-    return table(spark, d, "mma_events").filter((F.col("date") <= AS_OF) & (F.col("date") >= "2024-01-01")).select("id", "date").orderBy("date")
-
-
 def f9_missing_source(spark, d):
     return table(spark, d, "fighters").filter(F.coalesce(~F.lower("data_source").contains("tapology"), F.lit(True)) & F.col("is_active")).select("id", "name")
 
 
-def f15_empty_shells(spark, d):
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)) == 0
-    return table(spark, d, "fighters").filter(F.col("fight_history").isNull() & F.col("date_of_birth").isNull() & zero("record_total_wins") & zero("record_total_losses")).select("id")
-
-
-def f5_pro_bouts(spark, d):
-    return table(spark, d, "event_fights").filter("coalesce(lower(status), '') not in ('cancelled', 'canceled') and coalesce(lower(weight_class), '') not like '%amateur%'").select("id", "event_id", "bout_order")
-
-
 def n3_dedup_keys(spark, d):
     return table(spark, d, "fighters").select("id", text.dedup_name_key(F.col("name")).alias("key"))
 
@@ -135,12 +122,6 @@ def d8_close_births(spark, d):
     return a.join(b, (F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id"))).filter(near).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
 
 
-def am1_percents(spark, d):
-    w, losses, dr = (F.coalesce(F.col(f"record_total_{c}"), F.lit(0)) for c in ("wins", "losses", "draws"))
-    finishes = F.coalesce(F.col("wins_by_ko_tko"), F.lit(0)) + F.coalesce(F.col("wins_by_submission"), F.lit(0))
-    return table(spark, d, "fighters").select("id", measures.percent(w, w + losses + dr).alias("win_pct"), measures.percent(finishes, w).alias("finish_pct"))
-
-
 def am3_heights(spark, d):
     inches = measures.feet_to_inches(F.col("height_inches"))
     return table(spark, d, "fighters").filter("height_inches is not null").select("id", inches.alias("inches"), measures.inches_to_feet(inches).alias("feet"), measures.reach_inches(F.col("reach_inches")).alias("reach"))
@@ -156,26 +137,6 @@ def h1_history_entries(spark, d):
     return table(spark, d, "fighters").select("id", F.size(history.fights(h)).alias("n_fights"), history.history_source(h).alias("source"))
 
 
-def e15_event_props(spark, d):
-    """Numbers in the JSON properties of the event stream, summed by type."""
-    return table(spark, d, "events").select("event_type", F.get_json_object("props", "$.k").cast("long").alias("k")).groupBy("event_type").agg(F.sum("k").alias("sum_k"), F.count("k").alias("n"))
-
-
-def e3_page_links(spark, d):
-    """Links in the markup of documents."""
-    from recordloom.sources.files import html_links
-
-    return html_links(table(spark, d, "documents"), "doc_id", "text").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_links"))
-
-
-def e10_event_meta(spark, d):
-    """Names and dates read from the URLs and names of events."""
-    from recordloom.operators.extraction import event_meta
-
-    pages = table(spark, d, "mma_events").select("id", F.coalesce("tapology_url", F.lit("")).alias("url"), F.col("name").alias("title"), F.concat_ws("\n", F.concat(F.lit("Venue: "), "venue"), F.col("date").cast("string")).alias("text"))
-    return event_meta(pages).select("id", "event_date", "venue")
-
-
 QUERIES = {k: v for k, v in globals().items() if callable(v) and getattr(v, "__module__", "") == __name__}
 
 _KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(translate({0}, 'øØłŁ', 'oOlL'))), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g'))"
@@ -191,10 +152,7 @@ ORACLES = {
     "f1_url_source": f"SELECT doc_id, CASE WHEN url IS NULL THEN NULL WHEN contains({_HOST}, 'fightmatrix') THEN 'fightmatrix' WHEN contains({_HOST}, 'tapology') THEN 'tapology' WHEN contains({_HOST}, 'underground') THEN 'underground' WHEN contains({_HOST}, 'ufc-fr') THEN 'ufc_fr' WHEN contains({_HOST}, 'ufc') AND contains(lower(url), '/athlete/') THEN 'ufc' ELSE 'unknown' END AS site FROM documents",
     "f3_source_keys": "SELECT DISTINCT id, k AS source_key FROM (SELECT id, CASE WHEN regexp_matches(u, '/fighter-profile/[^/]+/\\d+') THEN 'fm:' || regexp_extract(u, '/fighter-profile/[^/]+/(\\d+)', 1) WHEN regexp_matches(u, '/fightcenter/fighters/\\d+') THEN 'tap:' || regexp_extract(u, '/fightcenter/fighters/(\\d+)', 1) WHEN regexp_matches(u, '/combattant/[^,]+,\\d+') THEN 'ufr:' || regexp_extract(u, '/combattant/[^,]+,(\\d+)', 1) END k FROM (SELECT id, unnest(string_split(data_source, '|')) u FROM fighters)) WHERE k IS NOT NULL",
     "f7_promotion_filter": "SELECT id, promotion FROM mma_events WHERE regexp_matches(upper(promotion), 'GRANITE|HARBOR|KESTREL')",
-    "f8_past_events": f"SELECT id, date FROM mma_events WHERE date <= DATE '{AS_OF}' AND date >= DATE '2024-01-01' ORDER BY date",
     "f9_missing_source": "SELECT id, name FROM fighters WHERE coalesce(NOT contains(lower(data_source), 'tapology'), true) AND is_active",
-    "f15_empty_shells": "SELECT id FROM fighters WHERE fight_history IS NULL AND date_of_birth IS NULL AND coalesce(record_total_wins, 0) = 0 AND coalesce(record_total_losses, 0) = 0",
-    "f5_pro_bouts": "SELECT id, event_id, bout_order FROM event_fights WHERE coalesce(lower(status), '') NOT IN ('cancelled', 'canceled') AND coalesce(lower(weight_class), '') NOT LIKE '%amateur%'",
     "n3_dedup_keys": f"SELECT id, {_KEY.format('name')} AS key FROM fighters",
     "n4_sorted_keys": f"SELECT id, array_to_string(list_sort(string_split({_KEY.format('name')}, ' ')), ' ') AS key FROM fighters",
     "n5_plain_keys": "SELECT id, lower(regexp_replace(regexp_replace(name, '[^a-zA-Z0-9 ]', '', 'g'), '\\s+', ' ', 'g')) AS key FROM fighters",
@@ -209,11 +167,7 @@ ORACLES = {
     "d2_any_date": f"SELECT profile_id, coalesce(CASE WHEN regexp_full_match({_BORN}, '\\d{{4}}-\\d{{2}}-\\d{{2}}.*') THEN try_strptime(left({_BORN}, 10), '%Y-%m-%d') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{2}}/\\d{{2}}/\\d{{4}}') THEN try_strptime({_BORN}, '%d/%m/%Y') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{4}}\\.\\d{{2}}\\.\\d{{2}}') THEN try_strptime({_BORN}, '%Y.%m.%d') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{8}}') THEN try_strptime({_BORN}, '%Y%m%d') END, CASE WHEN regexp_full_match({_BORN}, '[A-Z][a-z]{{2}} \\d{{1,2}}, \\d{{4}}') THEN try_strptime({_BORN}, '%b %-d, %Y') END, CASE WHEN regexp_full_match({_BORN}, '[A-Z][a-z]{{3,}} \\d{{1,2}}, \\d{{4}}') THEN try_strptime({_BORN}, '%B %-d, %Y') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{1,2}} [A-Z][a-z]{{3,}} \\d{{4}}') THEN try_strptime({_BORN}, '%-d %B %Y') END)::DATE AS born FROM source_profiles",
     "d7_ages": f"SELECT id, CASE WHEN y > 10 AND y < 90 THEN y END AS years, datediff('day', last_fight_date, DATE '{AS_OF}')::INT AS idle_days FROM (SELECT *, (2026 - year(date_of_birth) - CASE WHEN (3, 1) < (month(date_of_birth), day(date_of_birth)) THEN 1 ELSE 0 END)::INT y FROM fighters WHERE date_of_birth IS NOT NULL)",
     "d8_close_births": "SELECT a.id AS left_id, b.id AS right_id FROM fighters a JOIN fighters b ON lower(a.name) = lower(b.name) AND a.id < b.id WHERE year(a.date_of_birth) = year(b.date_of_birth) AND abs(datediff('day', a.date_of_birth, b.date_of_birth)) <= 90",
-    "am1_percents": "SELECT id, CASE WHEN t > 0 THEN round_even(w * 100.0 / t, 0)::INT END AS win_pct, CASE WHEN w > 0 THEN round_even(f * 100.0 / w, 0)::INT END AS finish_pct FROM (SELECT id, coalesce(record_total_wins, 0)::DOUBLE w, (coalesce(record_total_wins, 0) + coalesce(record_total_losses, 0) + coalesce(record_total_draws, 0))::DOUBLE t, (coalesce(wins_by_ko_tko, 0) + coalesce(wins_by_submission, 0))::DOUBLE f FROM fighters)",
     "am3_heights": "SELECT id, i AS inches, (i // 12)::VARCHAR || '''' || (i % 12)::VARCHAR || '\"' AS feet, try_cast(nullif(regexp_extract(reach_inches, '(\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS reach FROM (SELECT *, CASE WHEN regexp_matches(height_inches, '^\\s*\\d+''\\s*\\d+') THEN regexp_extract(height_inches, '^\\s*(\\d+)''\\s*(\\d+)', 1)::INT * 12 + regexp_extract(height_inches, '^\\s*(\\d+)''\\s*(\\d+)', 2)::INT END i FROM fighters WHERE height_inches IS NOT NULL)",
     "am8_record_parts": "SELECT profile_id, regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)', 1)::INT AS w, regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)', 2)::INT AS l, coalesce(try_cast(nullif(regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)(?:\\s*-\\s*(\\d+))?', 3), '') AS INT), 0) AS dr FROM source_profiles WHERE regexp_matches(record_text, '^\\s*\\d+\\s*-\\s*\\d+') UNION ALL SELECT profile_id, NULL, NULL, NULL FROM source_profiles WHERE NOT coalesce(regexp_matches(record_text, '^\\s*\\d+\\s*-\\s*\\d+'), false)",
     "h1_history_entries": "SELECT id, CASE WHEN NOT coalesce(json_valid(fight_history), false) THEN 0 WHEN ltrim(fight_history) LIKE '[%' THEN json_array_length(fight_history) WHEN ltrim(fight_history) LIKE '{%' THEN coalesce(json_array_length(fight_history, '$.fights'), 0) ELSE 0 END::INT AS n_fights, CASE WHEN json_valid(fight_history) THEN lower(trim(json_extract_string(fight_history, '$.source'))) END AS source FROM fighters",
-    "e3_page_links": "SELECT doc_id, count(*) AS n_links FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)<a\\b[^>]*?href=[\"'']([^\"''#]+)', 1)) h FROM documents) GROUP BY 1",
-    "e10_event_meta": "SELECT id, date AS event_date, nullif(trim(venue), '') AS venue FROM mma_events",
-    "e15_event_props": "SELECT event_type, sum(json_extract_string(props, '$.k')::BIGINT)::BIGINT AS sum_k, count(json_extract_string(props, '$.k')) AS n FROM events GROUP BY 1",
 }

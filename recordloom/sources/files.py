@@ -3,7 +3,6 @@ versioned snapshots."""
 
 from __future__ import annotations
 
-import csv
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -11,26 +10,33 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from recordloom.session import ship_code
 
 
-def read_url_list(spark: SparkSession, path: str) -> DataFrame:
-    """`(url, first)`: distinct URLs of a text file in order of first mention. Several may share a line, `#` starts
-    a comment, slashes at the end are dropped."""
-    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line"))
-    words = lines.select("line", F.posexplode(F.split(F.trim(F.regexp_replace("value", r"(^|\s)#.*$", "")), r"\s+")).alias("pos", "url"))
+def url_list(lines: DataFrame, order: str, value: str) -> DataFrame:
+    """`(url, first)`: distinct URLs of lines in order of first mention. Several may share a line, `#` after a blank starts a
+    comment, slashes at the end are dropped; null lines have none."""
+    words = lines.select(F.col(order).alias("line"), F.posexplode(F.split(F.trim(F.regexp_replace(value, r"(^|\s)#.*$", "")), r"\s+")).alias("pos", "url"))
     urls = words.filter(F.col("url").rlike("^https?://")).select(F.regexp_replace("url", "/+$", "").alias("url"), F.struct("line", "pos").alias("at"))
     return urls.groupBy("url").agg(F.min("at").alias("first"))
 
 
+def read_url_list(spark: SparkSession, path: str) -> DataFrame:
+    """`url_list` of a text file."""
+    return url_list(spark.read.text(path).select("value", F.monotonically_increasing_id().alias("line")), "line", "value")
+
+
 def read_two_header_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of a CSV whose second line holds the column names; a BOM and short rows are accepted, all values are
-    strings, blank ones null. The first two lines are read on the driver, the rest is distributed."""
-    top = spark.read.text(path).limit(2).collect()
-    names = next(csv.reader([top[1]["value"]])) if len(top) > 1 else []
-    if not names:
+    """Rows of CSV files whose second record holds the column names; a BOM, short rows and line breaks in quotes are
+    accepted, all values are strings, blank ones null. Of every file the first two records are its header."""
+    probe = spark.read.csv(path, header=False, multiLine=True, inferSchema=False)
+    numbered = spark.read.schema(", ".join(f"c{i} string" for i in range(len(probe.columns)))).csv(path, header=False, multiLine=True).select("*", F.input_file_name().alias("file__"), F.monotonically_increasing_id().alias("at__"))
+    # Files with line breaks in quotes aren't split, so the numbers of one file's records follow one another.
+    first = numbered.groupBy("file__").agg(F.min("at__").alias("first__"))
+    body = numbered.join(F.broadcast(first), "file__").withColumn("n__", F.col("at__") - F.col("first__"))
+    top = body.filter("n__ = 1").orderBy("file__").limit(1).collect()
+    if not top:
         return spark.createDataFrame([], "value string")
-    header = {r["value"] for r in top}
-    body = spark.read.text(path).filter(~F.col("value").isin(*header) & (F.trim("value") != ""))
-    parsed = body.select(F.from_csv("value", ", ".join(f"`{n}` string" for n in names)).alias("r")).select("r.*")
-    return parsed.select(*[F.nullif(F.trim(F.col(f"`{n}`")), F.lit("")).alias(n) for n in names])
+    columns = [c for c in numbered.columns if not c.endswith("__")]
+    names = {c: top[0][c] for c in columns if top[0][c]}
+    return body.filter("n__ > 1").select(*[F.nullif(F.trim(F.col(c)), F.lit("")).alias(n) for c, n in names.items()])
 
 
 def explode_blob(df: DataFrame, id_col: str, blob: str, separator: str = "///") -> DataFrame:
@@ -100,10 +106,10 @@ class Snapshots:
         return version
 
 
-def next_ids(df: DataFrame, order: str, start: int, salts: int = 64) -> DataFrame:
+def next_ids(df: DataFrame, order: str, start: int) -> DataFrame:
     """Rows numbered from `start + 1` in a total order: counts per range partition, then a running number inside,
     so no task sorts all rows."""
-    ranged = df.repartitionByRange(salts, order).withColumn("part__", F.spark_partition_id())
+    ranged = df.repartitionByRange(order).withColumn("part__", F.spark_partition_id())
     from recordloom.session import checkpoint
 
     held = checkpoint(ranged)

@@ -39,13 +39,27 @@ def windowed_counts(events: DataFrame, time: str, kind: str, width: str = "1 hou
     return events.withWatermark(time, late).groupBy(F.window(time, width).alias("w"), kind).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("start"), kind, "n")
 
 
-def failure_breaker(statuses: DataFrame, key: str, order: str, failed: str, least: int = 3) -> DataFrame:
-    """`(key, longest)` of the keys whose longest run of failures reaches `least`."""
+def failure_breaker(statuses: DataFrame, key: str, order: str, failed: str, least: int = 3, span: int = 10_000) -> DataFrame:
+    """`(key, longest)` of the keys whose longest run of failures, in order of a whole number, reaches `least`.
+
+    Runs are counted within spans of `span` numbers and joined over their ends, so a key with a third of all rows is never
+    sorted by one task: what is brought together for a key is one row a span."""
     from pyspark.sql import Window
 
-    w = Window.partitionBy(key).orderBy(order)
-    runs = statuses.withColumn("grp", F.sum((~F.col(failed)).cast("int")).over(w)).filter(failed).groupBy(key, "grp").agg(F.count(F.lit(1)).alias("n"))
-    return runs.groupBy(key).agg(F.max("n").alias("longest")).filter(F.col("longest") >= least)
+    t = statuses.select(F.col(key).alias("k"), F.col(order).alias("o"), F.coalesce(F.col(failed), F.lit(False)).alias("f"), F.floor(F.col(order) / span).alias("s"))
+    w = Window.partitionBy("k", "s").orderBy("o")
+    runs = t.withColumn("g", F.sum((~F.col("f")).cast("int")).over(w)).groupBy("k", "s", "g").agg(F.count_if("f").alias("n"), F.count_if(~F.col("f")).alias("ok"))
+    # Run 0 begins with the span, the run of the last group ends with it; a span without a success is one run.
+    spans = runs.groupBy("k", "s").agg(F.max("n").alias("best"), F.max(F.when(F.col("g") == 0, F.col("n"))).alias("head"), F.max_by("n", "g").alias("tail"), (F.max("g") == 0).alias("whole"))
+    listed = spans.groupBy("k").agg(F.array_sort(F.collect_list(F.struct("s", "best", F.coalesce("head", F.lit(0)).alias("head"), "tail", "whole"))).alias("l"))
+    zero = F.struct(F.lit(0).cast("long").alias("best"), F.lit(0).cast("long").alias("open"))
+
+    def step(a: Column, x: Column) -> Column:
+        through = a["open"] + x["head"]
+        return F.struct(F.greatest(a["best"], x["best"], through).alias("best"), F.when(x["whole"], through).otherwise(x["tail"]).alias("open"))
+
+    found = listed.select(F.col("k").alias(key), F.aggregate("l", zero, step)["best"].alias("longest"))
+    return found.filter(F.col("longest") >= least)
 
 
 def backoff_seconds(attempt: Column, base: int = 120, cap: int = 1800) -> Column:
