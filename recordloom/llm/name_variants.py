@@ -112,7 +112,9 @@ def metric_pairs(queries: DataFrame, known: DataFrame) -> DataFrame:
     names = checkpoint(queries.groupBy(F.col("given").alias("qg"), F.col("surname").alias("qs")).agg(F.count(F.lit(1)).alias("n")))
     visits = visited_cells(names.select("qg").distinct(), known.select("given").distinct())
     mark = F.xxhash64("cell", "segment").alias("mark")
-    q = names.join(visits, "qg").select("qg", "qs", "cell", "g", F.explode(_asked_keys("qs", F.lit(RADIUS) - F.col("g"))).alias("segment")).select("qg", "qs", F.col("cell").alias("given"), "g", mark)
+    # Spread first: every row becomes some thirty, and a small table would leave them to one task.
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    q = names.join(visits, "qg").repartition(spread, "qg", "qs").select("qg", "qs", "cell", "g", F.explode(_asked_keys("qs", F.lit(RADIUS) - F.col("g"))).alias("segment")).select("qg", "qs", F.col("cell").alias("given"), "g", mark)
     k = known.select("given", "surname").distinct().select(F.col("given").alias("cell"), "surname", F.explode(_kept_keys("surname")).alias("segment")).select(F.col("cell").alias("kg"), "surname", mark)
     met = q.join(k, "mark").filter("given = kg").withColumn("s", F.levenshtein("qs", "surname", RADIUS)).filter(f"s >= 0 and g + s <= {RADIUS}")
     near = met.select("qg", "qs", "given", "surname", "g", "s").distinct()
