@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterable
 from functools import cache
 
 from pyspark.sql import Column, functions as F
 
+_NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
 #: Letters that Unicode doesn't decompose, as text.
 _UNDECOMPOSED = {"ø": "o", "Ø": "O", "ł": "l", "Ł": "L", "đ": "d", "Đ": "D", "ı": "i", "ß": "s", "æ": "a", "Æ": "A", "œ": "o", "Œ": "O", "ð": "d", "Ð": "D", "þ": "t", "Þ": "T"}
 
@@ -40,7 +42,11 @@ def fold_accents(text: Column) -> Column:
 
 def fold(text: str) -> str:
     """`fold_accents` for one Python string."""
-    return text if text.isascii() else text.translate(_fold_map())
+    return text if text.isascii() else _NOT_ASCII.sub(_fold_run, text)
+
+
+def _fold_run(m: re.Match) -> str:
+    return m.group().translate(_fold_map())
 
 
 def squash(text: str) -> str:
