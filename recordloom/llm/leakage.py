@@ -6,8 +6,9 @@ span of at least `GRAM + WINDOW - 1` words therefore share a fingerprint. Finger
 are joined, and each pair that meets is extended by a local alignment of words, which tolerates changed and
 inserted words. A pair leaks when the aligned run covers the wanted share of the test text.
 
-Up to `BROADCAST_FINGERPRINTS` test fingerprints (about 100 MB) the join is a lookup on the executors and no
-corpus row moves; a larger test set is joined by a shuffle on the fingerprint, with the same result.
+The join is a lookup on the executors, and no corpus row moves. At most about `BROADCAST_FINGERPRINTS` test fingerprints
+(some 100 MB) are sent at once: a larger test set is taken in blocks, each looked up in a pass of its own over the corpus.
+Fingerprints that a third of all texts have cost a lookup each, and no pair of texts leaves the task that finds it.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from recordloom.functions.text import fold
+from recordloom.session import checkpoint
 
 GRAM = 4
 WINDOW = 4
@@ -34,8 +36,10 @@ _BLOCK = re.compile(r"</?(?:p|br|div|li|ul|ol|h\d|tr|td|table|blockquote)\b[^<>]
 _TAG = re.compile(r"<[A-Za-z/!][^<>]{0,300}>")
 _HYPHENATED = re.compile(r"(?<=[^\W\d_])[-‐]\s*\n\s*(?=[^\W\d_])")
 _LINK = re.compile(r"\]\([^()\s]{1,300}\)")
-_NOT_WORD = re.compile(r"[^0-9a-z]+")
 _SPLIT = re.compile(r"[\s/|—–…]+")
+#: What stays of ASCII: lower case letters and digits; the bars between words are blanks.
+_BLANKS = bytes.maketrans(b"/|\x1c\x1d\x1e\x1f", b"      ")
+_DROPPED = bytes(c for c in range(128) if not (48 <= c < 58 or 97 <= c < 123 or c in b" /|\t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"))
 #: What UTF-8 read as a one-byte encoding looks like.
 _MISREAD = re.compile(r"[ÃÂÅÄ][\x80-\xbf€‚ƒ„…†‡ˆ‰Š‹ŒŽ‘’“”•–—˜™š›œžŸ]")
 
@@ -63,7 +67,10 @@ def words_of(text: str) -> list[str]:
     text = fold(text)
     if "\n" in text:
         text = _HYPHENATED.sub("", text)
-    return [w for w in (_NOT_WORD.sub("", x) for x in _SPLIT.split(text.lower())) if w]
+    text = text.lower()
+    if not text.isascii():
+        text = _SPLIT.sub(" ", text)
+    return text.encode("ascii", "ignore").translate(_BLANKS, _DROPPED).decode("ascii").split()
 
 
 def _hashes(words: list[str], memo: dict[str, int]) -> np.ndarray:
@@ -131,14 +138,19 @@ def _pairs(h: np.ndarray) -> np.ndarray:
         return h[:-1] * np.uint64(0x9E3779B97F4A7C15) ^ h[1:]
 
 
+def wanted_pairs(size: int, share: float) -> tuple[int, float]:
+    """The shortest stretch of pairs of a test text of `size` words that a leak can lie on, and how many of them it keeps."""
+    span = max(1, int(share * size) - 1)
+    return span, (2 * MATCHED - 1) * span - 2
+
+
 def may_leak(doc_pairs: set[int], item_pairs: list[int], size: int, share: float) -> bool:
     """Whether a run of the wanted length can exist, from neighbouring words that the two texts share.
 
     A changed word costs a run two of its pairs, so a run with `MATCHED` of its words in place keeps at least
     `2 * MATCHED - 1` of its pairs, and some stretch of the shortest wanted length holds that density.
     """
-    span = max(1, int(share * size) - 1)
-    least = (2 * MATCHED - 1) * span - 2
+    span, least = wanted_pairs(size, share)
     shared = [x in doc_pairs for x in item_pairs]
     held = most = sum(shared[:span])
     for gone, come in zip(shared, shared[span:]):
@@ -155,6 +167,7 @@ class TestSet:
         self.ids = ids
         self.words = [_hashes(words_of(t), memo) for t in texts]
         self.pairs = [_pairs(w).tolist() for w in self.words]
+        self.sets = [set(p) for p in self.pairs]
         self.index: dict[int, list[tuple[int, int]]] = {}
         for i, w in enumerate(self.words):
             for k, p in zip(*winnow(w)):
@@ -176,6 +189,9 @@ class TestSet:
         doc_pairs = set(_pairs(h).tolist()) if near else set()
         for i, (a, b) in near.items():
             item = self.words[i]
+            repeated = len(self.pairs[i]) - len(self.sets[i])
+            if len(doc_pairs & self.sets[i]) + repeated < wanted_pairs(len(item), share)[1]:
+                continue
             if not may_leak(doc_pairs, self.pairs[i], len(item), share):
                 continue
             run, matched = aligned_run(h[a:b], item)
@@ -196,10 +212,9 @@ def leaked_items(corpus: DataFrame, corpus_id: str, corpus_text: str, tests: Dat
     ends = [T.StructField(c, T.IntegerType()) for c in ("run_words", "matched_words", "test_words")]
     schema = T.StructType([T.StructField("doc", types["doc"]), T.StructField("item", types["item"]), *ends])
     size = t.agg(F.sum(F.char_length("t"))).first()[0] or 0
-    if size / 4 <= limit:
-        rows = t.collect()
-        sent = spark.sparkContext.broadcast(TestSet([r["item"] for r in rows], [r["t"] for r in rows]))
+    passes = max(1, -(-size // (4 * limit)))
 
+    def finder(sent):
         def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             memo: dict[str, int] = {}
             known = sent.value
@@ -207,39 +222,16 @@ def leaked_items(corpus: DataFrame, corpus_id: str, corpus_text: str, tests: Dat
                 out = [(doc, known.ids[i], run, matched, n) for doc, text in zip(batch["doc"], batch["t"]) for i, run, matched, n in known.leaks(_hashes(words_of(text), memo), share)]
                 yield pd.DataFrame(out, columns=["doc", "item", "run_words", "matched_words", "test_words"], dtype=object)
 
-        found = d.mapInPandas(find, schema)
-    else:
-        found = _by_shuffle(d, t, share, schema, types)
-    return found.select(F.col("doc").alias(corpus_id), F.col("item").alias(test_id), "run_words", "matched_words", "test_words")
-
+        return find
 
-def _by_shuffle(d: DataFrame, t: DataFrame, share: float, schema: T.StructType, types: dict) -> DataFrame:
-    """The same leaks with test sets of any size: fingerprints meet in a join, each pair is aligned once."""
-
-    def prints(key: str):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            memo: dict[str, int] = {}
-            for batch in batches:
-                keys, marks = [], []
-                for k, text in zip(batch[key], batch["t"]):
-                    found = set(winnow(_hashes(words_of(text), memo))[0].tolist())
-                    keys += [k] * len(found)
-                    marks += found
-                yield pd.DataFrame({key: pd.Series(keys, dtype=batch[key].dtype), "mark": pd.Series(marks, dtype="int64")})
-
-        return T.StructType([T.StructField(key, types[key]), T.StructField("mark", T.LongType())]), run
-
-    (sd, fd), (st, ft) = prints("doc"), prints("item")
-    pairs = d.mapInPandas(fd, sd).join(t.mapInPandas(ft, st), "mark").select("doc", "item").distinct()
-    both = pairs.join(d.withColumnRenamed("t", "dt"), "doc").join(t, "item").select("doc", "item", "dt", "t")
-
-    def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, int] = {}
-        for batch in batches:
-            out = []
-            for doc, item, dt, text in zip(batch["doc"], batch["item"], batch["dt"], batch["t"]):
-                one = TestSet([item], [text])
-                out += [(doc, item, run, matched, n) for _, run, matched, n in one.leaks(_hashes(words_of(dt), memo), share)]
-            yield pd.DataFrame(out, columns=["doc", "item", "run_words", "matched_words", "test_words"], dtype=object)
-
-    return both.mapInPandas(align, schema)
+    found = None
+    for n in range(passes):
+        rows = t.filter(F.pmod(F.xxhash64("item", "t"), F.lit(passes)) == n).collect()
+        sent = spark.sparkContext.broadcast(TestSet([r["item"] for r in rows], [r["t"] for r in rows]))
+        part = d.mapInPandas(finder(sent), schema)
+        if passes > 1:
+            # Written before the next block of test texts is sent, so one block at a time is held.
+            part = checkpoint(part)
+            sent.destroy()
+        found = part if found is None else found.unionByName(part)
+    return found.select(F.col("doc").alias(corpus_id), F.col("item").alias(test_id), "run_words", "matched_words", "test_words")
