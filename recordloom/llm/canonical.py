@@ -6,14 +6,17 @@ edit distance; the meeting surfaces are ranked by weighted Damerau-Levenshtein d
 entry itself occurs in the data. Values near no surface, or that name something known to lie outside the list,
 are reported as misses (entry 0).
 
-The dictionary is sent to the executors in blocks of at most `MAX_SURFACES` surfaces, each a narrow pass over
-the data (one block for any list of some thousand entries); with several blocks the best answer of each value
-is taken. Values are mapped where they lie, once for each distinct value of a batch, so hot values cost nothing.
+The dictionary is kept in blocks of at most `MAX_SURFACES` surfaces, one block for any list of some thousand entries. A
+block gives evidence (`Block.evidence`), and the entry is chosen from that of all blocks together, so the answer does not
+depend on how the list is cut. One block is sent to the executors, and values are mapped where they lie, once for each
+distinct value of a batch, so hot values cost nothing. Of several blocks one at a time is sent and looked up by the distinct
+values; their evidence is written, brought together for each value, and joined back.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import cache
@@ -22,6 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from recordloom.functions.text import fold, squash
+from recordloom.session import checkpoint
 
 MAX_SURFACES = 100_000
 _MEMO = 200_000
@@ -74,6 +78,8 @@ class Block:
     near: dict[str, tuple[str, ...]] = field(default_factory=dict)
     owner: dict[str, tuple[float, int]] = field(default_factory=dict)
     words: list[tuple[tuple[str, ...], int]] = field(default_factory=list)
+    initials: dict[tuple[str, ...], list[tuple[tuple[str, ...], int]]] = field(default_factory=dict)
+    squashed: list[tuple[str, int]] = field(default_factory=list)
     outside: frozenset[str] = frozenset()
     frequency: dict[int, int] = field(default_factory=dict)
     names: set[str] = field(default_factory=set)
@@ -87,49 +93,73 @@ class Block:
                     seen.add(surface)
                     yield surface
 
-    def _abbreviated(self, value: str) -> int:
-        """The entry each of whose words the value's words shorten, if there is just one."""
+    def _shortened(self, value: str) -> set[int]:
+        """The entries each of whose words the value's words shorten, or that begin with a value that ends in a stop."""
         given = [w.strip(".") for w in re.split(r"[\s_\-]+", fold(value).lower()) if w.strip(".")]
         if value.rstrip().endswith(".") and len(key := squash(value)) >= 6:
-            begun = {owner for words, owner in self.words if "".join(map(squash, words)).startswith(key)}
-            if len(begun) == 1:
-                return begun.pop()
+            at = bisect_left(self.squashed, (key, -1))
+            begun = set()
+            while at < len(self.squashed) and self.squashed[at][0].startswith(key):
+                begun.add(self.squashed[at][1])
+                at += 1
+            if begun:
+                return begun
         if "." not in value and len(given) < 2:
-            return 0
-        found = {
-            owner
-            for words, owner in self.words
-            if len(words) == len(given) and any(g != w for g, w in zip(given, words)) and any(len(g) > 1 for g in given) and all(_shortens(g, w) for g, w in zip(given, words))
-        }
-        return found.pop() if len(found) == 1 else 0
-
-    def look_up(self, value: str) -> tuple[float, int]:
-        """(cost, entry) of a value; entry 0 at the highest cost for a miss, cost 0 for one known to lie outside."""
-        key = squash(value)
-        if not key:
-            return _MISS
-        for form in _forms(value):
+            return set()
+        alike = self.initials.get(tuple(g[0] for g in given), ())
+        return {owner for words, owner in alike if any(g != w for g, w in zip(given, words)) and any(len(g) > 1 for g in given) and all(_shortens(g, w) for g, w in zip(given, words))}
+
+    def evidence(self, forms: list[str]) -> Iterator[tuple[int, int, bool, float, int, int]]:
+        """What the block says of a value's forms, best stage and form first: `(stage, form, shortened, cost, -frequency, entry)`.
+        Stage 0 is a surface as it stands (entry 0: known to lie outside), stage 1 a near or shortened one."""
+        for i, form in enumerate(forms):
             k = squash(form)
             if k in self.outside:
-                return (0.0, 0)
-            if k in self.exact:
-                return self.exact[k]
-        best = None
-        for form in _forms(value):
+                yield 0, i, False, -1.0, 0, 0
+            elif k in self.exact:
+                cost, entry = self.exact[k]
+                yield 0, i, False, cost, -self.frequency.get(entry, 0), entry
+        for i, form in enumerate(forms):
             k = squash(form)
             for surface in self.candidates(k):
                 penalty, entry = self.owner[surface]
                 edits = min(allowed_edits(len(k)), allowed_edits(len(surface)))
                 distance = damerau(k, surface, edits)
                 if distance <= edits:
-                    rank = (distance + penalty, -self.frequency.get(entry, 0), entry)
-                    best = rank if best is None else min(best, rank)
-            if entry := self._abbreviated(form):
-                rank = (0.5, -self.frequency.get(entry, 0), entry)
-                best = rank if best is None else min(best, rank)
-            if best:
-                return (1.0 + best[0], best[2])
+                    yield 1, i, False, distance + penalty, -self.frequency.get(entry, 0), entry
+            for entry in self._shortened(form):
+                yield 1, i, True, 0.5, -self.frequency.get(entry, 0), entry
+
+
+def chosen(evidence: Iterable[tuple[int, int, bool, float, int, int]]) -> tuple[float, int]:
+    """(cost, entry) from the evidence of all blocks: of the first stage and form that has any the cheapest, then the more
+    frequent entry. A value that shortens several entries shortens none."""
+    by_form: dict[tuple[int, int], list] = {}
+    for stage, form, shortened, *rank in evidence:
+        by_form.setdefault((stage, form), []).append((shortened, tuple(rank)))
+    for (stage, _), found in sorted(by_form.items()):
+        shortened = {r[2] for s, r in found if s}
+        ranks = [r for s, r in found if not s or len(shortened) == 1]
+        if ranks:
+            cost, _, entry = min(ranks)
+            return (cost + stage, entry) if entry else (0.0, 0)
+    return _MISS
+
+
+def look_up(blocks: list[Block], value: str) -> tuple[float, int]:
+    """(cost, entry) of a value; entry 0 at the highest cost for a miss, cost 0 for one known to lie outside."""
+    if not squash(value):
         return _MISS
+    forms = list(_forms(value))
+    if len(blocks) != 1:
+        return chosen(e for b in blocks for e in b.evidence(forms))
+    # Of one block evidence comes in order: what follows the first form that decides is not asked for.
+    held: list = []
+    for e in blocks[0].evidence(forms):
+        if held and e[:2] != held[-1][:2] and (found := chosen(held)) != _MISS:
+            return found
+        held.append(e)
+    return chosen(held)
 
 
 def _shortens(short: str, word: str) -> bool:
@@ -205,6 +235,9 @@ def _sealed(block: Block) -> Block:
         for d in deletions(surface, allowed_edits(len(surface))):
             near.setdefault(d, []).append(surface)
     block.near = {k: tuple(v) for k, v in near.items()}
+    for words, owner in block.words:
+        block.initials.setdefault(tuple(w[0] for w in words), []).append((words, owner))
+    block.squashed = sorted(("".join(map(squash, words)), owner) for words, owner in block.words)
     return block
 
 
@@ -214,30 +247,64 @@ def map_values(df: DataFrame, id_col: str, values: dict[str, list[Block]], out_i
     Values that are exactly an entry's name are left out unless `skip_exact` is false. Blank values are misses; repeated rows give repeated results; other columns are ignored.
     """
     id_type = df.schema[id_col].dataType
-    sc = df.sparkSession.sparkContext
-    blocks = {c: [sc.broadcast(b) for b in bs] for c, bs in values.items()}
+    spark = df.sparkSession
+    schema = T.StructType([T.StructField("field", T.StringType()), T.StructField(out_id, id_type), T.StructField(out_entry, T.LongType())])
+    slim = df.select(F.col(f"`{id_col}`").alias("key"), *[F.col(f"`{c}`").cast("string").alias(c) for c in values])
+    if any(len(bs) > 1 for bs in values.values()):
+        return _mapped_by_blocks(slim, values, skip_exact).select("field", F.col("key").alias(out_id), F.col("entry").alias(out_entry))
+    blocks = spark.sparkContext.broadcast(values)
 
     def mapped(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         memo: dict[tuple[str, str], int] = {}
         for batch in batches:
             out = []
-            for c, bs in blocks.items():
+            for c, bs in blocks.value.items():
                 part = batch[["key", c]].dropna(subset=[c])
                 for v in part[c].unique():
                     if (c, v) not in memo:
                         if len(memo) > _MEMO:
                             memo.clear()
-                        exact = skip_exact and any(v in b.value.names for b in bs)
-                        memo[c, v] = -1 if exact else min((b.value.look_up(v) for b in bs), default=_MISS)[1]
+                        exact = skip_exact and any(v in b.names for b in bs)
+                        memo[c, v] = -1 if exact else look_up(bs, v)[1]
                 found = part[c].map({v: memo[c, v] for v in part[c].unique()}).astype("int64")
                 out.append(pd.DataFrame({"field": c, out_id: part["key"], out_entry: found})[found >= 0])
             yield pd.concat(out).astype({"field": object}) if out else pd.DataFrame({"field": [], out_id: [], out_entry: []})
 
-    schema = T.StructType([T.StructField("field", T.StringType()), T.StructField(out_id, id_type), T.StructField(out_entry, T.LongType())])
-    slim = df.select(F.col(f"`{id_col}`").alias("key"), *[F.col(f"`{c}`").cast("string").alias(c) for c in values])
     return slim.mapInPandas(mapped, schema)
 
 
+_EVIDENCE = "field string, value string, stage int, form int, shortened boolean, cost double, rare bigint, entry bigint"
+
+
+def _mapped_by_blocks(slim: DataFrame, values: dict[str, list[Block]], skip_exact: bool) -> DataFrame:
+    """`(field, key, entry)` with one block sent at a time; -2 marks values that are exactly a name."""
+    sides = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in values])
+    said = checkpoint(slim.select("key", F.explode(sides).alias("v")).select("key", "v.*").filter("value is not null"))
+    distinct = checkpoint(said.select("field", "value").distinct())
+    evidence = None
+    for c, bs in values.items():
+        for b in bs:
+            sent = slim.sparkSession.sparkContext.broadcast(b)
+
+            def tell(batches: Iterator[pd.DataFrame], c=c, sent=sent) -> Iterator[pd.DataFrame]:
+                for batch in batches:
+                    rows = [(c, v, *e) for v in batch["value"] if squash(v) for e in sent.value.evidence(list(_forms(v)))]
+                    rows += [(c, v, -1, 0, False, 0.0, 0, -2) for v in batch["value"] if skip_exact and v in sent.value.names]
+                    yield pd.DataFrame(rows, columns=["field", "value", "stage", "form", "shortened", "cost", "rare", "entry"], dtype=object)
+
+            part = checkpoint(distinct.filter(F.col("field") == c).mapInPandas(tell, _EVIDENCE))
+            sent.destroy()
+            evidence = part if evidence is None else evidence.unionByName(part)
+
+    @F.pandas_udf(T.LongType())
+    def choose(lists: pd.Series) -> pd.Series:
+        return pd.Series([-2 if any(e["entry"] == -2 for e in x) else chosen((e["stage"], e["form"], e["shortened"], e["cost"], e["rare"], e["entry"]) for e in x)[1] for x in lists], dtype="int64")
+
+    # A value has a few rows of evidence, however often it is entered.
+    told = evidence.groupBy("field", "value").agg(F.collect_list(F.struct("stage", "form", "shortened", "cost", "rare", "entry")).alias("e")).select("field", "value", choose("e").alias("entry"))
+    return said.join(told, ["field", "value"], "left").select("field", "key", F.coalesce("entry", F.lit(0)).alias("entry")).filter("entry >= 0")
+
+
 # The adjective of each nationality.
 DEMONYMS = {
     "Brazil": "Brazilian", "United States": "American", "France": "French", "Germany": "German", "Spain": "Spanish", "Portugal": "Portuguese",
@@ -357,7 +424,3 @@ def promotion_variants(name: str, code: str | None) -> Iterator[tuple[str, float
     initials = "".join(w[0] for w in name.split() if w[0].isupper())
     if len(initials) >= 3:
         yield initials, 0.3, False
-
-
-def plain_variants(name: str, code: str | None) -> Iterator[tuple[str, float, bool]]:
-    yield from ()

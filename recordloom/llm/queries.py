@@ -8,6 +8,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
+from recordloom.functions.domain import history_priority, sites_of
 from recordloom.functions.text import squash
 
 from recordloom.llm import canonical
@@ -90,17 +91,19 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     respects = [
         F.col("data_quality_score"),
         count_distinct_items(F.col("data_source"), codes),
-        history_entries("fight_history"),
+        history_entries(F.col("fight_history")),
         F.col("nationality").isNotNull().cast("int"),
     ]
     return dominant_rows(_members(spark, sf_dir), "group_id", "id", respects)
 
 
 def p4_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One surviving record for each group, its attributes chosen one by one (quality score, then scrape time)."""
+    """One surviving record for each group, its attributes chosen one by one: the most trusted source of the row, its quality
+    score, then the scrape time."""
     members = _members(spark, sf_dir)
     attributes = [c for c in members.columns if c not in ("id", "group_id")]
-    return surviving_records(members, "group_id", attributes, F.coalesce("data_quality_score", F.lit(-1)), F.col("last_scraped_at"))
+    trust = F.coalesce(F.array_max(F.transform(sites_of(F.col("data_source")), history_priority)), F.lit(0))
+    return surviving_records(members, "group_id", attributes, F.struct(trust.alias("t"), F.coalesce("data_quality_score", F.lit(-1)).alias("q")), F.col("last_scraped_at"))
 
 
 def canonical_blocks(spark: SparkSession, sf_dir: str) -> dict[str, list[canonical.Block]]:
@@ -132,12 +135,19 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.unionByName(canonical.map_values(table(spark, sf_dir, "mma_events"), "id", {"promotion": blocks["promotion"]}))
 
 
+def p6_misses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(field, value, n): the values that mean no entry, with how often they are entered."""
+    missed = p6_found(spark, sf_dir).filter("canon_id = 0").select("field", "record_id")
+    sides = [table(spark, sf_dir, t).select(F.lit(c).alias("field"), F.col("id").alias("record_id"), F.col(c).alias("value")) for t, c in (("fighters", "nationality"), ("fighters", "weight_class_current"), ("mma_events", "promotion"))]
+    return sides[0].unionByName(sides[1]).unionByName(sides[2]).join(missed, ["field", "record_id"]).groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(raw_id, match_kind, match_id): listings that repeat an event, or a listing before them."""
     block = spark.sparkContext.broadcast(canonical_blocks(spark, sf_dir)["promotion"])
 
     def promoter():
-        return lambda text: min((b.look_up(text) for b in block.value), default=(0, 0))[1]
+        return lambda text: canonical.look_up(block.value, text)[1]
 
     store = Store(spark, f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}")
     store.accept(listings(table(spark, sf_dir, "mma_events"), "event", "id", "name", "promotion", "date", "tapology_url", promoter))
@@ -159,7 +169,7 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def finder(f: str):
         b = sent[f]
-        return lambda: lambda text: min((x.look_up(text) for x in b.value), default=(0, 0))[1]
+        return lambda: lambda text: canonical.look_up(b.value, text)[1]
 
     pivots = common_givens(fighters, "name")
     record = F.concat_ws("-", *[F.col(f"record_total_{x}").cast("string") for x in ("wins", "losses", "draws")])
@@ -252,7 +262,7 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_variants": p1_variants, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_variants": p1_variants, "p3_found": p3_found, "p4_found": p4_found, "p4_survivors": p4_survivors, "p6_found": p6_found, "p6_misses": p6_misses, "p5_found": p5_found, "p7_found": p7_found, "p7_matches": p7_matches, "p8_found": p8_found, "p8_leaks": p8_leaks, "p8_items": p8_items, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_rates": p10_rates}
 
 ORACLES: dict[str, str] = {
     "p3_found": """

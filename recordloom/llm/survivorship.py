@@ -6,73 +6,54 @@ picks it, so one `groupBy` with map-side combine builds the whole surviving reco
 
 from __future__ import annotations
 
-import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 
-def _reject(name: str) -> None:
-    raise ValueError(name)
-
-
-def _entries(text: str | None) -> int:
-    if not text:
-        return 0
-    try:
-        found = json.loads(text, parse_constant=_reject)
-    except (ValueError, RecursionError):
-        return 0
-    if isinstance(found, dict):
-        found = found.get("fights")
-    return len(found) if isinstance(found, list) else 0
-
-
-@F.pandas_udf(T.IntegerType())
-def history_entries(texts: pd.Series) -> pd.Series:
+def history_entries(text: Column) -> Column:
     """Entries of a JSON history: an object's `fights` or a bare list; 0 for null, invalid JSON or no list."""
-    return texts.map(_entries).astype("int32")
+    parsed = F.try_parse_json(text)
+    listed = lambda path: F.try_variant_get(parsed, path, "array<variant>")
+    whole = F.substring(F.ltrim(text), 1, 1)
+    return F.coalesce(F.when(whole == "[", F.size(listed("$"))).when(whole == "{", F.size(listed("$.fights"))), F.lit(0))
 
 
-def surviving_records(members: DataFrame, group: str, attributes: Iterable[str], priority: Column, timestamp: Column) -> DataFrame:
+def surviving_records(members: DataFrame, group: str, attributes: Iterable[str], priority: Column | Mapping[str, Column], timestamp: Column) -> DataFrame:
     """One record for each group: of every attribute the value that is present, from the most trusted row,
-    then the latest, then the largest.
+    then the latest, then the largest. `priority` is one for all attributes, or one for each.
 
     Blank strings count as missing. Rows with a null group are no members. Attributes missing in all rows stay
     null; repeated rows change nothing; ties fall to the larger value, so the result doesn't depend on order.
     """
     attributes = [a for a in attributes if a != group]
     ranked = members.filter(F.col(f"`{group}`").isNotNull()).select(
-        F.col(f"`{group}`").alias("group__"), priority.alias("priority__"), timestamp.alias("at__"), *[F.col(f"`{a}`").alias(f"v{i}__") for i, a in enumerate(attributes)]
+        F.col(f"`{group}`").alias("group__"), timestamp.alias("at__"), *[F.col(f"`{a}`").alias(f"v{i}__") for i, a in enumerate(attributes)],
+        *([priority[a].alias(f"p{i}__") for i, a in enumerate(attributes)] if isinstance(priority, Mapping) else [priority.alias("p__")]),
     )
     types = dict(ranked.dtypes)
     best = []
     for i, _ in enumerate(attributes):
         value = F.col(f"v{i}__")
         present = value.isNotNull() & (F.trim(value) != "") if types[f"v{i}__"] == "string" else value.isNotNull()
-        best.append(F.max(F.struct(present.alias("present"), "priority__", "at__", F.when(present, value).alias("value"))).alias(f"b{i}__"))
+        best.append(F.max(F.struct(present.alias("present"), F.col(f"p{i}__" if isinstance(priority, Mapping) else "p__").alias("priority"), "at__", F.when(present, value).alias("value"))).alias(f"b{i}__"))
     grouped = ranked.groupBy("group__").agg(*best, F.count(F.lit(1)).alias("rows__"))
     return grouped.select(F.col("group__").alias(group), *[F.col(f"b{i}__.value").alias(a) for i, a in enumerate(attributes)], F.col("rows__").alias("n_rows"))
 
 
-def dominant_rows(members: DataFrame, group: str, id_col: str, respects: Sequence[Column]) -> DataFrame:
+def dominant_rows(members: DataFrame, group: str, id_col: str, respects: Iterable[Column]) -> DataFrame:
     """`(group, id)` of the row that is best in every respect and better than each other row in one at least.
 
-    Nulls are lowest. One aggregation: the row of the largest composite struct is best in every respect when it
-    reaches every maximum, and stands alone when the smallest and the largest id of that struct agree. Groups
-    without such a row don't appear. Repeated rows of one id count as one.
+    Nulls are lowest. Every respect is an attribute whose largest value survives (`surviving_records`); a row is the best in
+    all when it equals the survivor, and stands alone when no other row does. Groups without such a row don't appear.
+    Repeated rows of one id count as one.
     """
-    m = members.select(F.col(f"`{group}`").alias("group__"), F.col(f"`{id_col}`").alias("id__"), *[r.alias(f"r{i}__") for i, r in enumerate(respects)])
-    names = [f"r{i}__" for i in range(len(respects))]
-    tuple_ = F.struct(*names)
-    grouped = m.filter("group__ is not null and id__ is not null").groupBy("group__").agg(
-        F.max(F.struct(*names, F.col("id__"))).alias("last"),
-        F.min_by("id__", F.struct(*[F.struct(F.when(F.col(n).isNull(), 1).otherwise(0).alias("missing"), (-F.col(n)).alias("v")) for n in names], "id__")).alias("first"),
-        F.max(tuple_).alias("top"),
-        *[F.max(n).alias(n) for n in names],
-    )
-    reached = F.lit(True)
+    respects = list(respects)
+    names = [f"r{i}" for i in range(len(respects))]
+    m = members.select(F.col(f"`{group}`").alias("g"), F.col(f"`{id_col}`").alias("i"), *[r.alias(n) for n, r in zip(names, respects)]).filter("g is not null and i is not null")
+    best = surviving_records(m, "g", names, {n: F.col(n) for n in names}, F.lit(0)).select(F.col("g").alias("bg"), *[F.col(n).alias(f"b{n}") for n in names])
+    equal = F.lit(True)
     for n in names:
-        reached = reached & F.col(f"top.{n}").eqNullSafe(F.col(n))
-    return grouped.filter(reached & (F.col("first") == F.col("last.id__"))).select(F.col("group__").alias(group), F.col("first").alias(id_col))
+        equal = equal & F.col(n).eqNullSafe(F.col(f"b{n}"))
+    alone = m.join(best, F.col("g") == F.col("bg")).filter(equal).groupBy("g").agg(F.min("i").alias("i"), F.max("i").alias("last")).filter("i = last")
+    return alone.select(F.col("g").alias(group), F.col("i").alias(id_col))

@@ -53,8 +53,9 @@ def test_survivors_and_dominant_rows(spark):
 
 
 @pytest.mark.parametrize(("raw", "n"), [(None, 0), ("", 0), ("{", 0), ("null", 0), ('{"count": 9}', 0), ('{"fights": [1, 1]}', 2), ("[1]", 1), ('{"fights": [1]} x', 0), ('{"fights": [NaN]}', 0)])
-def test_history_entries(raw, n):
-    assert survivorship._entries(raw) == n
+def test_history_entries(spark, raw, n):
+    df = spark.createDataFrame([(raw,)], "t string")
+    assert df.select(survivorship.history_entries(F.col("t"))).first()[0] == n
 
 
 def test_damerau_and_dictionary(spark):
@@ -63,12 +64,14 @@ def test_damerau_and_dictionary(spark):
     variants, outside = canonical.country_tables(spark, entries)
     block = next(canonical.build_blocks(entries, variants, outside))
     for raw, want in {"Brésil": 1, "brazilian": 1, "Bra zil": 1, "Niger": 0, "Nigéria": 2, "Dominica": 0, "Dominican Rep.": 3, "Mont X, Georgia, USA": 4, "Iarn": 5, "Iarq": 6, "185 cm": 0, "-": 0, "Team United States": 4, "x" * 5000: 0}.items():
-        assert block.look_up(raw)[1] == want, raw
+        assert canonical.look_up([block], raw)[1] == want, raw
     df = spark.createDataFrame([(1, "Brazil", "a"), (2, "brasil", "b"), (3, None, "c"), (4, "", "d"), (2, "brasil", "b")], "id long, home string, field string")
     got = canonical.map_values(df, "id", {"home": [block]})
     assert sorted((r["record_id"], r["canon_id"]) for r in got.collect()) == [(2, 1), (2, 1), (4, 0)]
     halves = list(canonical.build_blocks(entries, variants, outside, size=5))
     assert len(halves) > 1
+    for raw in ("Brésil", "brazilian", "Bra zil", "Niger", "Nigéria", "Dominican Rep.", "Mont X, Georgia, USA", "Iarn", "Iarq", "Ira", "Irak", "U. States", "-"):
+        assert canonical.look_up(halves, raw)[1] == canonical.look_up([block], raw)[1], raw
     assert sorted((r["record_id"], r["canon_id"]) for r in canonical.map_values(df, "id", {"home": halves}).collect()) == [(2, 1), (2, 1), (4, 0)]
     assert canonical.map_values(df.limit(0), "id", {"home": [block]}).count() == 0
 
@@ -123,7 +126,7 @@ def test_name_candidates(spark):
 
 def test_listings_and_fingerprints(spark, tmp_path):
     block = next(canonical.build_blocks([(401, "Granite Fighting Championship", "GFC"), (402, "Harbor Cage League", "HCL")], canonical.promotion_variants))
-    find = lambda t: block.look_up(t)[1]
+    find = lambda t: canonical.look_up([block], t)[1]
     read = lambda n, p=None: batch_dedup.read_listing(n, p, None, None, find)[:5]
     assert read("GFC 281: Beliloveno vs. Vikuvoveno") == ("c401", 281, "beliloveno", "vikuvoveno", None)
     assert read("GFC281 Granite Fighting Championship 281") == ("c401", 281, None, None, None)
