@@ -72,7 +72,7 @@ def test_records(spark):
     assert one(spark, "x", lambda c: measures.record_part(c, 1)) is None
 
 
-@pytest.mark.parametrize(("raw", "league"), [("UFC 326 Holloway vs. Oliveira 2", "UFC"), ("Bellator 300 - Main", "Bellator"), ("Rousey vs. Carano", None), ("HCL Fight Night: A vs. B", "HCL")])
+@pytest.mark.parametrize(("raw", "league"), [("UFC 326 Holloway vs. Oliveira 2", "UFC"), ("Bellator 300 - Main", "Bellator"), ("Rousey vs. Carano", None), ("HCL Fight Night: A vs. B", "HCL Fight Night"), ("PFL Europe 3", "PFL"), ("Ares FC 12 Saturday, March 7th 2026", "Ares FC"), (None, None), ("", None)])
 def test_league(spark, raw, league):
     assert one(spark, raw, domain.league_of_event) == league
 
@@ -97,3 +97,49 @@ def test_history_duplicates(spark):
     raw = '[{"opponent":"Pavlovich #4 HW","method":"KO"},{"opponent":"Pavlovich","event_date":"2020-01-01"},{"opponent":"Pavlovich","event_date":"2020-01-01","method":"KO"},{"opponent":"Other"}]'
     found = one(spark, raw, lambda c: history.without_duplicates(history.fights(c)))
     assert [(f["opponent"], f["event_date"], f["method"]) for f in found] == [("Pavlovich", "2020-01-01", "KO"), ("Other", None, None)]
+
+
+@pytest.mark.parametrize(
+    ("raw", "want", "f"),
+    [
+        ("GFC 7 GFC 7: Ann vs. Bo", "GFC 7: Ann vs. Bo", text.without_repeated_slug), ("A B", "A B", text.without_repeated_slug), (None, None, text.without_repeated_slug),
+        ("ONE 5 Muay Thai Event x", "ONE 5", text.without_subtitle), ("ONE 5 | MMA", "ONE 5", text.without_subtitle),
+        ("SUBMISSION", "SUB", domain.method_name), ("Odd", "Odd", domain.method_name), ("", None, domain.method_name), ("no contest", "NC", domain.method_name_of_text),
+        ("W Strawweight", "Women's Strawweight", domain.class_name), ("170 lbs", "Welterweight", domain.class_name), ("Poids mi-moyens", "Welterweight", domain.class_name), ("LightW", "Lightweight", domain.class_name), (None, None, domain.class_name),
+        ("women bantamweight", "Women's Bantamweight", domain.class_casing), ("Town, Ohio", "United States", domain.birth_country), ("x, n/a", None, domain.birth_country), ("x, C0untry", None, domain.birth_country),
+        ("Bresil", "Brazil", domain.english_country), ("fr", "\U0001f1eb\U0001f1f7", domain.flag_emoji), ("fra", None, domain.flag_emoji), ("Il vient du karaté", "Karate", domain.first_sport),
+        ("Gauchère", "Southpaw", domain.stance_name), ("x" * 40, None, domain.stance_name), ("DATA:image/png", None, domain.real_url), ("... Dec 12 QMMA", "QMMA", domain.sport_code),
+    ],
+)
+def test_classifiers(spark, raw, want, f):
+    assert one(spark, raw, f) == want
+
+
+@pytest.mark.parametrize(("raw", "day"), [("• 2016 Apr 10 •", "2016-04-10"), ("2016-04-10 x", "2016-04-10"), ("10 April", None), (None, None)])
+def test_listed_dates(spark, raw, day):
+    assert str(one(spark, raw, dates.listed_date)) == str(day)
+
+
+@pytest.mark.parametrize(("raw", "day"), [("on April 3, 2020 or 2019-01-01", "2020-04-03"), ("le 3 April, 2020", "2020-04-03"), ("04.03.2020", "2020-04-03"), ("none", None), ("February 31, 2020", None)])
+def test_dates_in_text(spark, raw, day):
+    assert str(one(spark, raw, dates.date_in_text)) == str(day)
+
+
+@pytest.mark.parametrize(("raw", "day"), [("1990-05-06T07:08Z", "1990-05-06"), ("1990-05-06T23:08:01-05:00", "1990-05-07"), ("x", None), (None, None)])
+def test_iso_days(spark, raw, day):
+    assert str(one(spark, raw, dates.iso_date)) == str(day)
+
+
+def test_insertion_and_streaks(spark):
+    h = '[{"event_date":"2021-01-01"},{"opponent":"undated"},{"event_date":"2020-01-01"},{"event_date":"2019-01-01"}]'
+    at = lambda day: one(spark, h, lambda c: history.insert_position(history.fights(c), F.lit(day)))
+    assert [at(d) for d in ("2022-01-01", "2020-06-01", "2019-06-01", "2018-01-01")] == [0, 1, 3, 4]
+    assert one(spark, "[]", lambda c: history.insert_position(history.fights(c), F.lit("2020-01-01"))) == 0
+    assert [one(spark, s, lambda c: history.next_streak(c, F.lit("W"))) for s in ("3W", "2L", "", "x")] == ["4W", "1W", "1W", "1W"]
+
+
+def test_external_ids(spark):
+    packed = "https://t.example/fightcenter/fighters/9-a | https://f.example/fighter-profile/A/7 | https://u.example/combattant/a,5 | https://underground.example/f/a-b;view=full | https://f.example/fighter-profile/A/8"
+    assert [one(spark, packed, lambda c, k=k: domain.external_ids(c)[k]) for k in ("ufc_id", "fightmatrix_id", "mma_com_id")] == ["5", "8", "a-b"]
+    assert one(spark, "https://t.example/fightcenter/fighters/9-a | https://ufc.example/athlete/x", lambda c: domain.external_ids(c)["ufc_id"]) == "9"
+    assert one(spark, None, lambda c: domain.external_ids(c)["ufc_id"]) is None

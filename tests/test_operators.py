@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from recordloom.operators import extraction, matching, merge
+from recordloom.operators import extraction, folds, matching, merge
 from recordloom.sources import files
 from recordloom.streaming import ingest
 
@@ -80,8 +80,8 @@ def test_no_nested_loops(spark):
 
 
 def test_two_header_csv_and_url_list(spark, tmp_path):
-    (tmp_path / "t.csv").write_text("﻿group,,other\nname,age,city\nA, 3 ,\nB\n", encoding="utf-8")
-    assert [tuple(r) for r in files.read_two_header_csv(spark, str(tmp_path / "t.csv")).collect()] == [("A", "3", None), ("B", None, None)]
+    (tmp_path / "t.csv").write_text("﻿group,,other\nname,age,city\nA, 3 ,\nB\nname,age,city\n\"C\nD\",4,x\n", encoding="utf-8")
+    assert [tuple(r) for r in files.read_two_header_csv(spark, str(tmp_path / "t.csv")).collect()] == [("A", "3", None), ("B", None, None), ("name", "age", "city"), ("C\nD", "4", "x")]
     (tmp_path / "u.txt").write_text("# head\nhttps://a.example/x/ https://b.example/y # label\nhttps://a.example/x\n\nnone\n")
     got = files.read_url_list(spark, str(tmp_path / "u.txt")).orderBy("first").collect()
     assert [r["url"] for r in got] == ["https://a.example/x", "https://b.example/y"]
@@ -116,7 +116,7 @@ def test_extraction(spark):
 
 
 def test_next_ids(spark):
-    got = files.next_ids(spark.range(100).select((F.lit(99) - F.col("id")).alias("o")), "o", 7, 4).collect()
+    got = files.next_ids(spark.range(100).select((F.lit(99) - F.col("id")).alias("o")), "o", 7).collect()
     assert {(r["o"], r["id"]) for r in got} == {(i, i + 8) for i in range(100)}
 
 
@@ -137,3 +137,92 @@ def test_reach_goes_on_until_the_frontier_is_empty(spark):
     assert sorted(got) == sorted(want.items()) and want[212] == 12
     assert {r["id"] for r in matching.reach(edges, roots, 2).collect()} == {x for x, n in want.items() if n <= 2}
     assert matching.reach(edges, roots.limit(0)).count() == 0
+
+
+def test_applying_bouts_twice_changes_nothing(spark):
+    d = datetime.date
+    columns = "id long, record_total_wins int, record_total_losses int, record_total_draws int, record_total_nc int, last_fight_date date, current_streak string, last_5_results string, fight_history string"
+    stored = '{"source":"tapology","fights":[{"result":"W","opponent":"Old #3 HW","event_date":"2020-01-10","method":"KO"},{"result":"W","opponent":"Legacy","date":"Submission"}]}'
+    fighters = spark.createDataFrame([(1, 2, 0, 0, 1, d(2020, 1, 10), "2W", "W,W", stored), (2, None, None, None, None, None, None, None, None), (3, 1, 1, 0, 0, None, None, None, "{bad")], columns)
+    bout = lambda i, a, b, na, nb, w, day, m="KO": (i, 7, 1, a, b, na, nb, w, m, day)
+    bouts = [bout(1, 1, 2, "One", "Two", 1, d(2021, 1, 1)), bout(2, 1, None, "One", "old", 1, d(2020, 1, 12)), bout(3, 2, 1, "Two", "One", 1, d(2021, 1, 3)), bout(4, 1, 3, "One", "Three", None, d(2021, 5, 1), "Draw")]
+    bouts += [bout(5, 3, 1, "Three", "One", 3, d(2020, 6, 1), "Sub"), bout(6, 3, 2, "Three", "Two", None, d(2020, 7, 1)), bout(7, 1, None, "One", "Legacy", 1, d(2019, 1, 1)), bout(8, None, None, "x", "y", None, d(2020, 1, 1)), bout(9, 1, 3, "One", "Three", 1, None)]
+    df = spark.createDataFrame(bouts, "id long, event_id long, bout_order int, fighter1_id long, fighter2_id long, fighter1_name string, fighter2_name string, winner_id long, method string, event_date date")
+    once = {r["id"]: r for r in folds.apply_bouts(fighters, df).collect()}
+    one = once[1]
+    assert (one["wins"], one["losses"], one["draws"], one["total_fights"], one["current_streak"], one["last_5_results"], one["n_history"]) == (3, 1, 1, 6, "1D", "W,W,L,W,D", 5)
+    assert (one["ko_wins"], one["sub_wins"], one["sub_losses"], one["last_fight_date"]) == (2, 1, 1, d(2021, 5, 1))
+    assert (once[2]["losses"], once[2]["current_streak"], once[2]["n_history"]) == (1, "1L", 1) and once[3]["wins"] == 2
+    after = fighters.drop("fight_history").join(spark.createDataFrame([(i, r["fight_history"]) for i, r in once.items()], "id long, fight_history string"), "id")
+    assert folds.apply_bouts(after, df).count() == 0
+    assert folds.apply_bouts(fighters, df.limit(0)).count() == 0
+
+
+def test_failure_runs_match_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(k, i * rng.choice([1, 1, 3]) + 1000 * k, rng.random() < 0.6) for k in range(4) for i in range(120)]
+    rows = list({(k, o): (k, o, f) for k, o, f in rows}.values()) + [(9, 5, True), (9, 25, True), (9, 45, True), (8, 1, None)]
+    want = {}
+    for k in {r[0] for r in rows}:
+        best = n = 0
+        for _, _, f in sorted(r for r in rows if r[0] == k):
+            n = n + 1 if f else 0
+            best = max(best, n)
+        want[k] = best
+    got = {r["k"]: r["longest"] for r in ingest.failure_breaker(spark.createDataFrame(rows, "k int, o long, f boolean"), "k", "o", "f", 1, span=10).collect()}
+    assert got == {k: n for k, n in want.items() if n}
+
+
+def test_opponents_and_tokens(spark):
+    sets = [({"ann", "lee"}, {"ann", "lee", "mary"}), ({"chris", "kim"}, {"christopher", "kim"}), ({"bandoui", "ali"}, {"bandaoui", "ali"}), ({"kim"}, {"kim"}), ({"abc", "xyz"}, {"abd", "xyw"}), (set(), {"a"})]
+    df = spark.createDataFrame([(i, sorted(a), sorted(b)) for i, (a, b) in enumerate(sets)], "i int, a array<string>, b array<string>")
+    assert [r[0] for r in df.select(matching.flexible_tokens(F.col("a"), F.col("b")), "i").orderBy("i").collect()] == [True, True, True, False, False, False]
+    lists = spark.createDataFrame([([["ann", "lee"], ["ann", "lee"], ["bo", "kim"]], [["ann", "lee", "x"], ["kim"]]), ([], [["a"]]), (None, [["a"]])], "a array<array<string>>, b array<array<string>>")
+    assert [r[0] for r in lists.select(matching.opponents_overlap(F.col("a"), F.col("b"))).collect()] == [2, 0, 0]
+
+
+def test_nearest_as_of(spark):
+    rng = random.Random(11)
+    day = lambda: datetime.date(2020, 1, 1) + datetime.timedelta(days=rng.randrange(60))
+    left = [(i, rng.choice("ab"), day()) for i in range(40)] + [(99, "zz", day())]
+    right = [(i, rng.choice("ab"), day()) for i in range(25)]
+    got = matching.nearest_as_of(spark.createDataFrame(left, "i int, k string, d date"), spark.createDataFrame(right, "id int, k string, at date"), "k", "d", "at", "id").collect()
+    for r in got:
+        mine = [(abs((r["d"] - at).days), i) for i, k, at in right if k == r["k"]]
+        sides = [(abs((r["d"] - s["at"]).days), s["id"]) for s in (r["before"], r["after"]) if s]
+        assert min(sides, default=None) == min(mine, default=None)
+    assert len(got) == 41
+
+
+def test_slug_scores(spark):
+    from recordloom.functions.text import dedup_name_key
+
+    rows = [("Ann Lee", "Ann Lee", None, 100), ("Ann Lee", None, "ann-lee", 100), ("Ann Lee", "Mary Ann Lee", None, 90), ("Ann Lee", "Ann Q Lee", None, 80), ("Ann Karimi", "x", "b-karimi", 60), ("", "x", None, 0), (None, "x", None, 0)]
+    df = spark.createDataFrame(rows, "n string, h string, s string, want int")
+    assert all(r["got"] == r["want"] for r in df.withColumn("got", matching.slug_score(F.col("n"), F.col("h"), F.col("s"), dedup_name_key)).collect())
+
+
+def test_sources_and_sinks(spark, tmp_path):
+    docs = spark.createDataFrame([("u1", "old", 1), ("u1", "new", 2), ("u2", None, 1)], "url string, body string, fetched_at int")
+    items = spark.createDataFrame([(1, "u1"), (2, "u2"), (3, None), (4, "u9")], "i int, ref string")
+    assert {(r["i"], r["body"]) for r in files.dereference(docs, items, "ref").collect()} == {(1, "new"), (2, None), (3, None), (4, None)}
+    blob = spark.createDataFrame([(1, "a /// b ///  /// c"), (2, None), (3, "")], "i int, t string")
+    assert [(r["i"], r["pos"], r["block"]) for r in files.explode_blob(blob, "i", "t").orderBy("i", "pos").collect()] == [(1, 0, "a"), (1, 1, "b"), (1, 3, "c")]
+    maps = spark.createDataFrame([("<loc>https://x.example/events/1-a</loc><loc>https://x.example/p</loc>",), (None,)], "body string")
+    assert [r["url"] for r in files.sitemap_urls(maps, "/events/").collect()] == ["https://x.example/events/1-a"]
+    files.write_url_list(spark.createDataFrame([("b", 2), ("a", 1)], "url string, o int"), "url", "o", str(tmp_path / "urls"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "urls")).collect()] == ["a", "b"]
+    files.write_failures(spark.createDataFrame([("u", "CONFLICT")], "url string, reason string"), str(tmp_path / "bad"))
+    assert spark.read.text(str(tmp_path / "bad")).first()["value"] == "u\tCONFLICT"
+    assert files.add_missing_columns(items, {"i": "string", "x": "date"}).dtypes == [("i", "int"), ("ref", "string"), ("x", "date")]
+    assert [r[0] for r in spark.range(1, 7).select(ingest.backoff_seconds(F.col("id"))).collect()] == [120, 240, 480, 960, 1800, 1800]
+
+
+def test_page_rows(spark):
+    text = "Head\n1. Ann Lee 3-2-1\n2. Bo Kim 0-0-0\nAnn Lee met Bo Kim at Big Hall in Old Town on 3 April, 2020, and the women's flyweight bout ended by arm bar at 1:23 of round 2."
+    df = spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, t string")
+    assert [(r["id"], r["place"], r["name"], r["wins"]) for r in extraction.rank_rows(df, "id", "t").orderBy("place").collect()] == [(1, 1, "Ann Lee", 3), (1, 2, "Bo Kim", 0)]
+    r = extraction.report_rows(df, "id", "t").collect()
+    assert [(x["a"], x["b"], x["venue"], x["city"], str(x["day"]), x["division"], x["method"], x["time"], x["round"]) for x in r] == [("Ann Lee", "Bo Kim", "Big Hall", "Old Town", "2020-04-03", "women's flyweight", "arm bar", "1:23", 2)]
+    titles = spark.createDataFrame([("GFC 7: Ann Lee vs. Bo Kim 2",), ("No names",), (None,)], "t string")
+    assert [tuple(x) for x in titles.select(*extraction.corner_names(F.col("t"))).collect()] == [("Ann Lee", "Bo Kim"), (None, None), (None, None)]
