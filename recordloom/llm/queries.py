@@ -21,7 +21,7 @@ from recordloom.llm.cross_source import bm25_candidates, calibrated, mutual_best
 from recordloom.llm.person_names import halves, may_be_same, read_name
 from recordloom.llm.profile_terms import SKETCH_BITS, SKETCHES, person_terms, term_kind
 from recordloom.llm.survivorship import dominant_rows, history_entries, surviving_records
-from recordloom.llm.truncation import truncated_texts
+from recordloom.llm.truncation import EVIDENCE, truncated_texts
 from recordloom.operators.packed_fields import count_distinct_items, fit_codes
 from recordloom.session import checkpoint, checkpoint_dir, table
 
@@ -251,14 +251,14 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id): documents whose text was cut off before its end."""
-    return truncated_texts(table(spark, sf_dir, "documents"), "doc_id").filter("truncated").select("doc_id")
+    return truncated_texts(table(spark, sf_dir, "documents"), "doc_id").filter("evidence is not null").select("doc_id")
 
 
 def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How often each source cuts: (source, n_texts, n_truncated, n_at_limit, rate)."""
+    """How often each source cuts, in all and by what tells it: (source, n_texts, n_truncated, rate, n_limit, n_open, ...)."""
     judged = truncated_texts(table(spark, sf_dir, "documents"), "doc_id")
-    cut = F.col("truncated").cast("int")
-    counts = judged.groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.sum(cut).alias("n_truncated"), F.sum((F.col("truncated") & F.col("at_limit")).cast("int")).alias("n_at_limit"))
+    by = [F.count_if(F.col("evidence") == e).alias(f"n_{e}") for e in EVIDENCE]
+    counts = judged.groupBy("source").agg(F.count(F.lit(1)).alias("n_texts"), F.count("evidence").alias("n_truncated"), *by)
     return counts.withColumn("rate", F.col("n_truncated") / F.col("n_texts"))
 
 
