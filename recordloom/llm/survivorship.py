@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def history_entries(text: Column) -> Column:
-    """Entries of a JSON history: an object's `fights` or a bare list; 0 for null, invalid JSON or no list."""
-    parsed = F.try_parse_json(text)
+    """Entries of a JSON history: an object's `fights` or a bare list; 0 for null, invalid JSON (also a value with more
+    behind it) or no list."""
+    ends = F.trim(F.regexp_replace(text, r"^\s+|\s+$", "")).rlike(r"(?s)^(?:\{.*\}|\[.*\])$")
+    parsed = F.try_parse_json(F.when(ends, text))
     listed = lambda path: F.try_variant_get(parsed, path, "array<variant>")
     whole = F.substring(F.ltrim(text), 1, 1)
     return F.coalesce(F.when(whole == "[", F.size(listed("$"))).when(whole == "{", F.size(listed("$.fights"))), F.lit(0))
