@@ -226,6 +226,16 @@ def e17_derived(spark, d):
     return f.select("id", F.when(F.col("age").between(15, 90), F.col("age")).alias("age"), "days_inactive", "active", "league", "other_wins", "other_losses", "other_draws", "fights", "win_pct", "origin", "sex", "champion", "title_wins")
 
 
+def w12_paired_mentions(spark, d):
+    """Names beside each `met` of a text, with the first method told before the next one: nearest on either side, each method used
+    once."""
+    parts = F.split(F.col("text"), " met ")
+    pairs = F.posexplode(F.transform(F.slice(parts, 2, F.size(parts)), lambda x, i: F.struct(F.element_at(parts, i + 1).alias("before"), x.alias("after")))).alias("pos", "m")
+    t = _docs(spark, d).filter(F.col("text").contains(" met ")).select("doc_id", pairs)
+    found = lambda c, p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
+    return t.select("doc_id", "pos", found("m.before", r"([A-Z][^.\n,]{2,60})$").alias("a"), found("m.after", r"^([^.\n,]{3,60}?) at ").alias("b"), found("m.after", r"ended by ([^\n]+?) at \d+:\d\d").alias("method"))
+
+
 def r2_name_ledger(spark, d):
     """Fighters left to do when the names of some profiles have been done, whatever their case and marks."""
     done = _p(spark, d).filter("source = 'ufc'").select(text.squash_col(F.col("full_name")).alias("key"))
@@ -331,6 +341,7 @@ ORACLES = {
     "e15_history_rows": f"WITH {_FI} SELECT id, (max(i) OVER (PARTITION BY id) - i + 1)::INT AS bout_order, r AS result, op AS opponent, json_extract_string(e, '$.method') AS method, coalesce(regexp_matches(lower(json_extract_string(e, '$.event')), 'title|championship'), false) AS is_title FROM fi",
     "e16_multi_source": f"SELECT key, {', '.join(f'arg_min({c}, (r, profile_id)) FILTER ({c} IS NOT NULL) AS {c}' for c in ('country_text', 'height_text', 'weight_text', 'record_text'))}, count(*) AS n FROM (SELECT *, {_SQUASH.format('full_name')} key, CASE WHEN source = 'ufc' THEN 2 ELSE 1 END r FROM source_profiles WHERE full_name IS NOT NULL) GROUP BY 1",
     "e17_derived": f"WITH a AS (SELECT *, (2026 - year(date_of_birth) - CASE WHEN (3, 1) < (month(date_of_birth), day(date_of_birth)) THEN 1 ELSE 0 END)::INT y, coalesce(days_inactive, datediff('day', last_fight_date, DATE '{AS_OF}')::INT) di, {_HEAD.format(_FIGHTS.format('event'))} h, coalesce(total_fights, coalesce(record_total_wins, 0) + coalesce(record_total_losses, 0) + coalesce(record_total_draws, 0)) tf, CASE WHEN ufc_official_rank = 0 THEN true ELSE coalesce(is_ufc_champion, CASE WHEN ufc_official_rank > 0 THEN false END) END ch FROM fighters) SELECT id, CASE WHEN y BETWEEN 15 AND 89 THEN y END AS age, di AS days_inactive, NOT coalesce(di > 1095, false) AS active, CASE WHEN NOT coalesce(di > 1095, false) THEN {_LEAGUE} END AS league, {', '.join(f'coalesce(record_other_{p}, greatest(coalesce(record_total_{p}, 0) - coalesce(record_ufc_{p}, 0), 0)) AS other_{p}' for p in ('wins', 'losses', 'draws'))}, tf AS fights, coalesce(win_percentage_int, CASE WHEN tf > 0 THEN round_even(coalesce(record_total_wins, 0) * 100.0 / tf, 0)::INT END) AS win_pct, coalesce(weight_class_origin, weight_class_current) AS origin, CASE WHEN regexp_matches(lower(weight_class_current), 'women|female|feminin') THEN 'F' ELSE gender END AS sex, ch AS champion, CASE WHEN coalesce(ch, false) THEN greatest(coalesce(ufc_title_match_win, 0), 1) ELSE coalesce(ufc_title_match_win, 0) END AS title_wins FROM a",
+    "w12_paired_mentions": "SELECT doc_id, (i - 2)::INT AS pos, nullif(regexp_extract(p[i - 1], '([A-Z][^.\\n,]{2,60})$', 1), '') AS a, nullif(regexp_extract(p[i], '^([^.\\n,]{3,60}?) at ', 1), '') AS b, nullif(regexp_extract(p[i], 'ended by ([^\\n]+?) at \\d+:\\d\\d', 1), '') AS method FROM (SELECT doc_id, p, unnest(range(2, len(p) + 1)) i FROM (SELECT doc_id, string_split(text, ' met ') p FROM documents WHERE contains(text, ' met ')))",
     "r2_name_ledger": f"SELECT id FROM fighters WHERE {_SQUASH.format('name')} NOT IN (SELECT {_SQUASH.format('full_name')} FROM source_profiles WHERE source = 'ufc' AND full_name IS NOT NULL)",
     "r3_batch_visibility": f"WITH p AS (SELECT profile_id, {_SQUASH.format('full_name')} k FROM source_profiles WHERE full_name IS NOT NULL), s AS (SELECT {_SQUASH.format('name')} k, min(id) i FROM fighters GROUP BY 1), f AS (SELECT *, min(profile_id) OVER (PARTITION BY k) f FROM p) SELECT profile_id, CASE WHEN i IS NOT NULL THEN 'stored' WHEN f < profile_id THEN 'batch' ELSE 'new' END AS status, coalesce(i, CASE WHEN f < profile_id THEN f END) AS match_id FROM f LEFT JOIN s USING (k)",
     "r4_failure_runs": "WITH t AS (SELECT source, coalesce(status, 0) <> 200 f, sum((coalesce(status, 0) = 200)::INT) OVER (PARTITION BY source ORDER BY doc_id) g FROM documents WHERE source IS NOT NULL) SELECT source, max(n) AS longest FROM (SELECT source, g, count(*) n FROM t WHERE f GROUP BY 1, 2) GROUP BY 1",
