@@ -99,12 +99,19 @@ class Snapshots:
         known = self.versions()
         return self.spark.read.parquet(f"{self.root}/v={version or known[-1]}") if known else None
 
-    def commit(self, df: DataFrame, partition_by: Iterable[str] = ()) -> int:
+    def commit(self, df: DataFrame, partition_by: Iterable[str] = (), tag: str | None = None) -> int:
+        """Write the next version; a `tag` names what it holds and is written with it, so `has` knows what was committed."""
         version = (self.versions() or [0])[-1] + 1
-        writer = df.write.mode("overwrite")
+        writer = df.write.mode("overwrite").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{self.root}/v={version}")
+        for marker in ([f"_TAG_{tag}"] if tag else []) + ["_SUCCESS"]:
+            self._fs.create(self._path(f"v={version}/{marker}")).close()
         return version
 
+    def has(self, tag: str) -> bool:
+        """Whether a complete version was committed under a tag."""
+        return any(self._fs.exists(self._path(f"v={v}/_TAG_{tag}")) for v in self.versions())
+
 
 def next_ids(df: DataFrame, order: str, start: int) -> DataFrame:
     """Rows numbered from `start + 1` in a total order: counts per range partition, then a running number inside,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -16,20 +17,25 @@ def read_new_files(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 
 def merge_stream(incoming: DataFrame, target: Snapshots, key: str, columns: list[str], source: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] | None = None):
-    """Merge every micro-batch into the newest snapshot; a restart on the same checkpoint reads nothing twice.
+    """Merge every micro-batch into the newest snapshot; a restart on the same checkpoint reads nothing twice, and a batch that
+    is delivered again after its commit (its number is kept with the version) is not merged again.
 
     Rows of one batch with the same key are reduced to the newest by `arrived` first. Returns the started query,
     which ends when what is there has been read.
     """
 
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if target.has(f"{stream}-{batch_id}"):
+            return
         rows = prepare(batch) if prepare else batch
         rest = [c for c in rows.columns if c != key]
         newest = rows.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct("arrived", *[F.col(c).cast("string") for c in rest])).alias("r")).select(key, "r.*")
         stored = target.read()
         if stored is None:
             stored = newest.select(key, *columns).limit(0)
-        target.commit(upsert(stored, newest, key, columns, source))
+        target.commit(upsert(stored, newest, key, columns, source), tag=f"{stream}-{batch_id}")
 
     return incoming.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

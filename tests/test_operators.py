@@ -2,6 +2,7 @@
 
 import datetime
 import random
+import shutil
 
 from pyspark.sql import functions as F
 
@@ -99,6 +100,12 @@ def test_snapshots_and_stream(spark, tmp_path):
     spark.createDataFrame([(2, "B", None, "ufc", 3)], schema).write.mode("append").parquet(str(tmp_path / "in"))
     run()
     assert target.versions()[-1] == 2 and target.read().count() == 2
+    assert [target.has(t) for t in ("x", "never")] == [False, False]
+    target.commit(target.read(), tag="x")
+    assert target.has("x") and target.versions()[-1] == 3
+    shutil.rmtree(tmp_path / "ck" / "commits")  # as if the stream died after the merge, before its own commit
+    run()
+    assert target.versions()[-1] == 3
 
 
 def test_extraction(spark):
@@ -226,3 +233,11 @@ def test_page_rows(spark):
     assert [(x["a"], x["b"], x["venue"], x["city"], str(x["day"]), x["division"], x["method"], x["time"], x["round"]) for x in r] == [("Ann Lee", "Bo Kim", "Big Hall", "Old Town", "2020-04-03", "women's flyweight", "arm bar", "1:23", 2)]
     titles = spark.createDataFrame([("GFC 7: Ann Lee vs. Bo Kim 2",), ("No names",), (None,)], "t string")
     assert [tuple(x) for x in titles.select(*extraction.corner_names(F.col("t"))).collect()] == [("Ann Lee", "Bo Kim"), (None, None), (None, None)]
+
+
+def test_windowed_counts_wait_for_late_rows(spark, tmp_path):
+    at = lambda m: datetime.datetime(2024, 1, 1, 10, m)
+    spark.createDataFrame([(at(5), "a"), (at(50), "a"), (at(7), "b"), (None, "b")], "ts timestamp, kind string").write.parquet(str(tmp_path / "in"))
+    counted = ingest.windowed_counts(ingest.read_new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema), "ts", "kind", "30 minutes")
+    counted.writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    assert {(r["start"].minute, r["kind"], r["n"]) for r in spark.table("windows").collect()} == {(0, "a", 1), (30, "a", 1), (0, "b", 1)}
