@@ -155,7 +155,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Share of a profile's mass that a fighter must reach, and how many of its best fighters are weighed.
-FLOOR, BEST = 0.17, 5
+FLOOR, BEST = 0.15, 5
 #: Confidence from which a pair is a match.
 CONFIDENT = 0.5
 
@@ -214,7 +214,7 @@ def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = {"rest": F.col("rest"), "ahead": F.col("ahead"), "spelled": in_("whole", "full").cast("int"), **{c: side(c) for c in ("bout", "record", "country", "class", "height")}}
     dates, same, part = F.col("qd") & F.col("kd"), F.array_contains("shared", "born"), in_("bornym", "bornmd", "bornyd", "bornset")
     sure = calibrated(told, features, F.when(dates, (same | part).cast("int")), {"same": dates & same, "part": dates & ~same & part, "apart": dates & ~same & ~part})
-    found = mutual_best(sure).filter(F.col("confidence") >= CONFIDENT)
+    found = mutual_best(sure.filter(F.col("confidence") >= CONFIDENT))
     return found.select(F.col("query").alias("profile_id"), F.col("key").alias("fighter_id"), "source", "score", "gap", "confidence")
 
 
