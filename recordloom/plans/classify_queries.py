@@ -91,6 +91,10 @@ def t2_first_match(spark, d):
     return table(spark, d, "documents").select("doc_id", text.first_match(F.col("text"), patterns).alias("found"))
 
 
+def t3_leagues(spark, d):
+    return table(spark, d, "mma_events").select("id", domain.league_of_event(F.trim("name")).alias("league"))
+
+
 def t4_current_leagues(spark, d):
     """League of the newest bout of fighters who are active."""
     newest = F.try_element_at(history.fights(F.col("fight_history")), F.lit(1))["event"]
@@ -179,6 +183,13 @@ def d6_iso_days(spark, d):
     return table(spark, d, "mma_events").select("id", dates.iso_date(written).alias("day"))
 
 
+def d8_close_births(spark, d):
+    """Profiles and fighters of one name whose birth dates lie in one year and at most 90 days apart."""
+    p = table(spark, d, "source_profiles").select("profile_id", F.lower("full_name").alias("key"), dates.any_date(F.col("born_text")).alias("born"))
+    f = table(spark, d, "fighters").select("id", F.lower("name").alias("key"), "date_of_birth")
+    return p.join(f, "key").filter(dates.same_birth(F.col("born"), F.col("date_of_birth"))).select("profile_id", "id")
+
+
 def d9_dates_in_text(spark, d):
     return table(spark, d, "documents").select("doc_id", dates.date_in_text(F.col("text")).alias("day"))
 
@@ -248,6 +259,8 @@ ORACLES = {
     "n10_folded": f"SELECT profile_id, {_FOLD.format('full_name')} AS folded FROM source_profiles",
     "n13_absolute_urls": "SELECT doc_id, regexp_replace('https://site.example' || regexp_extract(url, '^https?://[^/]+(/.*)$', 1) || '/', '/+$', '') AS absolute FROM documents WHERE url IS NOT NULL",
     "t2_first_match": "SELECT doc_id, coalesce(nullif(regexp_extract(text, '(\\d{4}-\\d{2}-\\d{2})', 1), ''), nullif(regexp_extract(text, '([A-Z][a-z]+ \\d{1,2}, \\d{4})', 1), ''), nullif(regexp_extract(text, '(\\d{1,2} [A-Z][a-z]+,? \\d{4})', 1), '')) AS found FROM documents",
+    "t3_leagues": f"SELECT id, {_LEAGUE} AS league FROM (SELECT id, {_HEAD.format('trim(name)')} h FROM mma_events)",
+    "d8_close_births": f"SELECT profile_id, id FROM (SELECT profile_id, lower(full_name) k, {_ANY} b FROM source_profiles) p JOIN fighters f ON lower(f.name) = k WHERE year(b) = year(date_of_birth) AND abs(datediff('day', b, date_of_birth)) <= 90",
     "t4_current_leagues": f"SELECT id, CASE WHEN is_active THEN {_LEAGUE} END AS league FROM (SELECT id, is_active, {_HEAD.format(_FIGHTS.format('event'))} h FROM fighters)",
     "t5_promotions": "SELECT * FROM (SELECT doc_id, coalesce(" + ", ".join(f"CASE WHEN regexp_matches({w}, '{p}') THEN '{k}' END" for w in ("title", "left(text, 150)") for k, p in PROMOTIONS) + ") AS promotion FROM documents) WHERE promotion IS NOT NULL",
     "t6_event_names": "WITH w AS (SELECT raw_id, trim(name) n, regexp_split_to_array(trim(name), '\\s+') w FROM event_batches), p AS (SELECT *, list_transform(w, lambda x: rtrim(lower(x), '.:')) p, len(w) k FROM w), h AS (SELECT *, list_max(list_filter(range(1, greatest(k // 2, 1) + 1), lambda h: p[1:h] = p[h + 1:2 * h])) h FROM p), s AS (SELECT raw_id, trim(regexp_replace(CASE WHEN k >= 4 AND h IS NOT NULL THEN array_to_string(w[h + 1:], ' ') ELSE n END, '(?i)\\s*(?:[|│].*|\\b(?:Muay\\s+Thai|Kickboxing|K-?1|Boxing|MMA|Grappling|Wrestling)\\s+(?:&|Event\\b|Combat\\b).*)$', '')) s FROM h) SELECT raw_id, CASE WHEN length(s) > 60 THEN array_to_string(regexp_split_to_array(s, '\\s+')[1:6], ' ') ELSE s END AS clean FROM s",

@@ -54,8 +54,8 @@ def j8_event_band(spark, d):
 
 
 def j10_real_twins(spark, d):
-    """Empty shells that have a twin with data under the same words in any order."""
-    f = _fighters(spark, d).select("id", text.sorted_tokens_key(F.col("name")).alias("key"), ((F.coalesce("record_total_wins", F.lit(0)) == 0) & (F.coalesce("record_total_losses", F.lit(0)) == 0) & F.col("fight_history").isNull()).alias("shell"))
+    """Rows without a history that have a twin with one under the same words in any order."""
+    f = _fighters(spark, d).select("id", text.sorted_tokens_key(F.col("name")).alias("key"), F.col("fight_history").isNull().alias("shell"))
     return f.filter("shell").join(f.filter("not shell"), "key", "left_semi").select("id")
 
 
@@ -110,7 +110,7 @@ ORACLES = {
     "j5_birth_token_subset": f"WITH f AS (SELECT id, date_of_birth d, {_WORDS.format('lower(name)', '> 0')} t FROM fighters WHERE date_of_birth IS NOT NULL) SELECT a.id AS left_id, b.id AS right_id FROM f a JOIN f b ON a.d = b.d AND a.id < b.id WHERE len(list_intersect(a.t, b.t)) >= 2 AND len(list_intersect(a.t, b.t)) = least(len(a.t), len(b.t))",
     "j7_token_candidates": f"WITH p AS (SELECT profile_id id, unnest({_WORDS.format('lower(full_name)', '>= 4')}) t FROM source_profiles), f AS (SELECT id, unnest({_WORDS.format('lower(name)', '>= 4')}) t FROM fighters) SELECT p.id AS left_id, f.id AS right_id, count(*) AS shared FROM p JOIN f USING (t) GROUP BY 1, 2 HAVING count(*) >= 2",
     "j8_event_band": "SELECT b.raw_id, e.id AS event_id, datediff('day', e.date, b.date)::INT AS gap FROM event_batches b JOIN mma_events e ON e.date BETWEEN b.date - 1 AND b.date + 1 AND e.city = b.city",
-    "j10_real_twins": f"WITH f AS (SELECT id, array_to_string(list_sort(string_split({KEY.format('name')}, ' ')), ' ') k, coalesce(record_total_wins, 0) = 0 AND coalesce(record_total_losses, 0) = 0 AND fight_history IS NULL AS shell FROM fighters) SELECT id FROM f WHERE shell AND k IN (SELECT k FROM f WHERE NOT shell)",
+    "j10_real_twins": f"WITH f AS (SELECT id, array_to_string(list_sort(string_split({KEY.format('name')}, ' ')), ' ') k, fight_history IS NULL AS shell FROM fighters) SELECT id FROM f WHERE shell AND k IN (SELECT k FROM f WHERE NOT shell)",
     "j11_unlinked_fighters": "SELECT id FROM fighters WHERE id NOT IN (SELECT fighter1_id FROM event_fights WHERE fighter1_id IS NOT NULL UNION SELECT fighter2_id FROM event_fights WHERE fighter2_id IS NOT NULL)",
     "w1_streaks": f"WITH {_RES}, l AS (SELECT fighter_id, arg_max(result, ord) last_value FROM res GROUP BY 1) SELECT fighter_id, last_value, count(*) AS run FROM res r JOIN l USING (fighter_id) WHERE ord > coalesce((SELECT max(q.ord) FROM res q WHERE q.fighter_id = r.fighter_id AND q.result <> l.last_value), -1) GROUP BY 1, 2",
     "w3_last_five": f"WITH {_RES}, k AS (SELECT *, row_number() OVER (PARTITION BY fighter_id ORDER BY ord DESC) r FROM res) SELECT fighter_id, string_agg(result, ',' ORDER BY ord) AS last_5_results FROM k WHERE r <= 5 GROUP BY 1",

@@ -93,10 +93,6 @@ def t1_near_surnames(spark, d):
     return a.join(b, on).filter(F.levenshtein("a.n", "b.n", 2) >= 0).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
 
 
-def t3_leagues(spark, d):
-    return table(spark, d, "mma_events").select("id", domain.league_of_event(F.trim("name")).alias("league"))
-
-
 def t8_method_categories(spark, d):
     m = F.col("method")
     return table(spark, d, "event_fights").groupBy(domain.method_category(m).alias("category"), domain.method_category_exact(m).alias("exact")).agg(F.count(F.lit(1)).alias("n"))
@@ -115,13 +111,6 @@ def d7_ages(spark, d):
     return table(spark, d, "fighters").filter("date_of_birth is not null").select("id", dates.age(F.col("date_of_birth"), as_of).alias("years"), dates.days_since(F.col("last_fight_date"), as_of).alias("idle_days"))
 
 
-def d8_close_births(spark, d):
-    f = table(spark, d, "fighters").filter("date_of_birth is not null").select("id", F.lower("name").alias("n"), "date_of_birth")
-    a, b = f.alias("a"), f.alias("b")
-    near = dates.same_birth(F.col("a.date_of_birth"), F.col("b.date_of_birth"))
-    return a.join(b, (F.col("a.n") == F.col("b.n")) & (F.col("a.id") < F.col("b.id"))).filter(near).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"))
-
-
 def am3_heights(spark, d):
     inches = measures.feet_to_inches(F.col("height_inches"))
     return table(spark, d, "fighters").filter("height_inches is not null").select("id", inches.alias("inches"), measures.inches_to_feet(inches).alias("feet"), measures.reach_inches(F.col("reach_inches")).alias("reach"))
@@ -161,12 +150,10 @@ ORACLES = {
     "n11_nicknames": "SELECT profile_id, nullif(trim(CASE WHEN regexp_extract(full_name, '[\"“]([^\"”]+)[\"”]', 1) <> '' THEN regexp_extract(full_name, '[\"“]([^\"”]+)[\"”]', 1) ELSE regexp_extract(full_name, '\\(([^)]+)\\)', 1) END), '') AS nick, trim(regexp_replace(regexp_replace(regexp_replace(full_name, '[\"“][^\"”]*[\"”]', ' ', 'g'), '\\([^)]*\\)', ' ', 'g'), '[\\s\\x{00a0}]+', ' ', 'g')) AS bare FROM source_profiles",
     "n12_slugs": "SELECT id, regexp_extract(regexp_replace(regexp_replace(tapology_url, '[?#].*$', ''), '/+$', ''), '([^/]*)$', 1) AS slug_of_url FROM mma_events WHERE tapology_url IS NOT NULL",
     "t1_near_surnames": "SELECT a.id AS left_id, b.id AS right_id FROM fighters a JOIN fighters b ON a.date_of_birth = b.date_of_birth AND a.id < b.id WHERE levenshtein(lower(a.name), lower(b.name)) <= 2",
-    "t3_leagues": "SELECT id, nullif(CASE WHEN NOT regexp_matches(h, '(?i)\\bvs?\\b') THEN h END, '') AS league FROM (SELECT id, trim(regexp_extract(trim(name), '^(.*?)(?:\\s+Fight Night\\b|\\s+#?\\d|:| - |$)', 1)) h FROM mma_events)",
     "t8_method_categories": "SELECT CASE WHEN lower(method) LIKE '%ko%' OR lower(method) LIKE '%knockout%' THEN 'ko' WHEN lower(method) LIKE '%sub%' THEN 'sub' WHEN lower(method) LIKE '%dec%' THEN 'dec' WHEN method IS NOT NULL THEN 'other' END AS category, CASE WHEN upper(trim(method)) IN ('KO/TKO', 'KO', 'TKO') THEN 'ko' WHEN upper(trim(method)) = 'SUBMISSION' THEN 'sub' WHEN upper(trim(method)) = 'DECISION' THEN 'dec' WHEN method IS NOT NULL THEN 'other' END AS exact, count(*) AS n FROM event_fights GROUP BY 1, 2",
     "t10_weight_classes": "SELECT id, CASE WHEN weight_lbs <= 0 THEN NULL WHEN weight_lbs <= 105 THEN 'Atomweight' WHEN weight_lbs <= 115 THEN 'Strawweight' WHEN weight_lbs <= 125 THEN 'Flyweight' WHEN weight_lbs <= 135 THEN 'Bantamweight' WHEN weight_lbs <= 145 THEN 'Featherweight' WHEN weight_lbs <= 155 THEN 'Lightweight' WHEN weight_lbs <= 170 THEN 'Welterweight' WHEN weight_lbs <= 185 THEN 'Middleweight' WHEN weight_lbs <= 205 THEN 'Light Heavyweight' WHEN weight_lbs <= 265 THEN 'Heavyweight' END AS class_of_limit, CASE WHEN regexp_matches(lower(weight_class), 'women|female|feminin') THEN 'F' WHEN weight_class IS NOT NULL THEN 'M' END AS gender FROM event_fights",
     "d2_any_date": f"SELECT profile_id, coalesce(CASE WHEN regexp_full_match({_BORN}, '\\d{{4}}-\\d{{2}}-\\d{{2}}.*') THEN try_strptime(left({_BORN}, 10), '%Y-%m-%d') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{2}}/\\d{{2}}/\\d{{4}}') THEN try_strptime({_BORN}, '%d/%m/%Y') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{4}}\\.\\d{{2}}\\.\\d{{2}}') THEN try_strptime({_BORN}, '%Y.%m.%d') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{8}}') THEN try_strptime({_BORN}, '%Y%m%d') END, CASE WHEN regexp_full_match({_BORN}, '[A-Z][a-z]{{2}} \\d{{1,2}}, \\d{{4}}') THEN try_strptime({_BORN}, '%b %-d, %Y') END, CASE WHEN regexp_full_match({_BORN}, '[A-Z][a-z]{{3,}} \\d{{1,2}}, \\d{{4}}') THEN try_strptime({_BORN}, '%B %-d, %Y') END, CASE WHEN regexp_full_match({_BORN}, '\\d{{1,2}} [A-Z][a-z]{{3,}} \\d{{4}}') THEN try_strptime({_BORN}, '%-d %B %Y') END)::DATE AS born FROM source_profiles",
     "d7_ages": f"SELECT id, CASE WHEN y > 10 AND y < 90 THEN y END AS years, datediff('day', last_fight_date, DATE '{AS_OF}')::INT AS idle_days FROM (SELECT *, (2026 - year(date_of_birth) - CASE WHEN (3, 1) < (month(date_of_birth), day(date_of_birth)) THEN 1 ELSE 0 END)::INT y FROM fighters WHERE date_of_birth IS NOT NULL)",
-    "d8_close_births": "SELECT a.id AS left_id, b.id AS right_id FROM fighters a JOIN fighters b ON lower(a.name) = lower(b.name) AND a.id < b.id WHERE year(a.date_of_birth) = year(b.date_of_birth) AND abs(datediff('day', a.date_of_birth, b.date_of_birth)) <= 90",
     "am3_heights": "SELECT id, i AS inches, (i // 12)::VARCHAR || '''' || (i % 12)::VARCHAR || '\"' AS feet, try_cast(nullif(regexp_extract(reach_inches, '(\\d+(?:\\.\\d+)?)', 1), '') AS DOUBLE) AS reach FROM (SELECT *, CASE WHEN regexp_matches(height_inches, '^\\s*\\d+''\\s*\\d+') THEN regexp_extract(height_inches, '^\\s*(\\d+)''\\s*(\\d+)', 1)::INT * 12 + regexp_extract(height_inches, '^\\s*(\\d+)''\\s*(\\d+)', 2)::INT END i FROM fighters WHERE height_inches IS NOT NULL)",
     "am8_record_parts": "SELECT profile_id, regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)', 1)::INT AS w, regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)', 2)::INT AS l, coalesce(try_cast(nullif(regexp_extract(record_text, '^\\s*(\\d+)\\s*-\\s*(\\d+)(?:\\s*-\\s*(\\d+))?', 3), '') AS INT), 0) AS dr FROM source_profiles WHERE regexp_matches(record_text, '^\\s*\\d+\\s*-\\s*\\d+') UNION ALL SELECT profile_id, NULL, NULL, NULL FROM source_profiles WHERE NOT coalesce(regexp_matches(record_text, '^\\s*\\d+\\s*-\\s*\\d+'), false)",
     "h1_history_entries": "SELECT id, CASE WHEN NOT coalesce(json_valid(fight_history), false) THEN 0 WHEN ltrim(fight_history) LIKE '[%' THEN json_array_length(fight_history) WHEN ltrim(fight_history) LIKE '{%' THEN coalesce(json_array_length(fight_history, '$.fights'), 0) ELSE 0 END::INT AS n_fights, CASE WHEN json_valid(fight_history) THEN lower(trim(json_extract_string(fight_history, '$.source'))) END AS source FROM fighters",
