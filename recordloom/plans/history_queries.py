@@ -400,3 +400,13 @@ ORACLES = {
     "u18_event_merge": f"WITH {_OVERLAP}, c AS (SELECT event_id, (count(winner_id), count(*), -event_id) w FROM event_fights GROUP BY 1), b AS (SELECT left_event l, right_event r, x.w lw, y.w rw FROM ov JOIN c x ON x.event_id = left_event JOIN c y ON y.event_id = right_event WHERE left_event <> 1) SELECT dropped, arg_max(kept, w) AS kept FROM (SELECT CASE WHEN lw > rw THEN r ELSE l END dropped, CASE WHEN lw > rw THEN l ELSE r END kept, CASE WHEN lw > rw THEN lw ELSE rw END w FROM b) GROUP BY 1",
     "f17_homonym_guard": "WITH f AS (SELECT " + _SORTED.format("name") + " k, coalesce((list_filter(list_transform(string_split(data_source, '|'), lambda u: regexp_extract(u, '/combattant/[^,]+,(\\d+)', 1)), lambda x: x <> ''))[-1], list_filter(list_transform(string_split(data_source, '|'), lambda u: coalesce(nullif(regexp_extract(u, '/fightcenter/fighters/(\\d+)', 1), ''), nullif(regexp_extract(u, '/athlete/([\\w-]+)', 1), ''))), lambda x: x IS NOT NULL)[1]) u, (list_filter(list_transform(string_split(data_source, '|'), lambda u: regexp_extract(u, '/fighter-profile/[^/]+/(\\d+)', 1)), lambda x: x <> ''))[-1] fm FROM fighters) SELECT k AS key, count(*) AS n, count(DISTINCT fm) >= 2 OR count(DISTINCT u) >= 2 AS homonyms FROM f GROUP BY 1 HAVING count(*) >= 2",
 }
+
+#: Columns that are counts in the SQL and sizes of arrays, which are int, in Spark.
+_SIZES = {
+    "a1_history_record": ("w", "l", "dr", "nc"), "a2_method_pivot": tuple(f"{n}_{c}" for n in ("won", "lost") for c in ("ko", "sub", "dec")), "a3_split_decisions": ("won", "lost"), "w4_insert_positions": ("position", "n"),
+    "w5_clean_histories": ("n", "n_kept"), "u7_record_from_history": ("wins", "losses", "draws", "nc"), "u16_recount_methods": tuple(f"{n}_{c}" for n in ("won", "lost") for c in ("ko", "sub", "dec")), "u17_backfill": ("n_history",),
+    "u15_apply_bouts": (*(f"{c}_{n}" for n in ("wins", "losses") for c in ("ko", "sub", "dec")), "n_history"),
+}
+for _name, _columns in _SIZES.items():
+    ORACLES[_name] = f"SELECT * REPLACE ({', '.join(f'{c}::INT AS {c}' for c in _columns)}) FROM ({ORACLES[_name]})"
+ORACLES["w10_told_streaks"] = f"SELECT doc_id, told::BIGINT AS told FROM ({ORACLES['w10_told_streaks']})"
