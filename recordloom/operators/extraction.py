@@ -118,11 +118,16 @@ def card_bouts(pages: DataFrame, id_col: str, text: str) -> DataFrame:
     return lines.select(id_col, "strategy", "pos", F.when(F.col("strategy") == "badges", clean(parts[0])).otherwise(F.trim(parts[0])).alias("a"), F.trim(parts[1]).alias("b"))
 
 
-def match_rows(pages: DataFrame, id_col: str, text: str, pattern: str, names: list[str]) -> DataFrame:
+def match_rows(pages: DataFrame, id_col: str, text: str, pattern: str, names: list[str], needs: tuple[str, ...] = ()) -> DataFrame:
     """`(id, pos, *names)`: one row for each place of a text that a pattern fits, its groups as columns. Null texts and
-    texts without a match have none."""
-    groups = F.arrays_zip(*[F.regexp_extract_all(F.col(text), F.lit(pattern), i + 1).alias(n) for i, n in enumerate(names)])
-    return pages.select(id_col, F.posexplode(groups).alias("pos", "m")).select(id_col, "pos", "m.*")
+    texts without a match have none. `needs` are strings every match holds: texts without them aren't searched.
+
+    The text is searched once, for whole matches; the groups are read from these."""
+    searched = pages.select(id_col, F.col(text).alias("text__"))
+    for part in needs:
+        searched = searched.filter(F.col("text__").contains(part))
+    found = searched.select(id_col, F.posexplode(F.regexp_extract_all("text__", F.lit(pattern), 0)).alias("pos", "match__"))
+    return found.select(id_col, "pos", *[F.regexp_extract("match__", pattern, i + 1).alias(n) for i, n in enumerate(names)])
 
 
 #: A line of a ranking: place, name and record.
@@ -140,13 +145,13 @@ def rank_rows(pages: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def report_rows(pages: DataFrame, id_col: str, text: str) -> DataFrame:
     """`(id, pos, a, b, venue, city, day, method, time, round)` of the bouts that English sentences report, the winner unknown."""
-    rows = match_rows(pages, id_col, text, REPORT, ["a", "b", "venue", "city", "day", "division", "method", "time", "round"])
+    rows = match_rows(pages, id_col, text, REPORT, ["a", "b", "venue", "city", "day", "division", "method", "time", "round"], (" met ", " bout ended by "))
     return rows.withColumns({"day": F.try_to_date(F.replace("day", F.lit(","), F.lit("")), "d MMMM yyyy"), "round": F.col("round").try_cast("int")})
 
 
 def french_rows(pages: DataFrame, id_col: str, text: str) -> DataFrame:
     """The same of French sentences; `a` is the winner."""
-    rows = match_rows(pages, id_col, text, FRENCH_REPORT, ["a", "b", "venue", "city", "day", "method", "time", "round"])
+    rows = match_rows(pages, id_col, text, FRENCH_REPORT, ["a", "b", "venue", "city", "day", "method", "time", "round"], (" a battu ", " du round "))
     return rows.withColumns({"day": F.try_to_date(F.replace("day", F.lit(","), F.lit("")), "d MMMM yyyy"), "round": F.col("round").try_cast("int")})
 
 

@@ -133,18 +133,18 @@ def e5_report_rows(spark, d):
 
 def e6_scorecards(spark, d):
     """Scores of the judges and the size of the crowd that a report gives."""
-    rows = extraction.match_rows(_docs(spark, d), "doc_id", "text", r"judges had it (\d+-\d+), (\d+-\d+) and (\d+-\d+)(?:[^.\n]*crowd of (\d+))?", ["j1", "j2", "j3", "crowd"])
+    rows = extraction.match_rows(_docs(spark, d), "doc_id", "text", r"judges had it (\d+-\d+), (\d+-\d+) and (\d+-\d+)(?:[^.\n]*crowd of (\d+))?", ["j1", "j2", "j3", "crowd"], ("judges had it ",))
     return rows.withColumn("crowd", F.col("crowd").try_cast("int"))
 
 
 def e7_origins(spark, d):
     """Where and with what a fighter began, from a sentence of a profile."""
-    return extraction.match_rows(_docs(spark, d), "doc_id", "text", r"Born in ([^.\n,]+), ([^.\n,]+?) began with ([^.\n,]+?) at the age of (\d+)", ["place", "name", "sport", "age"]).withColumn("age", F.col("age").try_cast("int"))
+    return extraction.match_rows(_docs(spark, d), "doc_id", "text", r"Born in ([^.\n,]+), ([^.\n,]+?) began with ([^.\n,]+?) at the age of (\d+)", ["place", "name", "sport", "age"], ("Born in ",)).withColumn("age", F.col("age").try_cast("int"))
 
 
 def e8_divisions(spark, d):
     """Sizes of divisions: class, promotion, fighters under contract and how many more than before."""
-    rows = extraction.match_rows(_docs(spark, d), "doc_id", "text", r"The ([a-z' ]+?) division at ([^.\n]+?) now has (\d+) contracted fighters, (\d+) more than in ([A-Z][a-z]+)", ["division", "promotion", "fighters", "more", "month"])
+    rows = extraction.match_rows(_docs(spark, d), "doc_id", "text", r"The ([a-z' ]+?) division at ([^.\n]+?) now has (\d+) contracted fighters, (\d+) more than in ([A-Z][a-z]+)", ["division", "promotion", "fighters", "more", "month"], (" division at ",))
     return rows.withColumns({"fighters": F.col("fighters").try_cast("int"), "more": F.col("more").try_cast("int"), "division": domain.class_casing(F.col("division"))})
 
 
