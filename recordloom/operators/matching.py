@@ -55,6 +55,23 @@ def token_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, "token").groupBy("left_id", "right_id").agg(F.count(F.lit(1)).alias("shared"))
 
 
+def token_pair_candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """`(left_id, right_id, shared)`: pairs of `(id, tokens)` rows that share two tokens or more, by an equi-join on pairs of
+    tokens, so a given name alone brings no rows together. `id` is unique on each side, `tokens` are distinct. A pair of rows
+    is kept where its first two shared tokens meet; nothing is gathered after the join."""
+
+    def sides(df: DataFrame, prefix: str) -> DataFrame:
+        t = df.select(F.col("id").alias(f"{prefix}_id"), F.array_sort("tokens").alias(f"{prefix}_t")).filter(F.size(f"{prefix}_t") >= 2)
+        t = t.select("*", F.posexplode(f"{prefix}_t").alias("at", "x"))
+        return t.select(f"{prefix}_id", f"{prefix}_t", "x", F.explode(F.slice(f"{prefix}_t", F.col("at") + 2, F.size(f"{prefix}_t"))).alias("y"))
+
+    common = F.array_intersect("left_t", "right_t")
+    # Two words on either side are the two that met.
+    met = sides(left, "left").join(sides(right, "right"), ["x", "y"]).withColumn("common", F.when(F.least(F.size("left_t"), F.size("right_t")) > 2, common))
+    first = F.col("common").isNull() | ((F.col("common")[0] == F.col("x")) & (F.col("common")[1] == F.col("y")))
+    return met.filter(first).select("left_id", "right_id", F.when(F.col("common").isNull(), 2).otherwise(F.size("common")).cast("long").alias("shared"))
+
+
 def band_pairs(left: DataFrame, right: DataFrame, left_day: str, right_day: str, days: int = 1) -> DataFrame:
     """Pairs whose dates lie at most `days` apart; one side is exploded over the days, so it is an equi-join."""
     spread = left.withColumn("day__", F.explode(F.sequence(F.date_sub(left_day, days), F.date_add(left_day, days))))

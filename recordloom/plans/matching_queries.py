@@ -44,7 +44,7 @@ def j7_token_candidates(spark, d):
     """Profiles and fighters that share two name words of four letters or more."""
     words = lambda c: F.array_distinct(F.filter(F.split(F.lower(c), " "), lambda w: F.length(w) >= 4))
     p = table(spark, d, "source_profiles").select(F.col("profile_id").alias("id"), words("full_name").alias("tokens"))
-    return matching.token_candidates(p, _fighters(spark, d).select("id", words("name").alias("tokens"))).filter("shared >= 2")
+    return matching.token_pair_candidates(p, _fighters(spark, d).select("id", words("name").alias("tokens")))
 
 
 def j8_event_band(spark, d):

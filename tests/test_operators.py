@@ -7,6 +7,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from recordloom.operators import extraction, folds, matching, merge
+from recordloom.plans import matching_queries
 from recordloom.sources import files
 from recordloom.streaming import ingest
 
@@ -241,3 +242,19 @@ def test_windowed_counts_wait_for_late_rows(spark, tmp_path):
     counted = ingest.windowed_counts(ingest.read_new_files(spark, str(tmp_path / "in"), spark.read.parquet(str(tmp_path / "in")).schema), "ts", "kind", "30 minutes")
     counted.writeStream.format("memory").queryName("windows").outputMode("complete").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
     assert {(r["start"].minute, r["kind"], r["n"]) for r in spark.table("windows").collect()} == {(0, "a", 1), (30, "a", 1), (0, "b", 1)}
+
+
+def test_token_pairs_meet_once(spark):
+    """Rows that share two words or more, each pair once; a given name that all rows have brings no rows together."""
+    rng = random.Random(7)
+    words = ["anna", "boris", "silva", "souza", "lopez", "kovac"]
+    rows = lambda: [(i, sorted(rng.sample(words, rng.randint(0, 5)), key=lambda _: rng.random())) for i in range(60)] + [(98, None), (99, [])]
+    left, right = rows(), rows()
+    frame = lambda x: spark.createDataFrame(x, "id long, tokens array<string>")
+    found = matching.token_pair_candidates(frame(left), frame(right))
+    want = sorted((i, j, n) for i, a in left for j, b in right if (n := len(set(a or ()) & set(b or ()))) >= 2)
+    assert sorted(map(tuple, found.collect())) == want and dict(found.dtypes)["shared"] == "bigint"
+    hot = lambda n: frame([(i, ["anna", f"{n}word{i}"]) for i in range(300)])
+    assert matching.token_pair_candidates(hot("a"), hot("b")).count() == 0
+    plan = matching_queries.j7_token_candidates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan
