@@ -196,22 +196,36 @@ def name_divergences(weight_a: Column, weight_b: Column, wins_a: Column, wins_b:
     return no(plain(weight_a) != plain(weight_b)) + no(F.abs(wins_a - wins_b) > 3) + no(F.lower(home_a) != F.lower(home_b))
 
 
-def slug_score(name: Column, hit: Column, slug: Column, key: Callable[[Column], Column]) -> Column:
-    """0 to 100: how well a hit (name and slug) fits a name: the same, within it, all words, first and last word, last
-    word of four letters. `key` normalises."""
-    n, h, s = key(name), key(hit), key(F.replace(slug, F.lit("-"), F.lit(" ")))
-    inside = lambda x, y: F.coalesce(y.contains(x) & (x != ""), F.lit(False))
+def slug_name(name: Column, key: Callable[[Column], Column]) -> Column:
+    """What `slug_fit` compares of a name: its key `n`, words of two letters, first and last word, whether there are two."""
+    n, parts = key(name), F.split(F.trim(name), r"\s+")
     words = F.filter(F.split(n, " "), lambda w: F.length(w) > 1)
-    parts = F.split(F.trim(name), r"\s+")
-    first, last = key(F.try_element_at(parts, F.lit(1))), key(F.try_element_at(parts, F.lit(-1)))
-    every = lambda y: (F.size(words) > 0) & F.forall(words, lambda w: inside(w, y))
-    two = F.size(parts) >= 2
+    return F.struct(n.alias("n"), words.alias("words"), key(F.try_element_at(parts, F.lit(1))).alias("first"), key(F.try_element_at(parts, F.lit(-1))).alias("last"), (F.size(parts) >= 2).alias("two"))
+
+
+def slug_hit(hit: Column, slug: Column, key: Callable[[Column], Column]) -> Column:
+    """What `slug_fit` compares of a hit: the keys of its name and slug."""
+    return F.struct(key(hit).alias("h"), key(F.replace(slug, F.lit("-"), F.lit(" "))).alias("s"))
+
+
+def slug_fit(name: Column, hit: Column) -> Column:
+    """`slug_score` of a `slug_name` and a `slug_hit`: made once for each row, only compared for each pair."""
+    n, words, first, last, two, h, s = name["n"], name["words"], name["first"], name["last"], name["two"], hit["h"], hit["s"]
+    inside = lambda x, y: F.coalesce(y.contains(x) & (x != ""), F.lit(False))
+    # The first word is looked for before the others: most pairs end there.
+    every = lambda y: inside(F.try_element_at(words, F.lit(1)), y) & F.forall(words, lambda w: inside(w, y))
     return (
         F.when(F.coalesce(n, F.lit("")) == "", 0).when((n == h) | (n == s), 100).when(inside(n, h) | inside(h, n) | inside(n, s), 90).when(every(s) | every(h), 80)
         .when(two & ((inside(first, s) & inside(last, s)) | (inside(first, h) & inside(last, h))), 70).when(two & (F.length(last) >= 4) & inside(last, s), 60).otherwise(0)
     )
 
 
+def slug_score(name: Column, hit: Column, slug: Column, key: Callable[[Column], Column]) -> Column:
+    """0 to 100: how well a hit (name and slug) fits a name: the same, within it, all words, first and last word, last
+    word of four letters. `key` normalises. Where rows meet many others, make `slug_name` and `slug_hit` before the join."""
+    return slug_fit(slug_name(name, key), slug_hit(hit, slug, key))
+
+
 def nearest_as_of(left: DataFrame, right: DataFrame, key: str, day: str, at: str, id_col: str) -> DataFrame:
     """Rows of `left` with `before` and `after`: the ids and days `(at, id)` of the rows of `right` with the same key nearest on
     either side of their day (equal days count as before; the smaller id on ties). One union and one sort of each key's

@@ -159,8 +159,12 @@ def m7_slug_scores(spark, d):
     """How well the slugs of fighters' pages fit profiles that share their last word."""
     slug = F.regexp_extract("data_source", r"/fightcenter/fighters/\d+-([a-z0-9\-]+)", 1)
     f = _f(spark, d).select("id", "name", slug.alias("slug"), F.try_element_at(_words("name"), F.lit(-1)).alias("last")).filter("slug <> ''")
-    p = _p(spark, d).select("profile_id", "full_name", F.try_element_at(_words("full_name"), F.lit(-1)).alias("last"))
-    return p.join(f, "last").select("profile_id", "id", matching.slug_score(F.col("full_name"), F.col("name"), F.col("slug"), text.dedup_name_key).alias("score"))
+    p = _p(spark, d).select("profile_id", matching.slug_name(F.col("full_name"), text.dedup_name_key).alias("facts"), F.try_element_at(_words("full_name"), F.lit(-1)).alias("last"))
+    f = f.select("id", matching.slug_hit(F.col("name"), F.col("slug"), text.dedup_name_key).alias("hit"), "last")
+    # Parts of a fixed number: the pairs, not the small sides, are the work.
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = p.repartition(spread, "last").join(f.repartition(spread, "last"), "last")
+    return met.select("profile_id", "id", matching.slug_fit(F.col("facts"), F.col("hit")).alias("score"))
 
 
 def m8_best_event(spark, d):

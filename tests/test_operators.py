@@ -7,7 +7,7 @@ import shutil
 from pyspark.sql import functions as F
 
 from recordloom.operators import extraction, folds, matching, merge
-from recordloom.plans import matching_queries
+from recordloom.plans import ladder_queries, matching_queries
 from recordloom.sources import files
 from recordloom.streaming import ingest
 
@@ -258,3 +258,10 @@ def test_token_pairs_meet_once(spark):
     assert matching.token_pair_candidates(hot("a"), hot("b")).count() == 0
     plan = matching_queries.j7_token_candidates(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan
+
+
+def test_slug_keys_are_made_before_the_join(spark):
+    """Names are normalised once for each row: no pair of rows folds accents or takes names apart."""
+    plan = ladder_queries.m7_slug_scores(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Join")]
+    assert "translate(" not in above and "split(" not in above and "regexp" not in above
