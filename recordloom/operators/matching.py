@@ -226,6 +226,20 @@ def slug_score(name: Column, hit: Column, slug: Column, key: Callable[[Column],
     return slug_fit(slug_name(name, key), slug_hit(hit, slug, key))
 
 
+def best_hits(names: DataFrame, hits: DataFrame, block: str, least: int = 60) -> DataFrame:
+    """`(name, hit_id, score)`: the best of the hits `(block, hit, hit_id)` of each name `(block, name, facts)` in its block, the
+    smallest id on equal scores; `facts` and `hit` are a `slug_name` and a `slug_hit`. One hash aggregate of numbers."""
+    spread = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = names.repartition(spread, block).join(hits.repartition(spread, block), block)
+    scored = met.select("name", "hit_id", slug_fit(F.col("facts"), F.col("hit")).alias("score")).filter(F.col("score") >= least)
+    marks = (100, 90, 80, 70, 60)
+    best = scored.groupBy("name").agg(F.max("score").alias("score"), *[F.min(F.when(F.col("score") == m, F.col("hit_id"))).alias(f"of_{m}") for m in marks])
+    of = F.lit(None).cast("long")
+    for m in marks:
+        of = F.when(F.col("score") == m, F.col(f"of_{m}")).otherwise(of)
+    return best.select("name", of.alias("hit_id"), "score")
+
+
 def nearest_as_of(left: DataFrame, right: DataFrame, key: str, day: str, at: str, id_col: str) -> DataFrame:
     """Rows of `left` with `before` and `after`: the ids and days `(at, id)` of the rows of `right` with the same key nearest on
     either side of their day (equal days count as before; the smaller id on ties). One union and one sort of each key's

@@ -85,12 +85,13 @@ def s16_page_grid(spark, d):
 
 def s17_best_hits(spark, d):
     """For each fighter the best hit of a search for its name among profiles that share its last word."""
-    last = lambda c: F.try_element_at(F.split(text.dedup_name_key(F.col(c)), " "), F.lit(-1))
-    f = table(spark, d, "fighters").select("id", "name", last("name").alias("w")).filter("w <> ''")
-    p = _p(spark, d).select("profile_id", "full_name", last("full_name").alias("w"))
-    score = matching.slug_score(F.col("name"), F.col("full_name"), F.lit(None).cast("string"), text.dedup_name_key)
-    scored = f.join(p, "w").select("id", "profile_id", score.alias("score")).filter("score >= 60")
-    return matching.best_per_key(scored, "id", "score", "profile_id")
+    last = lambda c: F.try_element_at(F.split(c, " "), F.lit(-1))
+    f = table(spark, d, "fighters").select("id", "name")
+    names = f.select("name").distinct().select("name", matching.slug_name(F.col("name"), text.dedup_name_key).alias("facts")).withColumn("w", last(F.col("facts.n"))).filter("w <> ''")
+    # A score sees the key of a profile's name only: of one key the smallest id can win.
+    hit = matching.slug_hit(F.col("full_name"), F.lit(None).cast("string"), text.dedup_name_key)
+    p = _p(spark, d).select("profile_id", hit.alias("hit")).groupBy("hit").agg(F.min("profile_id").alias("hit_id")).withColumn("w", last(F.col("hit.h")))
+    return f.join(matching.best_hits(names, p, "w"), "name").select("id", F.col("hit_id").alias("profile_id"), "score")
 
 
 def s19_opponent_network(spark, d):

@@ -265,3 +265,21 @@ def test_slug_keys_are_made_before_the_join(spark):
     plan = ladder_queries.m7_slug_scores(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     above = plan[: plan.index("Join")]
     assert "translate(" not in above and "split(" not in above and "regexp" not in above
+
+
+def test_best_hits_equal_all_pairs(spark):
+    """The best of all pairs of a block, ties by the smallest id; names and keys that repeat are compared once."""
+    from recordloom.functions.text import dedup_name_key
+
+    rng = random.Random(11)
+    name = lambda: rng.choice(["Ann", "ann", "Án", "B.", "", "Mary Ann"]) + " " + rng.choice(["Lee", "lee", "Le", "Q Lee", "-"])
+    names = spark.createDataFrame([(n,) for n in {name() for _ in range(80)}], "name string").select("name", matching.slug_name(F.col("name"), dedup_name_key).alias("facts"), F.lit("w").alias("w"))
+    kept = ["Mary Ann Q Lee", "Lee Ann", "B. Le", "mary ann lee", "Ann Lee", "ANN LEE", "Bo Lee"]
+    hits = spark.createDataFrame([(i, rng.choice(kept)) for i in range(60)], "hit_id long, text string")
+    none = F.lit(None).cast("string")
+    pairs = names.crossJoin(hits).select("name", "hit_id", matching.slug_score(F.col("name"), F.col("text"), none, dedup_name_key).alias("score"))
+    want = {}
+    for r in pairs.filter("score >= 60").collect():
+        want[r["name"]] = max(want.get(r["name"], (0, 0)), (r["score"], -r["hit_id"]))
+    got = matching.best_hits(names, hits.select("hit_id", matching.slug_hit(F.col("text"), none, dedup_name_key).alias("hit"), F.lit("w").alias("w")), "w")
+    assert {r["name"]: (r["score"], -r["hit_id"]) for r in got.collect()} == want and len({s for s, _ in want.values()}) >= 3
