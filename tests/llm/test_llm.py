@@ -1,6 +1,7 @@
 """Operators of the llm subpackage against brute force, with nulls, empty tables, ties and clashing names."""
 
 import datetime
+import itertools
 import random
 from collections import Counter
 
@@ -339,3 +340,15 @@ def test_queries_have_oracles_of_known_names():
 
     assert set(queries.ORACLES) <= set(queries.QUERIES)
     assert {f"p{n}_found" for n in (1, 3, 4, 5, 6, 7, 8, 10)} <= set(queries.QUERIES)
+
+
+def test_keys_of_a_name_are_bounded(spark):
+    """However many known given names lie near a query's, it makes the same keys; one edit in each word is met."""
+    frame = lambda rows: spark.createDataFrame([(k, "name", g, s, False) for k, g, s in rows], "key string, kind string, given string, surname string, junior boolean")
+    near = [f"carlo{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
+    known = [(f"k{i}", g, "ferreira") for i, g in enumerate(near)]
+    got = {r["key"] for r in name_variants.metric_pairs(frame([("q", "carlos", "ferreiro")]), frame(known)).collect()}
+    assert got == {k for k, g, _ in known if person_names._edits(g, "carlos", 1) <= 1}
+    assert len(name_variants.name_keys("carlos", "ferreiro", True)) <= 60 and len(name_variants.name_keys("carlos", "ferreira", False)) <= 22
+    words = ["".join(w) for n in range(5) for w in itertools.product("ab", repeat=n)]
+    assert all(set(name_variants.half_keys(a)) & set(name_variants.half_keys(b)) for a in words for b in words if person_names._edits(a, b, 1) <= 1)
