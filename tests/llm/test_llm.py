@@ -352,3 +352,13 @@ def test_keys_of_a_name_are_bounded(spark):
     assert len(name_variants.name_keys("carlos", "ferreiro", True)) <= 60 and len(name_variants.name_keys("carlos", "ferreira", False)) <= 22
     words = ["".join(w) for n in range(5) for w in itertools.product("ab", repeat=n)]
     assert all(set(name_variants.half_keys(a)) & set(name_variants.half_keys(b)) for a in words for b in words if person_names._edits(a, b, 1) <= 1)
+
+
+def test_truncation_asks_all_texts(spark):
+    """Words of one text among more than the 20,000 that a sample would hold tell where another breaks off."""
+    letters = "abcdefghij"
+    word = lambda i: "xo" + "".join(letters[int(c)] for c in f"{i:02}") + "qu"
+    rows = [(i, f"Row {i} was won.") for i in range(25_000)] + [(30_000 + i, f"Here {word(i)}est came first.") for i in range(40)] + [(40_000 + i, f"He stood up. Then number {i} met {word(i)}") for i in range(40)]
+    df = spark.createDataFrame([(i, "a", t) for i, t in rows], "id long, source string, text string")
+    got = {r["id"]: r["evidence"] for r in truncation.truncated_texts(df, "id").collect() if r["evidence"] is not None}
+    assert got == {40_000 + i: "word" for i in range(40)}
